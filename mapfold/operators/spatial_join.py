@@ -202,6 +202,8 @@ def clip_lines(
             point_param("lx1", "ly1", "lx2", "ly2", "x2", "y2"),
         ).alias("ts"),
     ).select(*sid, *k, F.explode("ts").alias("t")).where(F.col("t").isNotNull())
+    # -0.0 and 0.0 are one cut
+    cuts = cuts.withColumn("t", F.when(F.col("t") == 0, F.lit(0.0)).otherwise(F.col("t")))
     # candidate (segment, area) pairs: any segment sharing a cell with a
     # boundary cell of the area, plus segments whose first point is inside
     touching = cuts.select(*sid, *k).distinct()
@@ -266,3 +268,18 @@ def within_first(segs: DataFrame, feature_col: str = "feature_seq") -> DataFrame
     if feature_col not in segs.columns:
         return segs
     return segs.where(F.col(feature_col) == 0)
+
+
+def merge_runs(pieces: DataFrame, ids, key="area_id") -> DataFrame:
+    """Merge touching inside intervals of one segment into runs.
+
+    ``pieces`` from :func:`clip_lines`; returns (ids.., seq, key.., run, t0, t1)
+    where consecutive kept intervals that share an end are one run.
+    """
+    from pyspark.sql import Window
+
+    sid, k = [*_keys(ids), "seq"], _keys(key)
+    w = Window.partitionBy(*sid, *k).orderBy("t0")
+    start = F.when(F.lag("t1").over(w).isNull() | (F.lag("t1").over(w) != F.col("t0")), 1).otherwise(0)
+    runs = pieces.withColumn("start", start).withColumn("run", F.sum("start").over(w))
+    return runs.groupBy(*sid, *k, "run").agg(F.min("t0").alias("t0"), F.max("t1").alias("t1"))
