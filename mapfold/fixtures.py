@@ -76,6 +76,25 @@ FX: dict[str, str] = {
         "cast(p_partkey*86400+1600000000 as varchar(20)) metadata_modified, "
         "case when p_size%2=0 then 'CSV' else 'SHP' end format from part"
     ),
+    # ours: level display names per area, derived from nation and region
+    "fx_level_names": (
+        "select lower(n_name) iso, n_name name, 'country' adm0, "
+        "case when n_nationkey%2=0 then lower(r_name) end adm1, "
+        "case when n_nationkey%3=0 then 'district' end adm2, "
+        "case when n_nationkey%7=0 then 'no cod data' else 'cod' end source "
+        "from nation join region on n_regionkey=r_regionkey"
+    ),
+    # ours: file paths of landed boundary files, derived from events
+    "fx_files": (
+        "select event_id file_id, concat('/data/in/c', cast(user_id%25 as varchar(20)), '/', "
+        "case when event_id%9<5 then concat('c', cast(user_id%25 as varchar(20)), '_adm', cast(event_id%9 as varchar(20)), '_', event_type) "
+        "when event_id%9=5 then concat('c', cast(user_id%25 as varchar(20)), '_disputed_', event_type) "
+        "when event_id%9=6 then concat('zimstat_coastline_', event_type) "
+        "when event_id%9=7 then concat('c', cast(user_id%25 as varchar(20)), '_admALL_admbndl_', event_type) "
+        "else concat('notes_', event_type) end, "
+        "case when event_id%4=0 then '.zip' when event_id%4=1 then '.shp' when event_id%4=2 then '.csv' else '.geojson' end) path, "
+        "cast(floor(value*1000) as bigint) size_bytes, ts modified from events"
+    ),
 }
 
 _FX_RE = re.compile(r"\bfx_[a-z_]+\b")
