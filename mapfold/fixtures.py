@@ -133,8 +133,18 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_REGISTERED: dict[tuple[int, str], str] = {}
+
+
 def register(spark: SparkSession, sf_dir: str, *names: str) -> None:
-    """Register base tables and the fx views named (plus their dependencies)."""
+    """Register base tables and the fx views named (plus their dependencies).
+
+    Views already registered for the same session and folder are kept, so
+    building a plan does not re-read parquet footers for every operator.
+    """
+    sid = id(spark)
+    if all(_REGISTERED.get((sid, n)) == sf_dir for n in names):
+        return
     fx = _deps(" ".join(names))
     needed = set(n for n in names if n in BASE_TABLES)
     for n in fx:
@@ -142,14 +152,16 @@ def register(spark: SparkSession, sf_dir: str, *names: str) -> None:
             if re.search(rf"\b{t}\b", FX[n]):
                 needed.add(t)
     for t in sorted(needed):
-        base(spark, sf_dir, t).createOrReplaceTempView(t)
+        if _REGISTERED.get((sid, t)) != sf_dir:
+            base(spark, sf_dir, t).createOrReplaceTempView(t)
+            _REGISTERED[(sid, t)] = sf_dir
     for n in fx:
-        spark.sql(FX[n]).createOrReplaceTempView(n)
+        if _REGISTERED.get((sid, n)) != sf_dir or any(_REGISTERED.get((sid, t)) != sf_dir for t in needed):
+            spark.sql(FX[n]).createOrReplaceTempView(n)
+            _REGISTERED[(sid, n)] = sf_dir
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Register ``name`` (fx view or base table) and return it as a DataFrame."""
-    if name in BASE_TABLES:
-        return base(spark, sf_dir, name)
     register(spark, sf_dir, name)
     return spark.table(name)

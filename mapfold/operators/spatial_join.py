@@ -39,7 +39,8 @@ from mapfold.functions.geometry import (
     segments_intersect,
 )
 
-DEFAULT_GRID = 2 * MICRO  # 2 degree cells
+DEFAULT_GRID = 2 * MICRO  # 2 degree cells for point tests
+LINE_GRID = 5 * MICRO  # coarser cells for edge/edge candidate pairs (fewer replicas)
 
 
 def _keys(key) -> list[str]:
@@ -140,12 +141,27 @@ def points_in_areas(
     return inner.unionByName(tested.where(keep).select(*ids, *k))
 
 
+def _first_cell(cx, cy, grid: int):
+    """Keep a candidate pair only in the cell holding the lower-left corner of
+    the overlap of the two bounding boxes, so each pair is tested once."""
+    ox = F.greatest(F.least("lx1", "lx2"), F.least("x1", "x2"))
+    oy = F.greatest(F.least("ly1", "ly2"), F.least("y1", "y2"))
+    return (cell(ox, grid) == F.col(cx)) & (cell(oy, grid) == F.col(cy))
+
+
+def _bbox_overlap():
+    return (
+        (F.greatest("lx1", "lx2") >= F.least("x1", "x2")) & (F.least("lx1", "lx2") <= F.greatest("x1", "x2"))
+        & (F.greatest("ly1", "ly2") >= F.least("y1", "y2")) & (F.least("ly1", "ly2") <= F.greatest("y1", "y2"))
+    )
+
+
 def lines_intersect_areas(
     lines: DataFrame,
     segs: DataFrame,
     lid="line_id",
     key="area_id",
-    grid: int = DEFAULT_GRID,
+    grid: int = LINE_GRID,
 ) -> DataFrame:
     """Distinct (lid.., key..) where a polyline meets the closed area.
 
@@ -160,6 +176,7 @@ def lines_intersect_areas(
     ac = edge_cells(segs, k, grid)
     touch = (
         lc.join(ac, on=["cx", "cy"], how="inner")
+        .where(_bbox_overlap() & _first_cell("cx", "cy", grid))
         .where(segments_intersect("lx1", "ly1", "lx2", "ly2", "x1", "y1", "x2", "y2"))
         .select(*ids, *k)
     )
@@ -167,7 +184,7 @@ def lines_intersect_areas(
     # one vertex decides; take the smallest for determinism
     first = lines.groupBy(*ids).agg(F.min(F.struct("x1", "y1")).alias("v"))
     firstpts = first.select(*ids, F.col("v.x1").alias("x"), F.col("v.y1").alias("y"))
-    inside = points_in_areas(firstpts, segs, ids, k, "within", grid)
+    inside = points_in_areas(firstpts, segs, ids, k, "within")
     return touch.unionByName(inside).distinct()
 
 
@@ -176,7 +193,7 @@ def clip_lines(
     segs: DataFrame,
     lid="line_id",
     key="area_id",
-    grid: int = DEFAULT_GRID,
+    grid: int = LINE_GRID,
     eps: float = 1e-6,
 ) -> DataFrame:
     """Pieces of line segments inside the closed area (overlay intersection).
@@ -193,7 +210,7 @@ def clip_lines(
         *sid, "cx", "cy", *[F.col(c).alias("l" + c) for c in ("x1", "y1", "x2", "y2")]
     )
     ac = edge_cells(segs, k, grid)
-    pairs = lc.join(ac, on=["cx", "cy"], how="inner")
+    pairs = lc.join(ac, on=["cx", "cy"], how="inner").where(_bbox_overlap() & _first_cell("cx", "cy", grid))
     cuts = pairs.select(
         *sid, *k,
         F.array(
@@ -208,7 +225,7 @@ def clip_lines(
     # boundary cell of the area, plus segments whose first point is inside
     touching = cuts.select(*sid, *k).distinct()
     starts = lines.select(*sid, F.col("x1").alias("x"), F.col("y1").alias("y"))
-    inside_start = points_in_areas(starts, segs, sid, k, "intersects", grid)
+    inside_start = points_in_areas(starts, segs, sid, k, "intersects")
     cand = touching.unionByName(inside_start).distinct()
     allcuts = (
         cand.join(cuts, on=[*sid, *k], how="left")
@@ -234,7 +251,7 @@ def clip_lines(
         (F.col("x1") + F.col("t1") * (F.col("x2") - F.col("x1"))).alias("px2"),
         (F.col("y1") + F.col("t1") * (F.col("y2") - F.col("y1"))).alias("py2"),
     )
-    keep = _midpoint_inside(mids, segs, [*sid, "piece"], k, grid, eps)
+    keep = _midpoint_inside(mids, segs, [*sid, "piece"], k, DEFAULT_GRID, eps)
     return mids.join(keep, on=[*sid, "piece", *k], how="left_semi").select(
         *sid, *k, "t0", "t1", "px1", "py1", "px2", "py2"
     )
