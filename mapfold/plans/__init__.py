@@ -32,7 +32,7 @@ def query(qid: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so that their queries register."""
-    from mapfold.plans import admin, catalog, geometry, io, lines, osm, raster, spatial  # noqa: F401
+    from mapfold.plans import admin, catalog, geometry, io, lines, osm, raster, spatial, streams  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

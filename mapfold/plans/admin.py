@@ -405,12 +405,12 @@ from ({_UNITS_SQL}) u join ({_SELECTED_SQL}) s on upper(s.iso) = u.iso
 """,
 )
 def subnational_units(spark: SparkSession, sf: str) -> DataFrame:
-    u = units(spark, sf)
-    s = selected_areas(spark, sf).select("iso", F.upper("iso").alias("uiso"))
-    j = u.join(s, u.iso == s.uiso)
+    u = units(spark, sf).select("pcode", F.col("iso").alias("uiso"), "name_en", "admin_type")
+    s = selected_areas(spark, sf).select(F.col("iso").alias("siso"), F.upper("iso").alias("uiso"))
+    j = u.join(s, "uiso")
     return j.select(
-        "pcode", s.iso, F.regexp_replace(u.name_en, "[^a-zA-Z0-9]", "_").alias("slug"), "admin_type",
-        F.concat(F.lit("data/output/subnational/"), s.iso, F.lit("/"), F.col("pcode")).alias("out_dir"),
+        "pcode", F.col("siso").alias("iso"), F.regexp_replace("name_en", "[^a-zA-Z0-9]", "_").alias("slug"), "admin_type",
+        F.concat(F.lit("data/output/subnational/"), F.col("siso"), F.lit("/"), F.col("pcode")).alias("out_dir"),
     )
 
 
@@ -424,8 +424,8 @@ left join ({_UNITS_SQL}) u on u.iso = upper(s.iso) group by s.iso
 def join_pcodes(spark: SparkSession, sf: str) -> DataFrame:
     """Selected areas x their pcode units; areas without units report 0."""
     u = units(spark, sf).select(F.col("iso").alias("uiso"), "pcode")
-    s = selected_areas(spark, sf)
-    return s.join(u, F.upper(s.iso) == u.uiso, "left").groupBy("iso").agg(F.count("pcode").alias("n_units"))
+    s = selected_areas(spark, sf).select("iso", F.upper("iso").alias("uiso"))
+    return s.join(u, "uiso", "left").groupBy("iso").agg(F.count("pcode").alias("n_units"))
 
 
 @query(

@@ -357,8 +357,9 @@ select p.pid, a.iso from fx_points p join fx_areas a
 )
 def filt_country_name(spark: SparkSession, sf: str) -> DataFrame:
     """Column equals the capitalised area name (reference behaviour, case-sensitive)."""
-    p, a = view(spark, sf, "fx_points"), view(spark, sf, "fx_areas")
-    return p.join(a, p.country == N.capitalize(a.name_en)).select("pid", "iso")
+    p = view(spark, sf, "fx_points").select("pid", "country")
+    a = view(spark, sf, "fx_areas").select("iso", N.capitalize("name_en").alias("cap"))
+    return p.join(a, F.col("country") == F.col("cap")).select("pid", "iso")
 
 
 @query(
@@ -366,8 +367,9 @@ def filt_country_name(spark: SparkSession, sf: str) -> DataFrame:
     "select p.pid, a.iso from fx_points p join fx_areas a on upper(p.country) = upper(a.iso)",
 )
 def filt_country_ci(spark: SparkSession, sf: str) -> DataFrame:
-    p, a = view(spark, sf, "fx_points"), view(spark, sf, "fx_areas")
-    return p.join(a, F.upper(p.country) == F.upper(a.iso)).select("pid", "iso")
+    p = view(spark, sf, "fx_points").select("pid", "country")
+    a = view(spark, sf, "fx_areas").select("iso")
+    return p.join(a, F.upper("country") == F.upper("iso")).select("pid", "iso")
 
 
 @query(

@@ -204,8 +204,9 @@ def filt_aoi_polygonal(spark: SparkSession, sf: str) -> DataFrame:
 )
 def agg_empty(spark: SparkSession, sf: str) -> DataFrame:
     """Per area: is its attribute-matched result empty?"""
-    a, p = view(spark, sf, "fx_areas"), view(spark, sf, "fx_points")
-    return a.join(p, a.area_id == p.nat, "left").groupBy(a.area_id).agg((F.count("pid") == 0).alias("is_empty"))
+    a = view(spark, sf, "fx_areas").select("area_id")
+    p = view(spark, sf, "fx_points").select(F.col("nat").alias("area_id"), "pid")
+    return a.join(p, "area_id", "left").groupBy("area_id").agg((F.count("pid") == 0).alias("is_empty"))
 
 
 @query(
@@ -214,8 +215,9 @@ def agg_empty(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sink_skip_empty(spark: SparkSession, sf: str) -> DataFrame:
     """Areas with an empty result produce no output row (and no partition)."""
-    a, p = view(spark, sf, "fx_areas"), view(spark, sf, "fx_points")
-    return a.join(p, a.area_id == p.nat).groupBy(a.area_id).agg(F.count("pid").alias("n"))
+    a = view(spark, sf, "fx_areas").select("area_id")
+    p = view(spark, sf, "fx_points").select(F.col("nat").alias("area_id"), "pid")
+    return a.join(p, "area_id").groupBy("area_id").agg(F.count("pid").alias("n"))
 
 
 @query(
@@ -258,9 +260,9 @@ from fx_points p join fx_areas a on upper(p.country) = upper(a.iso) where try_ca
 def nat_power_plants(spark: SparkSession, sf: str) -> DataFrame:
     """Attribute filter by code (case-insensitive), coordinates coerced, points built."""
     v = filt_valid_xy(spark, sf)
-    p = view(spark, sf, "fx_points").select("pid", "country")
+    p = view(spark, sf, "fx_points").select("pid", F.col("country").alias("pcountry"))
     a = view(spark, sf, "fx_areas").select("iso")
-    return v.join(p, "pid").join(a, F.upper(p.country) == F.upper(a.iso)).select("iso", "pid", "lon", "lat")
+    return v.join(p, "pid").join(a, F.upper("pcountry") == F.upper("iso")).select("iso", "pid", "lon", "lat")
 
 
 @query(
@@ -273,9 +275,9 @@ from fx_points p join fx_areas a on lower(p.country) = lower(a.name_en) where tr
 def nat_ports(spark: SparkSession, sf: str) -> DataFrame:
     """Attribute filter by country name (case-insensitive equality, see D2)."""
     v = filt_valid_xy(spark, sf)
-    p = view(spark, sf, "fx_points").select("pid", "country")
+    p = view(spark, sf, "fx_points").select("pid", F.col("country").alias("pcountry"))
     a = view(spark, sf, "fx_areas").select("iso", "name_en")
-    return v.join(p, "pid").join(a, F.lower(p.country) == F.lower(a.name_en)).select("iso", "pid", "lon", "lat")
+    return v.join(p, "pid").join(a, F.lower("pcountry") == F.lower("name_en")).select("iso", "pid", "lon", "lat")
 
 
 @query(
