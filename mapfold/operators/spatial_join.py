@@ -221,26 +221,25 @@ def clip_lines(
     ).select(*sid, *k, F.explode("ts").alias("t")).where(F.col("t").isNotNull())
     # -0.0 and 0.0 are one cut
     cuts = cuts.withColumn("t", F.when(F.col("t") == 0, F.lit(0.0)).otherwise(F.col("t")))
-    # candidate (segment, area) pairs: any segment sharing a cell with a
-    # boundary cell of the area, plus segments whose first point is inside
-    touching = cuts.select(*sid, *k).distinct()
+    # candidate (segment, area) pairs: segments that meet an edge (with their
+    # cuts, grouped once; the set per pair is bounded by the edges it meets)
+    # plus segments lying wholly inside (start point inside, no cut)
+    geo = ["x1", "y1", "x2", "y2"]
+    grouped = cuts.groupBy(*sid, *k).agg(F.collect_set("t").alias("ts"))
     starts = lines.select(*sid, F.col("x1").alias("x"), F.col("y1").alias("y"))
     inside_start = points_in_areas(starts, segs, sid, k, "intersects")
-    cand = touching.unionByName(inside_start).distinct()
-    allcuts = (
-        cand.join(cuts, on=[*sid, *k], how="left")
-        .groupBy(*sid, *k)
-        .agg(F.collect_set("t").alias("ts"))
-        .select(
-            *sid, *k,
-            F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.coalesce("ts", F.array())))).alias("ts"),
-        )
+    nocut = inside_start.join(grouped.select(*sid, *k), on=[*sid, *k], how="left_anti").withColumn(
+        "ts", F.array().cast("array<double>")
+    )
+    allcuts = grouped.unionByName(nocut).select(
+        *sid, *k,
+        F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), "ts"))).alias("ts"),
     )
     iv = allcuts.select(
         *sid, *k,
         F.posexplode(F.arrays_zip(F.slice("ts", 1, F.size("ts") - 1).alias("t0"), F.slice("ts", 2, F.size("ts")).alias("t1"))).alias("piece", "iv"),
     ).select(*sid, *k, "piece", F.col("iv.t0").alias("t0"), F.col("iv.t1").alias("t1"))
-    iv = iv.join(lines.select(*sid, "x1", "y1", "x2", "y2"), on=sid, how="inner")
+    iv = iv.join(lines.select(*sid, *geo), on=sid, how="inner")
     tm = (F.col("t0") + F.col("t1")) / 2
     mids = iv.select(
         *sid, *k, "piece", "t0", "t1",
