@@ -171,3 +171,22 @@ def _pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 for _qid in ("nat_roads", "nat_railroads", "nat_rivers", "join_clip", "nat_coastline_v1"):
     query(_qid, _CLIP_SQL + _PIECES_TAIL)(_pieces)
+
+
+@query(
+    "join_clip_by_kind",
+    _CLIP_SQL
+    + f"""
+select 'line' kind, line_id id, area_id from runs group by line_id, area_id
+union all
+select 'point' kind, p.pid, s.area_id from fx_points p, fx_segments s
+group by p.pid, s.area_id having {within_having('p', 's')}
+""",
+)
+def join_clip_by_kind(spark: SparkSession, sf: str) -> DataFrame:
+    """Dispatch by geometry kind: points -> within, lines -> overlay intersection."""
+    pts = view(spark, sf, "fx_points")
+    segs = view(spark, sf, "fx_segments")
+    p = sj.points_in_areas(pts, segs, "pid", "area_id", "within").select(F.lit("point").alias("kind"), F.col("pid").alias("id"), "area_id")
+    l = _runs(spark, sf).select(F.lit("line").alias("kind"), F.col("line_id").alias("id"), "area_id").distinct()
+    return l.unionByName(p)

@@ -172,3 +172,22 @@ def proj_flags(spark: SparkSession, sf: str) -> DataFrame:
     o = view(spark, sf, "fx_osm")
     w = F.coalesce(F.col("waterway"), F.lit(""))
     return o.select("osm_id", w.contains("river").cast("int").alias("is_river"), w.contains("can").cast("int").alias("is_canal"))
+
+
+_BANK = next(s for s in O.LAYERS if s.layer == "osm_bank")
+
+
+@query(
+    "set_union_all",
+    f"""
+select iso, layer_name, osm_id, fclass, name, "name:en", name_en, cast(null as varchar) osmid, x, y from ({layer_sql(_BANK)}) b
+union all
+select iso, layer_name, osm_id, fclass, name, "name:en", name_en, osmid, x, y from ({layer_sql(O.ATM_PARTS[0])}) a
+""",
+)
+def set_union_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Two layers concatenated by column name; missing columns become NULL."""
+    segs, areas, el = view(spark, sf, "fx_segments"), view(spark, sf, "fx_areas"), osm_elements(spark, sf)
+    b = O.osm_layer(el, segs, areas, _BANK)
+    a = O.osm_layer(el, segs, areas, O.ATM_PARTS[0])
+    return b.unionByName(a, allowMissingColumns=True)
