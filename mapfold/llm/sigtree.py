@@ -24,15 +24,17 @@ the first n - ceil(0.85 n) + 1 of each.  The order needs no exact counts: any
 order is right, a good one makes blocks small.  The steps are
 
 1. equal sets become one class with the smallest id as its representative;
-2. tokens that two or more prefixes hold are found by a count of all prefix tokens;
-3. every representative with such a token goes, with its set, to one block, that of
-   its first shared token (blocks over ``chunk_bytes`` are split and their
-   components' representatives joined again in further levels);
-4. what that cannot have seen: every shared token whose records are not yet one
-   component is a block again.  Light rows (size and bitmap) go through the tree
-   first, and only records with a surviving partner of another component bring
-   their sets.  Large blocks are split into chunk pairs.  This step makes the
-   result exact whatever step 3 found.
+2. tokens that two or more representatives' prefixes hold are found by a count;
+   each is a block (blocks of the very same records count once);
+3. light rows (size and bitmap) of every block go through the tree, which marks the
+   records that keep a possible partner; only these bring their full sets;
+4. every such record goes to one block, that of its first marked token, where pairs
+   are verified (blocks over ``chunk_bytes`` are split and four records of each
+   component found join again in further levels);
+5. what that cannot have seen: every marked token whose records are not yet one
+   component is a block once more, first light and then with the sets of the records
+   that keep a partner of another component.  Blocks over ``chunk_rows`` are split
+   into chunk pairs.  This step makes the result exact whatever step 4 found.
 
 Nothing but light rows of bounded size reaches the driver: the most frequent
 tokens (at most 2^18, used for the order only) and fixed-size membership bitmaps
@@ -52,6 +54,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,10 +71,20 @@ FANOUT = 8
 
 
 class Node:
-    __slots__ = ("lo", "hi", "bits", "spare", "comp", "kids", "at")
+    __slots__ = ("lo", "hi", "bits", "spare", "comp", "kids", "at", "up", "left")
 
     def __init__(self, lo, hi, bits, spare, comp, kids, at):
         self.lo, self.hi, self.bits, self.spare, self.comp, self.kids, self.at = lo, hi, bits, spare, comp, kids, at
+        self.up, self.left = None, len(kids) if kids else 1
+        for k in kids or ():
+            k.up = self
+
+    def mark(self) -> None:
+        """This leaf needs no further partner; a node is done when all its kids are."""
+        node = self if self.left else None
+        while node is not None:
+            node.left -= 1
+            node = node.up if node.left == 0 else None
 
 
 def width(n: int) -> int:
@@ -107,11 +120,14 @@ def tree(rows: list[tuple[int, int, int, int]], fold_to: int | None = None) -> N
     return level[0]
 
 
-def surviving(a: Node, b: Node, percent: int = PERCENT) -> Iterator[tuple[int, int]]:
-    """Pairs of places that the dual traversal of two trees cannot rule out."""
+def surviving(a: Node, b: Node, percent: int = PERCENT) -> Iterator[tuple[Node, Node]]:
+    """Pairs of leaves that the dual traversal of two trees cannot rule out; pairs
+    of nodes that are both marked off are left out."""
     stack = [(a, b)]
     while stack:
         x, y = stack.pop()
+        if x.left == 0 and y.left == 0:
+            continue
         if x is y:
             if x.kids and (x.comp is None):
                 k = x.kids
@@ -124,17 +140,18 @@ def surviving(a: Node, b: Node, percent: int = PERCENT) -> Iterator[tuple[int, i
         if (100 + percent) * most < percent * (x.lo + y.lo):
             continue
         if x.kids is None and y.kids is None:
-            yield x.at, y.at
+            yield x, y
         elif y.kids is None or (x.kids is not None and x.hi - x.lo >= y.hi - y.lo):
             stack.extend((k, y) for k in x.kids)
         else:
             stack.extend((x, k) for k in y.kids)
 
 
-def block_pairs(sizes: list[int], sigs: list[bytes], comps: list) -> Iterator[tuple[int, int]]:
+def block_pairs(sizes: list[int], sigs: list[bytes], comps: list) -> Iterator[tuple[Node, Node]]:
     """Surviving pairs of a whole block: trees per size class, and neighbouring classes."""
     classes: dict[int, list] = {}
-    for at in sorted(range(len(sizes)), key=lambda i: (comps[i], sizes[i])):
+    apart = len(set(comps)) == len(comps)
+    for at in sorted(range(len(sizes)), key=lambda i: (0 if apart else comps[i], sizes[i])):
         classes.setdefault(8 * len(sigs[at]), []).append((at, sizes[at], int.from_bytes(sigs[at], "little"), comps[at]))
     for m, rows in sorted(classes.items()):
         own = tree(rows)
@@ -278,8 +295,8 @@ def linked(blocks: DataFrame, keys: list[str]) -> DataFrame:
             full = [np.frombuffer(t, np.uint64) for t in tok]
             links = Links(comp)
             for x, y in block_pairs(n, sig, comp):
-                i, j = links.find(x), links.find(y)
-                if i != j and similar(full[x], full[y]):
+                i, j = links.find(x.at), links.find(y.at)
+                if i != j and similar(full[x.at], full[y.at]):
                     links.up[max(i, j)] = min(i, j)
             root = [rep[links.find(i)] for i in range(len(rep))]
             cols = [pa.array([k] * len(rep), pa.int64()) for k in key] + [pa.array(rep, pa.int64()), pa.array(root, pa.int64())]
@@ -299,8 +316,9 @@ def hopeful(blocks: DataFrame, keys: list[str]) -> DataFrame:
                 continue
             left: set[int] = set()
             for x, y in block_pairs(n, sig, comp):
-                left.add(x)
-                left.add(y)
+                left.update((x.at, y.at))
+                x.mark()
+                y.mark()
             if left:
                 cols = [pa.array([k] * len(left), pa.int64()) for k in key]
                 cols += [pa.array([rep[i] for i in left], pa.int64()), pa.array([comp[i] for i in left], pa.int64())]
@@ -320,60 +338,75 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, chunk_bytes: int
     ship(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = stored(survey(docs), "join-survey")
-    rows = found.where("kind = 0")
+    whole = found.where("kind = 0")
     top = found.where("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).where("n >= 8").orderBy(F.desc("n"), "a").limit(FREQUENT).toPandas()  # at most 2^18 rows of 16 bytes
     order = sc.broadcast(Order(top["a"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)))
-    classes = stored(rows.where("n > 0").groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "join-classes")
+    classes = stored(whole.where("n > 0").groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "join-classes")
     is_rep = sc.broadcast(Membership.build(classes, "rep"))
 
+    def reps(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = batch.column(0)
+        return batch.filter(pc.and_(ids.is_valid(), pa.array(is_rep.value.test(ids.fill_null(0).to_numpy(zero_copy_only=False)))))
+
     def prefixes(batches):
         for b in batches:
-            mine = b.filter(pa.array(is_rep.value.test(b.column(0).fill_null(0).to_numpy(zero_copy_only=False))))
-            out = [order.value.prefix(s) for s in sets(*byte_view(mine.column(1)), size)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(out)))], names=["token"])
-
-    shared = docs.mapInArrow(prefixes, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+            mine = reps(b)
+            own = list(sets(*byte_view(mine.column(1)), size))
+            first = [order.value.prefix(s) for s in own]
+            sizes = [len(s) for s in own]
+            cols = [mine.column(0), pa.array(sizes, pa.int64()), pa.array([bitmap(s, width(n)) for s, n in zip(own, sizes)], pa.binary()), lists(first, np.array([len(p) for p in first], np.int64), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["rep", "n", "sig", "tokens"])
+
+    light = stored(docs.mapInArrow(prefixes, "rep long, n long, sig binary, tokens array<long>"), "join-light")
+    shared = light.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     is_shared = sc.broadcast(Membership.build(shared, "token"))
 
+    def passing(batches):
+        for b in batches:
+            flat = b.column(2).flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(b.num_rows), b.column(2).value_lengths().to_numpy(zero_copy_only=False))
+            hit = np.flatnonzero(is_shared.value.test(flat)) if len(flat) else np.zeros(0, np.int64)
+            at = pa.array(row[hit])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[hit], pa.int64()), b.column(0).take(at), b.column(1).take(at)], names=["token", "rep", "n"])
+
+    rows = stored(light.select("rep", "n", "tokens").mapInArrow(passing, "token long, rep long, n long"), "join-shared")
+    sigs = light.select("rep", "sig")
+    keys = ["token", "i", "j"]
+    marked = hopeful(_blocks(rows.withColumn("comp", F.col("rep")), chunk_rows).join(sigs, "rep"), keys)
+    marked = stored(marked.select("token", "rep").distinct(), "join-marked")
+    home = stored(marked.groupBy("rep").agg(F.min("token").alias("home")), "join-home")
+    is_near = sc.broadcast(Membership.build(home, "rep"))
+
     def records(batches):
-        names = ["rep", "n", "home", "tokens", "sig", "toks"]
+        names = ["rep", "n", "sig", "toks"]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
         for b in batches:
-            mine = b.filter(pa.array(is_rep.value.test(b.column(0).fill_null(0).to_numpy(zero_copy_only=False))))
+            ids = b.column(0)
+            mine = b.filter(pc.and_(ids.is_valid(), pa.array(is_near.value.test(ids.fill_null(0).to_numpy(zero_copy_only=False)))))
             out: list[list] = [[] for _ in names]
             held = 0
             for rep, s in zip(mine.column(0).to_pylist(), sets(*byte_view(mine.column(1)), size)):
-                p = order.value.prefix(s)
-                p = p[is_shared.value.test(p)] if len(p) else p
-                if not len(p) or rep is None:
-                    continue
-                for c, v in zip(out, (rep, len(s), int(_signed(p)[0]), _signed(p), bitmap(s, width(len(s))), s.tobytes())):
+                for c, v in zip(out, (rep, len(s), bitmap(s, width(len(s))), s.tobytes())):
                     c.append(v)
                 held += 8 * len(s)
                 if held > 8 << 20:
-                    yield batch(out)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
                     out, held = [[] for _ in names], 0
-            if out[0]:
-                yield batch(out)
-
-    def batch(out: list[list]) -> pa.RecordBatch:
-        tokens = lists(out[3], np.array([len(p) for p in out[3]]), pa.int64())
-        cols = [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), tokens, pa.array(out[4], pa.binary()), pa.array(out[5], pa.binary())]
-        return pa.RecordBatch.from_arrays(cols, names=["rep", "n", "home", "tokens", "sig", "toks"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    held = stored(docs.mapInArrow(records, "rep long, n long, home long, tokens array<long>, sig binary, toks binary"), "join-records")
+    held = stored(docs.mapInArrow(records, "rep long, n long, sig binary, toks binary").join(home, "rep").dropDuplicates(["rep"]), "join-records")
     near = stored(_home_links(held, chunk_bytes), "join-links")
     comps = components(near, "rep", "root")
-    more = _rest_links(held, comps, chunk_rows)
+    more = _rest_links(marked, held, comps, chunk_rows)
     if more.limit(1).count():
         comps = components(near.union(more), "rep", "root")
-    whole = rows.join(classes, ["n", "a", "b"], "left")
+    whole = whole.join(classes, ["n", "a", "b"], "left")
     whole = whole.join(comps, whole["rep"] == comps["node"], "left")
     return whole.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("comp", "rep", "id").alias("component_id"))
 
 
 def _home_links(held: DataFrame, chunk_bytes: int, levels: int = 6) -> DataFrame:
-    """Step 3: (rep, root) links found in the records' home blocks."""
+    """Step 4: (rep, root) links found in the records' home blocks."""
     members = held.select("home", "rep")
     light = held.select("home", "rep", "n")
     found = None
@@ -395,24 +428,39 @@ def _home_links(held: DataFrame, chunk_bytes: int, levels: int = 6) -> DataFrame
     return found
 
 
-def _rest_links(held: DataFrame, comps: DataFrame, chunk_rows: int) -> DataFrame:
-    """Step 4: (rep, root) links between records that are not yet connected."""
-    rows = held.select("rep", "n", F.explode("tokens").alias("token")).join(comps, F.col("rep") == comps["node"], "left").select("token", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
+def _blocks(rows: DataFrame, chunk_rows: int) -> DataFrame:
+    """(token, i, j, rep, n, comp) of the blocks of (token, rep, n, comp) rows that may
+    hold a link between components; of blocks with the same records one is kept."""
     open_tokens = (
         rows.groupBy("token")
-        .agg(F.count(F.lit(1)).alias("c"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
+        .agg(
+            F.count(F.lit(1)).alias("c"),
+            F.min("comp").alias("c0"),
+            F.max("comp").alias("c1"),
+            F.min("n").alias("n0"),
+            F.max("n").alias("n1"),
+            F.bit_xor(F.xxhash64("rep")).alias("x"),
+            F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"),
+        )
         .where(f"c0 != c1 and (c > 2 or 100 * n0 >= {PERCENT} * n1)")
+        .groupBy("c", "x", "y")
+        .agg(F.min("token").alias("token"))
         .select("token", F.ceil(F.col("c") / chunk_rows).alias("k"))
     )
     left = rows.join(open_tokens, "token")
     part = F.pmod(F.xxhash64("rep"), F.col("k"))
     partner = F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))
-    left = left.withColumn("p", part).withColumn("q", partner).select("token", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "rep", "n", "comp")
-    left = stored(left, "join-open")
+    left = left.withColumn("p", part).withColumn("q", partner)
+    return left.select("token", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "rep", "n", "comp")
+
+
+def _rest_links(marked: DataFrame, held: DataFrame, comps: DataFrame, chunk_rows: int) -> DataFrame:
+    """Step 5: (rep, root) links between records that are not yet connected."""
     keys = ["token", "i", "j"]
+    known = held.select("rep", "n").join(comps, F.col("rep") == comps["node"], "left").select("rep", "n", F.coalesce("comp", "rep").alias("comp"))
+    left = stored(_blocks(marked.join(known, "rep"), chunk_rows), "join-open")
     near = stored(hopeful(left.join(held.select("rep", "sig"), "rep"), keys), "join-hopeful")
-    blocks = near.join(held.select("rep", "n", "sig", "toks"), "rep")
-    out = stored(linked(blocks, keys), "join-rest")
+    out = stored(linked(near.join(held.select("rep", "n", "sig", "toks"), "rep"), keys), "join-rest")
     # a root stands for its component too: records of one component share a root without a link
     return out.where("rep != root").select("rep", "root")
 
