@@ -58,7 +58,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import BLANK_WORDS, Membership, byte_view, components, lists, mix, ngrams, ship, slices, stored, table, words
+from mapfold.llm.common import BLANK_WORDS, Membership, byte_view, components, lists, mix, ngrams, pieces, ship, slices, stored, table, words
 
 SHINGLE = 4
 PERCENT = 85
@@ -71,10 +71,10 @@ FANOUT = 8
 
 
 class Node:
-    __slots__ = ("lo", "hi", "bits", "spare", "comp", "kids", "at", "up", "left")
+    __slots__ = ("lo", "hi", "bits", "spare", "comp", "kids", "at", "rest", "up", "left")
 
-    def __init__(self, lo, hi, bits, spare, comp, kids, at):
-        self.lo, self.hi, self.bits, self.spare, self.comp, self.kids, self.at = lo, hi, bits, spare, comp, kids, at
+    def __init__(self, lo, hi, bits, spare, comp, kids, at, rest):
+        self.lo, self.hi, self.bits, self.spare, self.comp, self.kids, self.at, self.rest = lo, hi, bits, spare, comp, kids, at, rest
         self.up, self.left = None, len(kids) if kids else 1
         for k in kids or ():
             k.up = self
@@ -98,14 +98,14 @@ def bitmap(tokens: np.ndarray, m: int) -> bytes:
     return np.packbits(flags, bitorder="little").tobytes()
 
 
-def tree(rows: list[tuple[int, int, int, int]], fold_to: int | None = None) -> Node:
-    """Signature tree over (place, size, bits, component) rows, in their order;
+def tree(rows: list[tuple[int, int, int, int, int]], fold_to: int | None = None) -> Node:
+    """Signature tree over (place, size, bits, component, rest) rows, in their order;
     ``fold_to`` halves the bitmaps to that width."""
     level = []
-    for at, n, bits, comp in rows:
+    for at, n, bits, comp, rest in rows:
         if fold_to:
             bits = (bits >> fold_to) | (bits & ((1 << fold_to) - 1))
-        level.append(Node(n, n, bits, n - bits.bit_count(), comp, None, at))
+        level.append(Node(n, n, bits, n - bits.bit_count(), comp, None, at, rest))
     while len(level) > 1:
         up = []
         for i in range(0, len(level), FANOUT):
@@ -115,7 +115,7 @@ def tree(rows: list[tuple[int, int, int, int]], fold_to: int | None = None) -> N
                 bits |= k.bits
                 if k.comp != comp:
                     comp = None
-            up.append(Node(min(k.lo for k in kids), max(k.hi for k in kids), bits, max(k.spare for k in kids), comp, kids, -1))
+            up.append(Node(min(k.lo for k in kids), max(k.hi for k in kids), bits, max(k.spare for k in kids), comp, kids, -1, max(k.rest for k in kids)))
         level = up
     return level[0]
 
@@ -136,7 +136,7 @@ def surviving(a: Node, b: Node, percent: int = PERCENT) -> Iterator[tuple[Node,
         if 100 * x.hi < percent * y.lo or 100 * y.hi < percent * x.lo or (x.comp is not None and x.comp == y.comp):
             continue
         both = (x.bits & y.bits).bit_count()
-        most = min(both + x.spare, both + y.spare, x.hi, y.hi)
+        most = min(both + x.spare, both + y.spare, x.rest, y.rest)
         if (100 + percent) * most < percent * (x.lo + y.lo):
             continue
         if x.kids is None and y.kids is None:
@@ -147,12 +147,12 @@ def surviving(a: Node, b: Node, percent: int = PERCENT) -> Iterator[tuple[Node,
             stack.extend((x, k) for k in y.kids)
 
 
-def block_pairs(sizes: list[int], sigs: list[bytes], comps: list) -> Iterator[tuple[Node, Node]]:
+def block_pairs(sizes: list[int], sigs: list[bytes], comps: list, rests: list[int]) -> Iterator[tuple[Node, Node]]:
     """Surviving pairs of a whole block: trees per size class, and neighbouring classes."""
     classes: dict[int, list] = {}
     apart = len(set(comps)) == len(comps)
     for at in sorted(range(len(sizes)), key=lambda i: (0 if apart else comps[i], sizes[i])):
-        classes.setdefault(8 * len(sigs[at]), []).append((at, sizes[at], int.from_bytes(sigs[at], "little"), comps[at]))
+        classes.setdefault(8 * len(sigs[at]), []).append((at, sizes[at], int.from_bytes(sigs[at], "little"), comps[at], rests[at]))
     for m, rows in sorted(classes.items()):
         own = tree(rows)
         yield from surviving(own, own)
@@ -226,7 +226,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def survey(docs: DataFrame, local_min: int = 4, flush: int = 4_000_000) -> DataFrame:
+def survey(docs: DataFrame, local_min: int = 2, flush: int = 3_000_000) -> DataFrame:
     """kind 0: (id, n, set fingerprint in a and b) of every row; kind 1: tokens (a) that occur in
     ``local_min`` rows or more of some stretch of a task, with that count (n)."""
 
@@ -238,7 +238,7 @@ def survey(docs: DataFrame, local_min: int = 4, flush: int = 4_000_000) -> DataF
             t, c = t[c >= local_min], c[c >= local_min]
             return rows(np.ones(len(t), np.int32), pa.nulls(len(t), pa.int64()), c, _signed(t), np.zeros(len(t), np.int64))
 
-        for batch in batches:
+        for batch in pieces(batches):
             n, a, b = [], [], []
             for s in sets(*byte_view(batch.column(1))):
                 n.append(len(s))
@@ -294,7 +294,7 @@ def linked(blocks: DataFrame, keys: list[str]) -> DataFrame:
                 continue
             full = [np.frombuffer(t, np.uint64) for t in tok]
             links = Links(comp)
-            for x, y in block_pairs(n, sig, comp):
+            for x, y in block_pairs(n, sig, comp, n):
                 i, j = links.find(x.at), links.find(y.at)
                 if i != j and similar(full[x.at], full[y.at]):
                     links.up[max(i, j)] = min(i, j)
@@ -307,25 +307,25 @@ def linked(blocks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def hopeful(blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, rep, comp) of the records that keep a partner of another component after the
-    traversal of light rows (n, rep, comp, sig)."""
+    """(keys, rep, comp, rest) of the records that keep a partner of another component after the
+    traversal of light rows (n, rep, comp, rest, sig)."""
 
     def run(batches):
-        for key, (n, rep, comp, sig) in groups(batches, len(keys)):
+        for key, (n, rep, comp, rest, sig) in groups(batches, len(keys)):
             if len(rep) < 2:
                 continue
             left: set[int] = set()
-            for x, y in block_pairs(n, sig, comp):
+            for x, y in block_pairs(n, sig, comp, rest):
                 left.update((x.at, y.at))
                 x.mark()
                 y.mark()
             if left:
                 cols = [pa.array([k] * len(left), pa.int64()) for k in key]
-                cols += [pa.array([rep[i] for i in left], pa.int64()), pa.array([comp[i] for i in left], pa.int64())]
-                yield pa.RecordBatch.from_arrays(cols, names=[*keys, "rep", "comp"])
+                cols += [pa.array([c[i] for i in left], pa.int64()) for c in (rep, comp, rest)]
+                yield pa.RecordBatch.from_arrays(cols, names=[*keys, "rep", "comp", "rest"])
 
-    ordered = blocks.select(*keys, "n", "rep", "comp", "sig").repartition(*keys).sortWithinPartitions(*keys, "rep")
-    return ordered.mapInArrow(run, ", ".join(f"{k} long" for k in keys) + ", rep long, comp long")
+    ordered = blocks.select(*keys, "n", "rep", "comp", "rest", "sig").repartition(*keys).sortWithinPartitions(*keys, "rep")
+    return ordered.mapInArrow(run, ", ".join(f"{k} long" for k in keys) + ", rep long, comp long, rest long")
 
 
 # ------------------------------------------------------------------ the join
@@ -349,7 +349,7 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, chunk_bytes: int
         return batch.filter(pc.and_(ids.is_valid(), pa.array(is_rep.value.test(ids.fill_null(0).to_numpy(zero_copy_only=False)))))
 
     def prefixes(batches):
-        for b in batches:
+        for b in pieces(batches):
             mine = reps(b)
             own = list(sets(*byte_view(mine.column(1)), size))
             first = [order.value.prefix(s) for s in own]
@@ -364,23 +364,25 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, chunk_bytes: int
     def passing(batches):
         for b in batches:
             flat = b.column(2).flatten().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(b.num_rows), b.column(2).value_lengths().to_numpy(zero_copy_only=False))
+            count = b.column(2).value_lengths().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(b.num_rows), count)
+            rest = b.column(1).to_numpy()[row] - (np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count))
             hit = np.flatnonzero(is_shared.value.test(flat)) if len(flat) else np.zeros(0, np.int64)
             at = pa.array(row[hit])
-            yield pa.RecordBatch.from_arrays([pa.array(flat[hit], pa.int64()), b.column(0).take(at), b.column(1).take(at)], names=["token", "rep", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[hit], pa.int64()), b.column(0).take(at), b.column(1).take(at), pa.array(rest[hit], pa.int64())], names=["token", "rep", "n", "rest"])
 
-    rows = stored(light.select("rep", "n", "tokens").mapInArrow(passing, "token long, rep long, n long"), "join-shared")
+    rows = stored(light.select("rep", "n", "tokens").mapInArrow(passing, "token long, rep long, n long, rest long"), "join-shared")
     sigs = light.select("rep", "sig")
     keys = ["token", "i", "j"]
     marked = hopeful(_blocks(rows.withColumn("comp", F.col("rep")), chunk_rows).join(sigs, "rep"), keys)
-    marked = stored(marked.select("token", "rep").distinct(), "join-marked")
-    home = stored(marked.groupBy("rep").agg(F.min("token").alias("home")), "join-home")
+    marked = stored(marked.select("token", "rep", "rest").distinct(), "join-marked")
+    home = stored(marked.groupBy("rep").agg(F.max_by("token", "rest").alias("home")), "join-home")
     is_near = sc.broadcast(Membership.build(home, "rep"))
 
     def records(batches):
         names = ["rep", "n", "sig", "toks"]
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        for b in batches:
+        for b in pieces(batches):
             ids = b.column(0)
             mine = b.filter(pc.and_(ids.is_valid(), pa.array(is_near.value.test(ids.fill_null(0).to_numpy(zero_copy_only=False)))))
             out: list[list] = [[] for _ in names]
@@ -429,7 +431,7 @@ def _home_links(held: DataFrame, chunk_bytes: int, levels: int = 6) -> DataFrame
 
 
 def _blocks(rows: DataFrame, chunk_rows: int) -> DataFrame:
-    """(token, i, j, rep, n, comp) of the blocks of (token, rep, n, comp) rows that may
+    """(token, i, j, rep, n, comp, rest) of the blocks of (token, rep, n, comp, rest) rows that may
     hold a link between components; of blocks with the same records one is kept."""
     open_tokens = (
         rows.groupBy("token")
@@ -439,19 +441,21 @@ def _blocks(rows: DataFrame, chunk_rows: int) -> DataFrame:
             F.max("comp").alias("c1"),
             F.min("n").alias("n0"),
             F.max("n").alias("n1"),
+            F.min("rest").alias("r0"),
+            F.sum("rest").alias("early"),
             F.bit_xor(F.xxhash64("rep")).alias("x"),
             F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"),
         )
-        .where(f"c0 != c1 and (c > 2 or 100 * n0 >= {PERCENT} * n1)")
+        .where(f"c0 != c1 and (c > 2 or (100 * n0 >= {PERCENT} * n1 and {100 + PERCENT} * r0 >= {PERCENT} * (n0 + n1)))")
         .groupBy("c", "x", "y")
-        .agg(F.min("token").alias("token"))
+        .agg(F.max_by("token", "early").alias("token"))  # the earliest of the order, for every record of the block
         .select("token", F.ceil(F.col("c") / chunk_rows).alias("k"))
     )
     left = rows.join(open_tokens, "token")
     part = F.pmod(F.xxhash64("rep"), F.col("k"))
     partner = F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))
     left = left.withColumn("p", part).withColumn("q", partner)
-    return left.select("token", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "rep", "n", "comp")
+    return left.select("token", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "rep", "n", "comp", "rest")
 
 
 def _rest_links(marked: DataFrame, held: DataFrame, comps: DataFrame, chunk_rows: int) -> DataFrame:
