@@ -15,7 +15,6 @@ VALID_LEVELS = [0, 1, 2, 3, 4, *range(80, 90), 99]
 FMT_POLY = "{iso}_admn_ad{level}_py_s1_{src}_pp_{real}"
 FMT_DISPUTED = "{iso}_admn_ad0_ln_s0_{src}_pp_disputedBoundaries"
 FMT_COAST = "{iso}_elev_cst_ln_s0_{src}_pp_coastline"
-FMT_LINE = "{iso}_admn_ad{level}_ln_s0_{src}_pp_{real}"
 
 
 def realname(level: Column) -> Column:

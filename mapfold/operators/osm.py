@@ -165,7 +165,7 @@ LAYERS: list[LayerSpec] = [
                           "school:gen", "school_gen", "osmid"),
               fclass="const", fclass_value="school"),
     LayerSpec("osm_education", {"amenity": ("university", "college")}, "210_educ",
-              "educ_uni_pt_s3_osm_pp_university", fclass="tag", fclass_value="amenity"),
+              "educ_edu_pt_s3_osm_pp_university", fclass="tag", fclass_value="amenity"),
     LayerSpec("osm_ferry_terminal", {"amenity": ("ferry_terminal",)}, "232_tran",
               "tran_fte_pt_s2_osm_pp_ferryterminal", fclass=None),
     LayerSpec("osm_ferry_route", {"route": ("ferry",)}, "232_tran", "tran_fer_ln_s2_osm_pp_ferryroute",
@@ -177,7 +177,7 @@ LAYERS: list[LayerSpec] = [
     LayerSpec("osm_health", {"amenity": ("clinic", "doctors", "hospital", "pharmacy", "health_post")},
               "215_heal", "heal_hea_pt_s3_osm_pp_healthfacilities", fclass="tag_else",
               fclass_value="amenity", fclass_default="health_facility"),
-    LayerSpec("osm_hospital", {"amenity": ("hospital",)}, "215_heal", "heal_hos_pt_s3_osm_pp_hospital",
+    LayerSpec("osm_hospital", {"amenity": ("hospital",)}, "215_heal", "heal_hea_pt_s3_osm_pp_hospital",
               attributes=("name", "name:en", "name_en", "emergency", "operator", "operator:type", "beds",
                           "operator_type", "operator_ty"),
               fclass="const", fclass_value="hospital"),
@@ -199,11 +199,11 @@ LAYERS: list[LayerSpec] = [
               attributes=("name", "name:en", "name_en", "amenity", "passenger", "cargo"),
               fclass="tag", fclass_value="railway"),
     LayerSpec("osm_poi_point", {"amenity": tuple(POI_POINT_CLASSES)}, "222_pois", "pois_pt_s3_osm_pp_pois",
-              attributes=("name",), kinds=POINT_KINDS + POLY_KINDS, fclass="tag_else", fclass_value="amenity",
-              fclass_default="poi"),
+              attributes=("name",), kinds=None, fclass="tag_else", fclass_value="amenity",
+              fclass_default="point_of_interest"),
     LayerSpec("osm_poi_polygon", {"amenity": tuple(POI_POLYGON_CLASSES)}, "222_pois",
               "pois_py_s3_osm_pp_pois", attributes=("name",), kinds=POLY_KINDS, fclass="tag_else",
-              fclass_value="amenity", fclass_default="poi"),
+              fclass_value="amenity", fclass_default="polygon_of_interest"),
 ]
 
 # ATM layer (bank with ATM is an AND of two tags, deduplicated by element)

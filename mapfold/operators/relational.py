@@ -1,4 +1,4 @@
-"""Relational helpers: bounded top-k per group, size-checked broadcast."""
+"""Relational helpers: bounded top-k per group."""
 
 from __future__ import annotations
 
@@ -20,9 +20,3 @@ def topk_per_group(df: DataFrame, keys: list[str], order: list, k: int, salt_buc
     w2 = Window.partitionBy(*keys).orderBy(*order)
     out = pre.withColumn("rank", F.row_number().over(w2)).where(F.col("rank") <= k)
     return out.drop("_salt", "_r")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking that it holds at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -1,12 +1,13 @@
 """Schema operators: short column names, projection of wanted attributes.
 
-Column lists are schema metadata (a handful of names), so the name rules run
-on the driver for renames; ``*_table`` versions apply the same rules to a
-DataFrame of names (one row per column) with window functions.
+The rules apply to a DataFrame of names (one row per column) with window
+functions; a single schema's column list uses the same rule directly.
 """
 
 from __future__ import annotations
 
+from itertools import chain, count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,40 +15,20 @@ LIMIT = 10  # longest column name a shapefile keeps
 
 
 def short_names_keep_first(cols: list[str], limit: int = LIMIT) -> list[str]:
-    """Cut to ``limit``; the first holder keeps the cut name, later clashes get
-    the name cut to limit-1 plus a counter 1, 2, ... until the name is free."""
-    used: list[str] = []
+    """The ``keep_first`` rule for one schema: every column takes the first free one
+    of its cut name and its shorter cut followed by 1, 2, 3, ..."""
+    taken: dict[str, str] = {}
     for c in cols:
-        new, n = c[:limit], 1
-        while new in used:
-            new = f"{c[:limit - 1]}{n}"
-            n += 1
-        used.append(new)
-    return used
+        numbered = (f"{c[: limit - 1]}{k}" for k in count(1))
+        taken[next(name for name in chain([c[:limit]], numbered) if name not in taken)] = c
+    return list(taken)
 
 
 def short_names_number_all(cols: list[str], limit: int = LIMIT) -> list[str]:
-    """Cut to ``limit``; when a cut name is held more than once every holder
-    gets a running suffix (1, 2, ...) and is re-cut so the total fits."""
+    """The ``number_all`` rule of ``short_names_table`` for one schema's column list."""
     cut = [c[:limit] for c in cols]
-    counts: dict[str, int] = {}
-    for c in cut:
-        counts[c] = counts.get(c, 0) + 1
-    seen: dict[str, int] = {}
-    out = []
-    for c in cut:
-        if counts[c] > 1:
-            seen[c] = seen.get(c, 0) + 1
-            s = str(seen[c])
-            out.append(c[: limit - len(s)] + s)
-        else:
-            out.append(c)
-    return out
-
-
-def rename_short(df: DataFrame, rule: str = "keep_first") -> DataFrame:
-    fn = short_names_keep_first if rule == "keep_first" else short_names_number_all
-    return df.toDF(*fn(df.columns))
+    rank = [str(1 + cut[:i].count(c)) for i, c in enumerate(cut)]
+    return [c if cut.count(c) == 1 else c[: limit - len(k)] + k for c, k in zip(cut, rank)]
 
 
 def short_names_table(names: DataFrame, rule: str, limit: int = LIMIT) -> DataFrame:
@@ -71,22 +52,3 @@ def short_names_table(names: DataFrame, rule: str, limit: int = LIMIT) -> DataFr
             F.concat(F.expr(f"substring(cut, 1, {limit} - length(cast(k as string)))"), s)
         )
     return df.select("grp", "pos", "name", short.alias("short"))
-
-
-def project_available(df: DataFrame, wanted: list[str], keep: list[str] | None = None) -> DataFrame:
-    """Keep ``keep`` columns plus those wanted columns that exist (proj_available)."""
-    keep = keep or []
-    return df.select(*keep, *[c for c in wanted if c in df.columns and c not in keep])
-
-
-def fill_missing(df: DataFrame, wanted: list[str]) -> DataFrame:
-    """Add absent wanted columns as NULL strings (proj_fill_missing)."""
-    return df.withColumns({c: F.lit(None).cast("string") for c in wanted if c not in df.columns})
-
-
-def move_first(df: DataFrame, col: str) -> DataFrame:
-    return df.select(col, *[c for c in df.columns if c != col])
-
-
-def first_n_columns(df: DataFrame, n: int = 100) -> DataFrame:
-    return df.select(*df.columns[:n])

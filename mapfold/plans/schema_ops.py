@@ -66,12 +66,12 @@ def win_number_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "proj_first_n_columns",
-    f"select grp, name from (select *, row_number() over (partition by grp order by pos) r from {_NAMES_SQL} t) x where r <= 5",
+    f"select grp, name from (select *, row_number() over (partition by grp order by pos) r from {_NAMES_SQL} t) x where r <= 100",
 )
 def proj_first_n_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """First n columns of each schema (n = 5 here; 100 in the layer writer)."""
+    """First 100 columns of each schema."""
     w = Window.partitionBy("grp").orderBy("pos")
-    return names_table(spark, sf).withColumn("r", F.row_number().over(w)).where("r <= 5").select("grp", "name")
+    return names_table(spark, sf).withColumn("r", F.row_number().over(w)).where("r <= 100").select("grp", "name")
 
 
 def _wanted(spark):

@@ -42,9 +42,12 @@ def get_spark(master: str | None = None, app: str = "mapfold", **conf) -> SparkS
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only if unset."""
+    """Return the shared checkpoint folder; a local one is made only for a
+    local master, because on a cluster executors do not share it."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="mapfold-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
