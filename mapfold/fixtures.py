@@ -45,9 +45,17 @@ FX: dict[str, str] = {
     "fx_osm": (
         "select event_id osm_id, case event_id%4 when 0 then 'node' when 3 then 'relation' else 'way' end el_type, "
         "case event_id%4 when 0 then 'Point' when 1 then 'LineString' when 2 then 'Polygon' else 'MultiPolygon' end kind, "
-        "case event_type when 'view' then 'school' when 'click' then 'bank' when 'error' then 'hospital' "
-        "when 'signup' then 'atm' end amenity, case when event_id%7=0 then 'yes' end atm, "
+        "case when event_id%37=1 then 'university' when event_id%37=2 then 'ferry_terminal' "
+        "when event_type='view' then 'school' when event_type='click' then 'bank' when event_type='error' then 'hospital' "
+        "when event_type='signup' then 'atm' end amenity, case when event_id%7=0 then 'yes' end atm, "
         "case event_id%5 when 0 then 'river' when 1 then 'canal' when 2 then 'dam' end waterway, "
+        "case event_id%11 when 1 then 'primary' when 3 then 'residential' when 6 then 'trunk' end highway, "
+        "case event_id%13 when 1 then 'rail' when 2 then 'station' when 5 then 'miniature' when 7 then 'halt' end railway, "
+        "case event_id%17 when 1 then 'city' when 2 then 'town' when 4 then 'hamlet' end place, "
+        "case when event_id%34=1 then 'yes' end capital, "
+        "case event_id%19 when 1 then 'lake' when 3 then 'reservoir' when 6 then 'river' end water, "
+        "case when event_id%23=5 then 'ferry' end route, case when event_id%29=2 then 'harbour' end landuse, "
+        "case when event_id%29=4 then 'port' end harbour, case when event_id%31=3 then 'border_control' end border, "
         "case when event_id%3=0 then concat('n',cast(user_id as varchar(20))) end name, "
         "cast((event_id*7919)%36000 as bigint)*10000-180000000 x, "
         "cast((event_id*104729)%18000 as bigint)*10000-90000000 y from events"

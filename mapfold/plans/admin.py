@@ -312,13 +312,20 @@ def agg_last_wins(spark: SparkSession, sf: str) -> DataFrame:
     return pcode_last(spark, sf)
 
 
-@query("set_merge_override", _LAST_SQL)
+_MERGE_SQL = """
+select pcode, name, adm_level, admin_type, area_id from fx_units where pcode is not null
+qualify row_number() over (partition by pcode order by case when file_order % 2 = 0 then 0 else 1 end, file_order desc) = 1
+"""
+
+
+@query("set_merge_override", _MERGE_SQL)
 def set_merge_override(spark: SparkSession, sf: str) -> DataFrame:
     """Dictionary update: union of two dictionaries, the right one wins per key."""
     u = view(spark, sf, "fx_units").where(F.col("pcode").isNotNull())
     left, right = u.where(F.col("file_order") % 2 == 1), u.where(F.col("file_order") % 2 == 0)
-    both = left.unionByName(right)
-    return A.last_wins(both, ["pcode"], "file_order", ["name", "adm_level", "admin_type", "area_id"])
+    side = lambda df, n: df.withColumn("turn", F.struct(F.lit(n).alias("side"), F.col("file_order")))
+    both = side(left, 0).unionByName(side(right, 1))
+    return A.last_wins(both, ["pcode"], "turn", ["name", "adm_level", "admin_type", "area_id"])
 
 
 @query("win_last_file_wins", _LAST_SQL)

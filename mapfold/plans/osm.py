@@ -11,7 +11,7 @@ from mapfold.operators.schema import short_names_number_all
 from mapfold.plans import query
 from mapfold.plans.sqlsnip import intersects_having, within_having
 
-FX_TAG_KEYS = ["amenity", "atm", "waterway", "name"]
+FX_TAG_KEYS = ["amenity", "atm", "waterway", "name", "highway", "railway", "place", "capital", "water", "route", "landuse", "harbour", "border"]
 
 
 def osm_elements(spark: SparkSession, sf: str) -> DataFrame:
