@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import _BASE, ALNUM_WORDS, byte_view, mix, ship, slices, table, words
+from mapfold.llm.common import _BASE, ALNUM_WORDS, byte_view, distinct, mix, ship, slices, table, words
 
 DIM = 1 << 20
 MAX_ROWS = 30_000
@@ -54,7 +54,7 @@ def grams(raw: np.ndarray, offs: np.ndarray) -> Iterator[tuple[int, np.ndarray,
 def features(raw: np.ndarray, offs: np.ndarray) -> Iterator[np.ndarray]:
     """Distinct feature places of each text of a byte view."""
     for _, first, kinds in grams(raw, offs):
-        at = np.unique(np.concatenate([o * DIM + g for o, g in kinds]))
+        at = distinct(np.concatenate([o * DIM + g for o, g in kinds]))
         edge = np.searchsorted(at, np.arange(len(first)) * DIM)
         at %= DIM
         for a, b in zip(edge[:-1], edge[1:]):
@@ -115,7 +115,7 @@ class Model:
         for row, first, kinds in grams(raw, offs):
             known = [(o[hit], g[hit]) for o, g in kinds if len(hit := np.flatnonzero(d[g]))]
             if known:
-                at = np.unique(np.concatenate([o * DIM + g for o, g in known]))
+                at = distinct(np.concatenate([o * DIM + g for o, g in known]))
                 n = len(first) - 1
                 total[row : row + n] += np.bincount(at // DIM, weights=d[at % DIM], minlength=n)
         return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
