@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import ship, table
+from mapfold.llm.common import distinct, ship, table
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -133,7 +133,7 @@ def pack(
         doc_ends = np.cumsum(counts)
         at, pen = candidates(ids, doc_ends, encoder(vocabulary), length, split_penalty, clause_penalty, inside_penalty)
         window = at[cuts(at, pen, length)]
-        edges = np.union1d(window, np.concatenate([[0], doc_ends]))
+        edges = distinct(np.concatenate([window, [0], doc_ends]))
         first, size = edges[:-1], np.diff(edges)
         doc = np.searchsorted(doc_ends, first, side="right")
         win = np.searchsorted(window, first, side="right") - 1

@@ -58,7 +58,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import BLANK_WORDS, Membership, byte_view, components, lists, mix, ngrams, pieces, ship, slices, stored, table, words
+from mapfold.llm.common import BLANK_WORDS, Membership, byte_view, components, distinct, lists, mix, ngrams, pieces, ship, slices, stored, table, words
 
 SHINGLE = 4
 PERCENT = 85
@@ -189,7 +189,7 @@ def sets(raw: np.ndarray, offs: np.ndarray, size: int = SHINGLE) -> Iterator[np.
         _, _, h, first = words(raw[offs[i] : offs[j]], offs[i : j + 1] - offs[i], BLANK_WORDS)
         g = ngrams(h, size) if len(h) >= size else None
         for a, b in zip(first[:-1], first[1:]):
-            yield np.unique(g[a : b - size + 1] if b - a >= size else ngrams(h[a:b], size))
+            yield distinct(g[a : b - size + 1] if b - a >= size else ngrams(h[a:b], size))
 
 
 def need(n: int, percent: int = PERCENT) -> int:
