@@ -226,12 +226,12 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def survey(docs: DataFrame, local_min: int = 2, flush: int = 3_000_000) -> DataFrame:
+def survey(docs: DataFrame, size: int = SHINGLE, local_min: int = 2, flush: int = 3_000_000) -> DataFrame:
     """kind 0: (id, n, set fingerprint in a and b) of every row; kind 1: tokens (a) that occur in
     ``local_min`` rows or more of some stretch of a task, with that count (n)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, n_held = [], 0
 
         def frequent() -> pa.RecordBatch:
             t, c = np.unique(np.concatenate(held), return_counts=True)
@@ -240,15 +240,15 @@ def survey(docs: DataFrame, local_min: int = 2, flush: int = 3_000_000) -> DataF
 
         for batch in pieces(batches):
             n, a, b = [], [], []
-            for s in sets(*byte_view(batch.column(1))):
+            for s in sets(*byte_view(batch.column(1)), size):
                 n.append(len(s))
                 a.append(mix(s).sum(dtype=np.uint64))
                 b.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
                 held.append(s)
-                size += len(s)
-                if size >= flush:
+                n_held += len(s)
+                if n_held >= flush:
                     yield frequent()
-                    held, size = [], 0
+                    held, n_held = [], 0
             yield rows(np.zeros(len(n), np.int32), batch.column(0), np.array(n, np.int64), _signed(np.array(a, np.uint64)), _signed(np.array(b, np.uint64)))
         if held:
             yield frequent()
@@ -337,7 +337,7 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, chunk_bytes: int
     sc = spark.sparkContext
     ship(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = stored(survey(docs), "join-survey")
+    found = stored(survey(docs, size), "join-survey")
     whole = found.where("kind = 0")
     top = found.where("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).where("n >= 8").orderBy(F.desc("n"), "a").limit(FREQUENT).toPandas()  # at most 2^18 rows of 16 bytes
     order = sc.broadcast(Order(top["a"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)))

@@ -261,11 +261,11 @@ def test_rebalance_only_moves_what_helps():
 # ------------------------------------------------------------ n-gram join
 
 
-def brute_components(rows):
+def brute_components(rows, size=4):
     sets, held = {}, defaultdict(list)
     for i, t in rows:
         w = [x for x in re.split("[\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")) if x]
-        sets[i] = {tuple(w[j : j + 4]) for j in range(max(1, len(w) - 3))} if w else set()
+        sets[i] = {tuple(w[j : j + size]) for j in range(max(1, len(w) - size + 1))} if w else set()
         for s in sets[i]:
             held[s].append(i)
     up = {i: i for i in sets}
@@ -301,6 +301,12 @@ def test_join_equals_brute_force(spark, limits):
     assert sorted(tuple(r) for r in got) == brute_components(rows)
 
 
+def test_join_counts_shingles_of_the_given_size(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b"), (3, "b a"), (4, "a b a b"), (5, None), (6, "A b C d E f g")]
+    got = sigtree.similarity_components(docs_of(spark, rows), size=2).collect()
+    assert sorted(tuple(r) for r in got) == brute_components(rows, 2)
+
+
 def test_join_edges(spark, edge):
     assert sigtree.similarity_components(edge.limit(0)).count() == 0
     got = {r.doc_id: r.component_id for r in sigtree.similarity_components(edge).collect()}
