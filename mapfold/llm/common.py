@@ -225,7 +225,7 @@ class Membership:
         return Membership(bits, raw)
 
     def test(self, values: np.ndarray) -> np.ndarray:
-        h = xxhash64_long(values.view(np.uint64) if values.dtype == np.int64 else values)
+        h = xxhash64_long(values)
         m = np.uint64(self.bits - 1)
         out = np.ones(len(values), bool)
         for p in (h & m, (h >> np.uint64(32)) & m):
@@ -235,6 +235,7 @@ class Membership:
 
 def xxhash64_long(x: np.ndarray) -> np.ndarray:
     """Spark's ``xxhash64`` of one bigint column (seed 42), vectorised."""
+    x = x.view(np.uint64)
     p1, p2, p3, p4, p5 = (np.uint64(v) for v in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
     def rotl(v, r):

@@ -24,8 +24,11 @@ the first n - ceil(0.85 n) + 1 of each.  The order needs no exact counts: any
 order is right, a good one makes blocks small.  The steps are
 
 1. equal sets become one class with the smallest id as its representative;
-2. tokens that two or more representatives' prefixes hold are found by a count;
-   each is a block (blocks of the very same records count once);
+2. records of one token are split by power-of-two size class, and a record near the
+   end of its class is a guest of the next one too (linked sizes differ by less), so
+   short texts never meet the long ones; a (token, class) key that two or more
+   representatives' prefixes hold, found by a count, is a block (blocks of the very
+   same records count once);
 3. light rows (size and bitmap) of every block go through the tree, which marks the
    records that keep a possible partner; only these bring their full sets;
 4. every such record goes to one block, that of its first marked token, where pairs
@@ -58,7 +61,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import BLANK_WORDS, Membership, byte_view, components, distinct, lists, mix, ngrams, pieces, ship, slices, stored, table, words
+from mapfold.llm.common import BLANK_WORDS, Membership, byte_view, components, distinct, lists, mix, ngrams, pieces, ship, slices, stored, table, words, xxhash64_long
 
 SHINGLE = 4
 PERCENT = 85
@@ -196,6 +199,12 @@ def need(n: int, percent: int = PERCENT) -> int:
     return -(-percent * n // 100)
 
 
+def size_class(n: int, percent: int = PERCENT) -> tuple[int, bool]:
+    """Power-of-two class of a set of n tokens, and whether it can link into the next class."""
+    c = max(n, 1).bit_length() - 1
+    return c, 100 * n >= percent << (c + 1)
+
+
 class Order:
     """Global token order: unlisted tokens by hash, then listed ones from rare to frequent."""
 
@@ -354,11 +363,16 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, chunk_bytes: int
             own = list(sets(*byte_view(mine.column(1)), size))
             first = [order.value.prefix(s) for s in own]
             sizes = [len(s) for s in own]
-            cols = [mine.column(0), pa.array(sizes, pa.int64()), pa.array([bitmap(s, width(n)) for s, n in zip(own, sizes)], pa.binary()), lists(first, np.array([len(p) for p in first], np.int64), pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=["rep", "n", "sig", "tokens"])
-
-    light = stored(docs.mapInArrow(prefixes, "rep long, n long, sig binary, tokens array<long>"), "join-light")
-    shared = light.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+            cls, guest = zip(*(size_class(n) for n in sizes)) if sizes else ((), ())
+            cols = [mine.column(0), pa.array(sizes, pa.int64()), pa.array(cls, pa.int64()), pa.array(guest, pa.bool_()), pa.array([bitmap(s, width(n)) for s, n in zip(own, sizes)], pa.binary()), lists(first, np.array([len(p) for p in first], np.int64), pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["rep", "n", "cls", "guest", "sig", "tokens"])
+
+    light = stored(docs.mapInArrow(prefixes, "rep long, n long, cls long, guest boolean, sig binary, tokens array<long>"), "join-light")
+    # a block's key is its token with the class mixed in
+    own_key, next_key = (F.col("token").bitwiseXOR(F.xxhash64(F.col("cls") + k)) for k in (0, 1))
+    each = light.select("cls", "guest", F.explode("tokens").alias("token"))
+    each = each.select(F.explode(F.when(F.col("guest"), F.array(own_key, next_key)).otherwise(F.array(own_key))).alias("token"))
+    shared = each.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     is_shared = sc.broadcast(Membership.build(shared, "token"))
 
     def passing(batches):
@@ -367,11 +381,15 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, chunk_bytes: int
             count = b.column(2).value_lengths().to_numpy(zero_copy_only=False)
             row = np.repeat(np.arange(b.num_rows), count)
             rest = b.column(1).to_numpy()[row] - (np.arange(len(flat)) - np.repeat(np.cumsum(count) - count, count))
-            hit = np.flatnonzero(is_shared.value.test(flat)) if len(flat) else np.zeros(0, np.int64)
-            at = pa.array(row[hit])
-            yield pa.RecordBatch.from_arrays([pa.array(flat[hit], pa.int64()), b.column(0).take(at), b.column(1).take(at), pa.array(rest[hit], pa.int64())], names=["token", "rep", "n", "rest"])
-
-    rows = stored(light.select("rep", "n", "tokens").mapInArrow(passing, "token long, rep long, n long, rest long"), "join-shared")
+            cls = b.column(3).to_numpy()[row]
+            guest = b.column(4).to_numpy(zero_copy_only=False).astype(bool)[row]
+            for up, here in ((0, np.ones(len(flat), bool)), (1, guest)):
+                key = flat[here] ^ xxhash64_long(cls[here] + up).view(np.int64)
+                hit = np.flatnonzero(is_shared.value.test(key)) if len(key) else np.zeros(0, np.int64)
+                at = pa.array(row[here][hit])
+                yield pa.RecordBatch.from_arrays([pa.array(key[hit], pa.int64()), b.column(0).take(at), b.column(1).take(at), pa.array(rest[here][hit], pa.int64())], names=["token", "rep", "n", "rest"])
+
+    rows = stored(light.select("rep", "n", "tokens", "cls", "guest").mapInArrow(passing, "token long, rep long, n long, rest long"), "join-shared")
     sigs = light.select("rep", "sig")
     keys = ["token", "i", "j"]
     marked = hopeful(_blocks(rows.withColumn("comp", F.col("rep")), chunk_rows).join(sigs, "rep"), keys)
@@ -464,6 +482,10 @@ def _rest_links(marked: DataFrame, held: DataFrame, comps: DataFrame, chunk_rows
     known = held.select("rep", "n").join(comps, F.col("rep") == comps["node"], "left").select("rep", "n", F.coalesce("comp", "rep").alias("comp"))
     left = stored(_blocks(marked.join(known, "rep"), chunk_rows), "join-open")
     near = stored(hopeful(left.join(held.select("rep", "sig"), "rep"), keys), "join-hopeful")
+    # what is left of many blocks are the very same records; one of these blocks is enough
+    per = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))
+    one = per.groupBy("c", "x", "y").agg(F.min(F.struct(*keys)).alias("k")).select("k.*")
+    near = near.join(one, keys, "left_semi")
     out = stored(linked(near.join(held.select("rep", "n", "sig", "toks"), "rep"), keys), "join-rest")
     # a root stands for its component too: records of one component share a root without a link
     return out.where("rep != root").select("rep", "root")
