@@ -43,7 +43,8 @@ FX: dict[str, str] = {
         "from orders"
     ),
     "fx_osm": (
-        "select event_id osm_id, case event_id%4 when 0 then 'node' when 3 then 'relation' else 'way' end el_type, "
+        "select cast(case event_id%4 when 0 then floor(event_id/4) when 3 then floor(event_id/4) else floor(event_id/4)*2+event_id%4-1 end as bigint) osm_id, "
+        "case event_id%4 when 0 then 'node' when 3 then 'relation' else 'way' end el_type, "
         "case event_id%4 when 0 then 'Point' when 1 then 'LineString' when 2 then 'Polygon' else 'MultiPolygon' end kind, "
         "case when event_id%37=1 then 'university' when event_id%37=2 then 'ferry_terminal' "
         "when event_type='view' then 'school' when event_type='click' then 'bank' when event_type='error' then 'hospital' "

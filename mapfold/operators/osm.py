@@ -59,6 +59,7 @@ primary_link secondary_link tertiary_link living_street service track road
 """.split()
 
 NAME3 = ["name", "name:en", "name_en"]
+ELEMENT = ["el_type", "osm_id"]  # nodes, ways and relations number their ids apart
 
 
 @dataclass(frozen=True)
@@ -119,12 +120,12 @@ def select_elements(osm: DataFrame, s: LayerSpec) -> DataFrame:
 
 
 def osm_layer(osm: DataFrame, segs: DataFrame, areas: DataFrame, s: LayerSpec) -> DataFrame:
-    """One layer for every area: (iso, layer_name, osm_id, [fclass], attributes.., x, y)."""
+    """One layer for every area: (iso, layer_name, el_type, osm_id, [fclass], attributes.., x, y)."""
     el = select_elements(osm, s)
-    hits = points_in_areas(el, segs, "osm_id", "area_id", s.predicate)
-    df = hits.join(areas.select("area_id", "iso"), "area_id").join(el, "osm_id")
+    hits = points_in_areas(el, segs, ELEMENT, "area_id", s.predicate)
+    df = hits.join(areas.select("area_id", "iso"), "area_id").join(el, ELEMENT)
     tags = F.col("tags")
-    cols = [F.col("iso"), F.concat(F.col("iso"), F.lit("_" + s.tail)).alias("layer_name"), F.col("osm_id")]
+    cols = [F.col("iso"), F.concat(F.col("iso"), F.lit("_" + s.tail)).alias("layer_name"), *map(F.col, ELEMENT)]
     if s.explode_classes is not None:
         # a way carrying k wanted classes appears k times, once per class
         hw = F.split(F.coalesce(_t(tags, "highway"), F.lit("")), ", ")
@@ -218,4 +219,4 @@ ATM_PARTS = [
 
 def osm_atm(osm: DataFrame, segs: DataFrame, areas: DataFrame) -> DataFrame:
     a, b = (osm_layer(osm, segs, areas, s) for s in ATM_PARTS)
-    return a.unionByName(b).dropDuplicates(["iso", "osm_id"])
+    return a.unionByName(b).dropDuplicates(["iso", *ELEMENT])

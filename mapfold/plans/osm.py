@@ -60,8 +60,8 @@ def _sql_fclass(s: O.LayerSpec) -> str | None:
 
 def layer_sql(s: O.LayerSpec) -> str:
     having = within_having("o", "s") if s.predicate == "within" else intersects_having("o", "s")
-    cols = ["a.iso", f"concat(a.iso, '_{s.tail}') layer_name", "o.osm_id"]
-    src = "from h join fx_areas a on a.area_id = h.area_id join el o on o.osm_id = h.osm_id"
+    cols = ["a.iso", f"concat(a.iso, '_{s.tail}') layer_name", "o.el_type", "o.osm_id"]
+    src = "from h join fx_areas a on a.area_id = h.area_id join el o on o.el_type = h.el_type and o.osm_id = h.osm_id"
     if s.explode_classes is not None:
         lst = ",".join(f"'{c}'" for c in s.explode_classes)
         src += (
@@ -78,7 +78,7 @@ def layer_sql(s: O.LayerSpec) -> str:
     cols += ["o.x", "o.y"]
     return (
         f"with el as (select * from fx_osm o where {_sql_filter(s)}), "
-        f"h as (select o.osm_id, s.area_id from el o, fx_segments s group by o.osm_id, s.area_id having {having}) "
+        f"h as (select o.el_type, o.osm_id, s.area_id from el o, fx_segments s group by o.el_type, o.osm_id, s.area_id having {having}) "
         f"select {', '.join(cols)} {src}"
     )
 
@@ -102,8 +102,8 @@ _a, _b = (layer_sql(s) for s in O.ATM_PARTS)
 @query(
     "osm_atm",
     f"""
-select distinct on (iso, osm_id) * from (
-  select * from ({_a}) x union all select * from ({_b}) y) u order by iso, osm_id, fclass
+select distinct on (iso, el_type, osm_id) * from (
+  select * from ({_a}) x union all select * from ({_b}) y) u order by iso, el_type, osm_id, fclass
 """,
 )
 def osm_atm(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,7 +129,7 @@ def filt_osm_tags(spark: SparkSession, sf: str) -> DataFrame:
     "scan_osm_features",
     f"""
 with el as (select * from fx_osm o where coalesce(o.waterway in ('dam','river'), false))
-select o.osm_id, s.area_id from el o, fx_segments s group by o.osm_id, s.area_id having {within_having('o', 's')}
+select o.el_type, o.osm_id, s.area_id from el o, fx_segments s group by o.el_type, o.osm_id, s.area_id having {within_having('o', 's')}
 """,
 )
 def scan_osm_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,7 +137,7 @@ def scan_osm_features(spark: SparkSession, sf: str) -> DataFrame:
     from mapfold.operators.spatial_join import points_in_areas
 
     el = osm_elements(spark, sf).where(O.tag_filter(F.col("tags"), {"waterway": ("dam", "river")}))
-    return points_in_areas(el, view(spark, sf, "fx_segments"), "osm_id", "area_id", "within")
+    return points_in_areas(el, view(spark, sf, "fx_segments"), O.ELEMENT, "area_id", "within")
 
 
 @query(
@@ -180,9 +180,9 @@ _BANK = next(s for s in O.LAYERS if s.layer == "osm_bank")
 @query(
     "set_union_all",
     f"""
-select iso, layer_name, osm_id, fclass, name, "name:en", name_en, cast(null as varchar) osmid, x, y from ({layer_sql(_BANK)}) b
+select iso, layer_name, el_type, osm_id, fclass, name, "name:en", name_en, cast(null as varchar) osmid, x, y from ({layer_sql(_BANK)}) b
 union all
-select iso, layer_name, osm_id, fclass, name, "name:en", name_en, osmid, x, y from ({layer_sql(O.ATM_PARTS[0])}) a
+select iso, layer_name, el_type, osm_id, fclass, name, "name:en", name_en, osmid, x, y from ({layer_sql(O.ATM_PARTS[0])}) a
 """,
 )
 def set_union_all(spark: SparkSession, sf: str) -> DataFrame:
