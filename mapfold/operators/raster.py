@@ -1,4 +1,4 @@
-"""Raster operators on pixel tables ``(r, c, v)``.
+"""Raster operators on pixel tables ``(r, c, v)``; ``key`` names the columns that tell rasters apart.
 
 Neighbourhood stencils are expressed as one aggregation: every pixel sends its
 value to itself and to its four neighbours keyed by the target cell, and a
@@ -26,26 +26,26 @@ def pixel_centres(pixels: DataFrame) -> DataFrame:
     })
 
 
-def slope(pixels: DataFrame, cell_m: float = 30.0) -> DataFrame:
+def slope(pixels: DataFrame, cell_m: float = 30.0, key: tuple[str, ...] = ()) -> DataFrame:
     """Slope in degrees from central differences; NULL where a neighbour is missing."""
     offs = [("vc", 0, 0), ("vw", 0, 1), ("ve", 0, -1), ("vn", 1, 0), ("vs", -1, 0)]
     # a pixel at (r, c) is the W neighbour of (r, c+1), the E neighbour of (r, c-1), ...
     sent = pixels.select(
-        F.explode(F.array(*[
+        *key, F.explode(F.array(*[
             F.struct((F.col("r") + dr).alias("r"), (F.col("c") + dc).alias("c"), F.lit(k).alias("k"), F.col("v").alias("v"))
             for k, dr, dc in offs
         ])).alias("s")
-    ).select("s.*")
-    g = sent.groupBy("r", "c").agg(*[F.max(F.when(F.col("k") == k, F.col("v"))).alias(k) for k, _, _ in offs])
+    ).select(*key, "s.*")
+    g = sent.groupBy(*key, "r", "c").agg(*[F.max(F.when(F.col("k") == k, F.col("v"))).alias(k) for k, _, _ in offs])
     dzdx = (F.col("ve") - F.col("vw")) / (2 * cell_m)
     dzdy = (F.col("vs") - F.col("vn")) / (2 * cell_m)
     s = F.round(F.degrees(F.atan(F.sqrt(dzdx * dzdx + dzdy * dzdy))), 6)
-    return g.where(F.col("vc").isNotNull()).select("r", "c", s.alias("slope"))
+    return g.where(F.col("vc").isNotNull()).select(*key, "r", "c", s.alias("slope"))
 
 
-def mosaic(tiles: DataFrame) -> DataFrame:
-    """Tiles (tile_order, r, c, v) merged: the later tile lies on top."""
-    return tiles.groupBy("r", "c").agg(F.max_by("v", "tile_order").alias("v"))
+def mosaic(tiles: DataFrame, key: tuple[str, ...] = ()) -> DataFrame:
+    """Tiles (tile_order, r, c, v) merged within ``key``: the later tile lies on top."""
+    return tiles.groupBy(*key, "r", "c").agg(F.max_by("v", "tile_order").alias("v"))
 
 
 def tile_grid(boxes: DataFrame, n: int, key: str = "area_id") -> DataFrame:
