@@ -253,24 +253,33 @@ def xxhash64_long(x: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------ connected components
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, comp) with comp the smallest node reachable; every node of an edge.
 
-    Each round lowers a node's label to the least label among its neighbours
-    (a map-side combined minimum, so a node with a third of all edges costs one
-    row per task) and then jumps to the label's own label; rounds are written
-    to the shared folder.  Stops when no label changes.
+    Randomised contraction: each round draws a fresh order of the nodes, sends
+    every node to the first of itself and its neighbours (a map-side combined
+    minimum, so a node with a third of all edges costs one row per task) and
+    goes on with the edges between the images.  The last node of a round's order
+    is nobody's image, so every round has fewer nodes and it always ends; a
+    quarter of the nodes goes at least in expectation, whatever the ids, so the
+    rounds grow with the logarithm of the nodes.  Rounds are written to the
+    shared folder and shrink with the graph; the images are joined up backwards.
     """
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(F.col(b).alias("u"), F.col(a).alias("v")))
     both = stored(both.where("u != v").distinct(), "cc-edges")
-    labels = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("comp")).select(F.col("u").alias("node"), "comp"), "cc-labels")
-    for _ in range(max_rounds):
-        near = both.join(labels, both["v"] == labels["node"]).groupBy("u").agg(F.min("comp").alias("low"))
-        low = labels.join(near, labels["node"] == near["u"], "left").select("node", F.col("comp").alias("old"), F.least("comp", "low").alias("mid"))
-        own = labels.select(F.col("node").alias("k"), F.col("comp").alias("up"))
-        new = low.join(own, F.col("mid") == F.col("k"), "left").select("node", "old", F.least("mid", F.coalesce("up", "mid")).alias("comp"))
-        new = stored(new, "cc-labels")
-        labels = new.select("node", "comp")
-        if new.where("comp < old").limit(1).count() == 0:
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    images: list[DataFrame] = []
+    while not images or both.limit(1).count():
+        drawn = F.lit(len(images))
+        # xxhash64 of one value of 64 bits is a bijection: no two nodes tie
+        near = both.groupBy("u").agg(F.min_by("v", F.xxhash64("v", drawn)).alias("low"))
+        image = F.when(F.xxhash64("low", drawn) < F.xxhash64("u", drawn), F.col("low")).otherwise(F.col("u"))
+        images.append(stored(near.select("u", image.alias("to")), "cc-images"))
+        left, right = (images[-1].select(F.col("u").alias(c), F.col("to").alias(f"{c}_to")) for c in ("u", "v"))
+        moved = both.join(left, "u").join(right, "v").select(F.col("u_to").alias("u"), F.col("v_to").alias("v"))
+        both = stored(moved.where("u != v").distinct(), "cc-edges")
+    roots = images.pop()
+    while images:
+        up = roots.select(F.col("u").alias("k"), F.col("to").alias("root"))
+        roots = stored(images.pop().join(up, F.col("to") == F.col("k"), "left").select("u", F.coalesce("root", "to").alias("to")), "cc-roots")
+    least = roots.groupBy("to").agg(F.min("u").alias("comp"))
+    return stored(roots.join(least, "to").select(F.col("u").alias("node"), "comp"), "cc-labels")

@@ -49,6 +49,16 @@ def test_components_of_a_chain_and_a_star(spark):
     assert {got[i] for i in range(31)} == {0} and {got[i] for i in range(31, 61)} == {31} and got[699] == 500
 
 
+def test_components_of_long_chains_in_random_id_order(spark):
+    rng = np.random.default_rng(11)
+    ids = rng.permutation(5000).tolist()
+    one, two = ids[:4000], ids[4000:]
+    edges = [*zip(one[:-1], one[1:]), *zip(two[:-1], two[1:]), (6000, 6000), (6001, None)]
+    got = sorted(tuple(r) for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == sorted([(i, min(one)) for i in one] + [(i, min(two)) for i in two])
+    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 # --------------------------------------------------------------------- pii
 
 
