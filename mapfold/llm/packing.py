@@ -21,6 +21,7 @@ table gives no pieces; further columns of the input are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,10 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 
 _ENCODERS: dict[str, tuple] = {}
 
+#: the pattern's \s spelled out, in runs that are cut out before its look-ahead has to back up through them
+_BLANK = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+LONG_BLANKS = re.compile(f"(?<!{_BLANK}){_BLANK}{{65536,}}")
+
 
 def encoder(vocabulary: str):
     """(encode to a numpy array; flags of sentence ends, clause ends, blank starts, line starts) of a
@@ -55,7 +60,19 @@ def encoder(vocabulary: str):
             clause[i] = b[-1:] in (b",", b";", b":")
             blank[i] = b[:1] in (b" ", b"\t", b"\n", b"\r")
             line[i] = b[:1] in (b"\n", b"\r")
-        _ENCODERS[vocabulary] = (enc.encode_to_numpy, ends, clause, blank, line)
+
+        def encode(text: str) -> np.ndarray:
+            """Ids of a text.  The pattern makes one piece of a run of blanks at the text's end, and
+            of all but the last blank of any other run; what follows starts with that blank."""
+            parts, at = [], 0
+            for m in LONG_BLANKS.finditer(text) if len(text) >= 1 << 16 else ():
+                last = m.end() - (m.end() < len(text))
+                parts += [enc.encode_to_numpy(text[at : m.start()]), enc._encode_single_piece(text[m.start() : last])]
+                at = last
+            parts.append(enc.encode_to_numpy(text[at:]))
+            return np.concatenate([np.asarray(p, np.uint32) for p in parts]) if parts[1:] else parts[0]
+
+        _ENCODERS[vocabulary] = (encode, ends, clause, blank, line)
     return _ENCODERS[vocabulary]
 
 

@@ -136,6 +136,22 @@ def test_packing_covers_every_token_once(spark, edge):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_packing_of_very_long_runs_of_blanks_equals_tokenizers(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(2)
+    mixed = "".join(rng.choice(list(" \n\t\r\x0b\x85\xa0\u2003\u3000"), 70000))
+    texts = ["\n" * 2_000_000, "a" + " " * 1_200_000 + "b", " " * 1_200_000 + "\n.", mixed, f"x{mixed}1{mixed}.{mixed}", "\u3000" * 70000 + "'s", "\x1c" * 70000 + " a"]
+    got = defaultdict(list)
+    for r in packing.pack(docs_of(spark, list(enumerate(texts)))).collect():
+        got[r.doc_id].append((r.start, np.frombuffer(r.ids, "<u4")))
+    for i, t in enumerate(texts):
+        ids = np.concatenate([part for _, part in sorted(got[i], key=lambda p: p[0])]).tolist()
+        assert ids == tok.encode(t, add_special_tokens=False).ids + [1]
+
+
 def test_op2_digest(spark):
     r = packing.op2_packing(spark, SF).where("start = 0").first()
     ids = next(np.frombuffer(p.ids, "<u4") for p in packing.pack(common.table(spark, SF, "documents").where(F.col("doc_id") == r.doc_id)).where("start = 0").collect())
