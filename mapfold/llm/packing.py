@@ -21,6 +21,8 @@ table gives no pieces; further columns of the input are ignored.
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 from collections.abc import Iterator
 
@@ -44,7 +46,8 @@ LONG_BLANKS = re.compile(f"(?<!{_BLANK}){_BLANK}{{65536,}}")
 def encoder(vocabulary: str):
     """(encode to a numpy array; flags of sentence ends, clause ends, blank starts, line starts) of a
     byte-level vocabulary file; ``vocabulary`` is a file name of the installed public
-    tokenizers or a path.  Special-token strings in a text are ordinary text."""
+    tokenizers or a path.  Texts are split at the added tokens of the JSON file of the same name
+    (if there is one), which become their own ids, as ``tokenizers`` has it by default."""
     if vocabulary not in _ENCODERS:
         import public_tokenizers
         import tiktoken
@@ -53,7 +56,16 @@ def encoder(vocabulary: str):
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         enc = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        n = max(ranks.values()) + 1
+        beside = path.removesuffix(".tiktoken") + ".json"
+        added: dict[str, int] = {}
+        if os.path.exists(beside):
+            with open(beside, encoding="utf-8") as f:
+                for t in json.load(f)["added_tokens"]:
+                    if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]:
+                        raise ValueError(f"added token {t['content']!r} of {beside} is not matched literally")
+                    added[t["content"]] = t["id"]
+        marks = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        n = max([*ranks.values(), *added.values()]) + 1
         ends, clause, blank, line = (np.zeros(n, bool) for _ in range(4))
         for b, i in ranks.items():
             ends[i] = b[-1:] in (b".", b"!", b"?") or b[-2:] in (b'."', b'!"', b'?"', b".)", b"!)", b"?)")
@@ -62,7 +74,18 @@ def encoder(vocabulary: str):
             line[i] = b[:1] in (b"\n", b"\r")
 
         def encode(text: str) -> np.ndarray:
-            """Ids of a text.  The pattern makes one piece of a run of blanks at the text's end, and
+            """Ids of a text, added tokens included."""
+            if marks is None or not any(t in text for t in added):
+                return plain(text)
+            parts, at = [], 0
+            for m in marks.finditer(text):
+                parts += [plain(text[at : m.start()]), [added[m[0]]]]
+                at = m.end()
+            parts.append(plain(text[at:]))
+            return np.concatenate([np.asarray(p, np.uint32) for p in parts])
+
+        def plain(text: str) -> np.ndarray:
+            """Ids of a text without added tokens.  The pattern makes one piece of a run of blanks at the text's end, and
             of all but the last blank of any other run; what follows starts with that blank."""
             parts, at = [], 0
             for m in LONG_BLANKS.finditer(text) if len(text) >= 1 << 16 else ():

@@ -152,6 +152,22 @@ def test_packing_of_very_long_runs_of_blanks_equals_tokenizers(spark):
         assert ids == tok.encode(t, add_special_tokens=False).ids + [1]
 
 
+def test_packing_splits_at_added_tokens_like_the_default_tokenizer(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}", f" x\n\n {end}\n\n y  {end}  z", f"<|endoftext{end}|>", "<|EndOfText|> <|endoftext|", " ".join(["word. "] * 3000 + [end] + ["more, "] * 3000)]
+    got = defaultdict(list)
+    for r in packing.pack(docs_of(spark, list(enumerate(texts)))).collect():
+        got[r.doc_id].append((r.start, np.frombuffer(r.ids, "<u4").tolist(), r.doc_tokens))
+    for i, t in enumerate(texts):
+        want = tok.encode(t, add_special_tokens=False).ids + [1]
+        assert [x for _, part, _ in sorted(got[i]) for x in part] == want and {n for *_, n in got[i]} == {len(want)}
+    assert got[0][0][1] == [64, 220, 50256, 275, 1]
+
+
 def test_op2_digest(spark):
     r = packing.op2_packing(spark, SF).where("start = 0").first()
     ids = next(np.frombuffer(p.ids, "<u4") for p in packing.pack(common.table(spark, SF, "documents").where(F.col("doc_id") == r.doc_id)).where("start = 0").collect())
