@@ -48,6 +48,12 @@ def repair(segs: DataFrame) -> DataFrame:
     return segs.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
 
+def present(areas: DataFrame, segs: DataFrame, key: str = "area_id") -> DataFrame:
+    """The areas whose geometry is neither null nor empty: at least one edge has all its coordinates."""
+    whole = segs.dropna(subset=["x1", "y1", "x2", "y2"])
+    return areas.join(whole.select(key), key, "left_semi")
+
+
 def boundary(segs: DataFrame, key: str = "area_id") -> DataFrame:
     """Polygon -> boundary line summary: vertex count and perimeter (degrees)."""
     ln = F.sqrt(F.pow((F.col("x2") - F.col("x1")).cast("double"), 2) + F.pow((F.col("y2") - F.col("y1")).cast("double"), 2))

@@ -280,9 +280,10 @@ def _midpoint_inside(mids: DataFrame, segs: DataFrame, ids, k, grid: int, eps: f
 
 
 def within_first(segs: DataFrame, feature_col: str = "feature_seq") -> DataFrame:
-    """Keep only the edges of each area's first feature (reference: first feature only)."""
+    """Keep only the edges of each area's first feature (reference: first feature only);
+    edges that do not say which feature they belong to are an error."""
     if feature_col not in segs.columns:
-        return segs
+        raise ValueError(f"within_first needs the column {feature_col}")
     return segs.where(F.col(feature_col) == 0)
 
 

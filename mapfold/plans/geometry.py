@@ -330,7 +330,7 @@ def geom_is_empty(spark: SparkSession, sf: str) -> DataFrame:
     "select area_id from fx_segments group by area_id having count(*) > 0",
 )
 def filt_valid_geometry(spark: SparkSession, sf: str) -> DataFrame:
-    return view(spark, sf, "fx_segments").groupBy("area_id").agg(F.count("*").alias("n")).where("n > 0").select("area_id")
+    return OV.present(view(spark, sf, "fx_areas"), view(spark, sf, "fx_segments")).select("area_id")
 
 
 @query(

@@ -52,11 +52,10 @@ def _scan_geojson(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "geojson")
     W.write_text(_area_docs(spark, sf).select("value"), path)
     f = R.read_geojson(spark, path)
-    rings = R.polygon_rings("coordinates")
     return f.select(
         F.try_element_at("properties", F.lit("iso")).alias("iso"),
         F.try_element_at("properties", F.lit("name_en")).alias("name_en"),
-        "geom_type", F.size(rings[0]).alias("n_vertices"),
+        "geom_type", R.vertex_count("coordinates").alias("n_vertices"),
     )
 
 

@@ -35,9 +35,9 @@ def read_geojson(spark: SparkSession, path: str, multiline: bool = False) -> Dat
     )
 
 
-def polygon_rings(coords_text) -> F.Column:
-    """Polygon coordinates text -> array of rings of [lon, lat] pairs."""
-    return F.from_json(coords_text, "array<array<array<double>>>")
+def vertex_count(coords_text) -> F.Column:
+    """Number of positions in the coordinates text of any geometry type, over all rings and parts."""
+    return F.regexp_count(coords_text, F.lit(r"\[\s*-?[0-9]"))
 
 
 def area_list(features: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Hand-made geometry goldens: squares, holes, notches, boundary points."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from mapfold.operators import overlay as OV
@@ -78,3 +79,16 @@ def test_shared_edge_appears_once(spark):
 def test_centroid_and_area(spark):
     c = OV.centroid(segs_df(spark, ring(1, [(0, 0), (2, 0), (2, 2), (0, 2)]))).first()
     assert (c.cx, c.cy, c.area_deg2) == (1.0, 1.0, 4.0)
+
+
+def test_null_and_empty_geometries_are_not_present(spark):
+    areas = spark.createDataFrame([(1,), (2,), (3,), (4,)], "area_id long")
+    segs = spark.createDataFrame([(1, 0, 0, 0, 5, 5), (1, 1, 5, 5, 0, 0), (2, 0, None, None, None, None), (4, 0, 1, 1, None, None)], "area_id long, seq int, x1 long, y1 long, x2 long, y2 long")
+    assert [r.area_id for r in OV.present(areas, segs).select("area_id").collect()] == [1]
+
+
+def test_within_first_needs_to_know_the_feature(spark):
+    segs = spark.createDataFrame([(1, 0, 0), (1, 1, 1)], "area_id long, seq int, feature_seq int")
+    assert [r.seq for r in sj.within_first(segs).collect()] == [0]
+    with pytest.raises(ValueError):
+        sj.within_first(segs.drop("feature_seq"))

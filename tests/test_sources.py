@@ -7,7 +7,7 @@ import zipfile
 from pyspark.sql import functions as F
 
 from mapfold.session import shared_dir
-from mapfold.sources import archives, html
+from mapfold.sources import archives, html, readers
 
 
 def _shp(records):
@@ -80,3 +80,10 @@ def test_page_resources_and_metadata(spark):
     meta = html.page_metadata(pages).first().meta
     assert meta["Source"] == "National Office"
     assert meta["Time Period of the Dataset [?]"] == "January 2015-December 2020"
+
+
+def test_vertices_of_all_rings_and_parts_count(spark):
+    ring = "[[0,0],[1,0],[1,1],[0,0]]"
+    texts = [f"[{ring}]", f"[{ring}, {ring}]", f"[[{ring}],[{ring},{ring}]]", "[-1.5, 2]", "[[ 1e3,2 ],[-3,4]]", "[]", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, c string").select("i", readers.vertex_count("c").alias("n"))
+    assert [r.n for r in df.orderBy("i").collect()] == [4, 8, 12, 1, 2, 0, None]
