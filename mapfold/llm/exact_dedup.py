@@ -141,8 +141,10 @@ def exact_groups(docs: DataFrame, prime: int = PRIME, id_col: str = "doc_id", te
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    gone = exact_groups(docs, id_col=id_col, text_col=text_col).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    gone = exact_groups(docs, id_col=id_col, text_col=text_col).where("not kept").select(F.col("doc_id").alias("_gone"), F.col("text_sha256").alias("_sha")).distinct()
+    # an id may stand on rows of several texts, or be null: the text decides with it
+    sha = F.sha2(F.regexp_replace(F.coalesce(docs[text_col], F.lit("")), r"[\x20\x09-\x0D]+", " ").cast("binary"), 256)
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone"]) & (sha == gone["_sha"]), "left_anti")
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -341,13 +341,16 @@ def hopeful(blocks: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def similarity_components(docs: DataFrame, size: int = SHINGLE, chunk_bytes: int = 16 << 20, chunk_rows: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row."""
+    """doc_id, n_shingles, component_id of every row; component_id is the component's smallest doc_id."""
     spark = docs.sparkSession
     sc = spark.sparkContext
     ship(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = stored(survey(docs, size), "join-survey")
     whole = found.where("kind = 0")
+    if _unlike(whole).limit(1).count():
+        _, named = _by_row(docs, "doc_id", size=size, chunk_bytes=chunk_bytes, chunk_rows=chunk_rows)
+        return named.drop("_row")
     top = found.where("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).where("n >= 8").orderBy(F.desc("n"), "a").limit(FREQUENT).toPandas()  # at most 2^18 rows of 16 bytes
     order = sc.broadcast(Order(top["a"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)))
     classes = stored(whole.where("n > 0").groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "join-classes")
@@ -425,6 +428,21 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, chunk_bytes: int
     return whole.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("comp", "rep", "id").alias("component_id"))
 
 
+def _unlike(whole: DataFrame) -> DataFrame:
+    """Ids that cannot key a record: null, or on rows of different sets."""
+    ends = [f(c).alias(f"{c}{k}") for c in ("n", "a", "b") for k, f in ((0, F.min), (1, F.max))]
+    return whole.groupBy("id").agg(*ends).where("(id is null and n1 > 0) or n0 != n1 or a0 != a1 or b0 != b1")
+
+
+def _by_row(docs: DataFrame, id_col: str, **how) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` under a key of their own, and (_row, doc_id, n_shingles, component_id) of each."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "join-rows")
+    made = similarity_components(rows, id_col="_row", **how).select(F.col("doc_id").alias("_row"), "n_shingles", F.col("component_id").alias("root"))
+    named = stored(made.join(rows.select("_row", F.col(id_col).cast("long").alias("doc_id")), "_row"), "join-named")
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows, named.join(least, "root").select("_row", "doc_id", "n_shingles", "component_id")
+
+
 def _home_links(held: DataFrame, chunk_bytes: int, levels: int = 6) -> DataFrame:
     """Step 4: (rep, root) links found in the records' home blocks."""
     members = held.select("home", "rep")
@@ -492,8 +510,14 @@ def _rest_links(marked: DataFrame, held: DataFrame, comps: DataFrame, chunk_rows
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The smallest id of every component stays, with all its columns."""
-    gone = similarity_components(docs, id_col=id_col, text_col=text_col).where("component_id != doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    """The smallest id of every component stays, with all its columns (rows that repeat that id in the
+    component stay with it; a null id stays only if its whole component has none)."""
+    ids = docs.groupBy(F.col(id_col).cast("long").alias("id")).count()
+    if ids.where("id is null or count > 1").limit(1).count():
+        rows, named = _by_row(docs, id_col, text_col=text_col)
+        kept = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("_row")
+        return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    gone = similarity_components(docs, id_col=id_col, text_col=text_col).where("component_id != doc_id").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
 
 

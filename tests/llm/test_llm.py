@@ -201,6 +201,12 @@ def test_drop_copies_keeps_columns(spark, edge):
     assert exact_dedup.drop_copies(edge.limit(0)).count() == 0
 
 
+def test_drop_copies_judges_rows_of_repeated_and_null_ids(spark):
+    rows = [(1, "a  b"), (2, "a b"), (2, "only here"), (None, "a\tb"), (None, "n"), (None, "n"), (3, None), (None, ""), (4, "é\u00a0")]
+    left = exact_dedup.drop_copies(docs_of(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in left) == [("1", "a  b"), ("2", "only here"), ("3", ""), ("4", "é\u00a0"), ("None", "n"), ("None", "n")]
+
+
 # -------------------------------------------------------------------- chat
 
 
@@ -356,6 +362,17 @@ def test_join_edges(spark, edge):
     assert sigtree.drop_near_copies(edge).columns == edge.columns
 
 
+def test_join_keeps_the_texts_of_repeated_and_null_ids_apart(spark):
+    base, other = (" ".join(f"{c}{i}" for i in range(100)) for c in "bo")
+    rows = [(5, base), (7, base + " x1"), (7, other), (8, other + " y"), (None, base + " x2"), (None, "third one of its own"), (4, None), (4, base + " x3")]
+    got = sigtree.similarity_components(docs_of(spark, rows)).collect()
+    want = [(5, 97, 4), (7, 98, 4), (7, 97, 7), (8, 98, 7), (None, 98, 4), (None, 2, None), (4, 0, 4), (4, 98, 4)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    left = sigtree.drop_near_copies(docs_of(spark, rows))
+    assert left.columns == docs_of(spark, rows).columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in left.collect()) == sorted([("4", "None"), ("4", base + " x3"), ("7", other), ("None", "third one of its own")])
+
+
 # -------------------------------------------------------------------- warc
 
 
