@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,11 +48,14 @@ def even_map(slots: int, shards: int) -> list[int]:
 
 def rebalance(owner: list[int], load: list[int], shards: int) -> list[int]:
     """The next version of a map: slots move one at a time from the fullest to
-    the emptiest shard while that lowers the difference between the two."""
+    the emptiest shard while that lowers the difference between the two.  Slots
+    of shards that are no more go to the emptiest shard first."""
     owner = list(owner)
     total = [0] * shards
     own: list[list[tuple[int, int]]] = [[] for _ in range(shards)]
-    for slot, s in enumerate(owner):
+    for slot, s in sorted(enumerate(owner), key=lambda x: (x[1] >= shards, -load[x[0]] if x[1] >= shards else 0)):
+        if s >= shards:
+            s = owner[slot] = min(range(shards), key=total.__getitem__)
         total[s] += load[slot]
         own[s].append((load[slot], slot))
     full = [(-t, s) for s, t in enumerate(total)]
@@ -90,18 +94,35 @@ def read_version(spark: SparkSession, path: str, version: int | None = None) ->
     return [r["shard"] for r in rows.where(F.col("version") == version).orderBy("slot").collect()]  # one row per slot
 
 
+def newest_version(spark: SparkSession, path: str) -> int | None:
+    """The number of the newest stored version; none if nothing is stored yet."""
+    try:
+        return spark.read.schema("version int, slot int, shard int").parquet(path).agg(F.max("version")).first()[0]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def assign(docs: DataFrame, shards: int = 40, slots: int = SLOTS, map_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows with their shard (near-equal bytes) and place in it; writes map
-    versions 1 (even) and 2 (rebalanced by the bytes of each slot)."""
+    """Rows with their shard (near-equal bytes) and place in it.  A map stored at
+    ``map_path`` is rebalanced by the bytes of each slot into its next version;
+    without one, version 1 (even) and version 2 (rebalanced) are written."""
     spark = docs.sparkSession
     rows = slotted(docs, slots, id_col, text_col)
     load, count = [0] * slots, [0] * slots
     for r in rows.groupBy("vslot").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect():  # one row per slot
         load[r["vslot"]], count[r["vslot"]] = r["b"], r["n"]
     path = map_path or shared_dir(spark, "slot-map")
-    store_version(spark, path, 1, even_map(slots, shards))
-    store_version(spark, path, 2, rebalance(even_map(slots, shards), load, shards))
-    owner = read_version(spark, path, 2)
+    version = newest_version(spark, path)
+    if version is None:
+        version = 1
+        store_version(spark, path, version, even_map(slots, shards))
+    owner = read_version(spark, path, version)
+    if len(owner) != slots:
+        raise ValueError(f"version {version} of {path} has {len(owner)} slots, not {slots}")
+    store_version(spark, path, version + 1, rebalance(owner, load, shards))
+    owner = read_version(spark, path, version + 1)
     seen = [0] * shards
     placed = []
     for slot, s in enumerate(owner):

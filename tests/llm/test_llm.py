@@ -306,6 +306,27 @@ def test_rebalance_only_moves_what_helps():
     assert max(total) == 50 and min(total) >= 20 and new[4] == 1
 
 
+def test_stored_map_is_rebalanced_from_its_newest_version(spark, tmp_path):
+    path = f"{tmp_path}/map"
+    docs = common.table(spark, SF, "documents").select("doc_id", "text")
+    sharding.assign(docs, shards=3, map_path=path).count()
+    again = sharding.assign(docs, shards=3, map_path=path)
+    assert again.count() == docs.count() and sharding.newest_version(spark, path) == 3
+    two, three = (sharding.read_version(spark, path, k) for k in (2, 3))
+    assert len(two) == len(three) == sharding.SLOTS and two == three  # the same loads move nothing
+    grown = docs.union(docs.selectExpr("doc_id + 100000", "repeat(text, 3)").where("doc_id % 3 = 0"))
+    for shards, version in ((3, 4), (5, 5), (2, 6)):
+        size = defaultdict(int)
+        for r in sharding.assign(grown, shards=shards, map_path=path).collect():
+            size[r.shard] += r["size"]
+        assert sorted(size) == list(range(shards)) and max(size.values()) < 1.05 * min(size.values())
+        assert sharding.newest_version(spark, path) == version
+    four, five = (sharding.read_version(spark, path, k) for k in (4, 5))
+    assert sum(a == b for a, b in zip(four, five)) > 0.5 * sharding.SLOTS  # most slots stay
+    with pytest.raises(ValueError):
+        sharding.assign(grown, shards=3, slots=64, map_path=path)
+
+
 # ------------------------------------------------------------ n-gram join
 
 
