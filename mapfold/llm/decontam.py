@@ -8,8 +8,9 @@ by verified windows are hit.
 
 The broadcast is bounded: items are dealt into blocks of at most ``block_rows``
 windows (counted by Spark first) and each block is a pass over the documents, so
-a test set of any size keeps every task's set bounded; with more than one block
-the passes are merged per document.
+a test set of any size keeps every task's set bounded.  With more than one block
+the documents are stored under a key per row, one block after the other is
+broadcast and dropped again, and the passes are merged per row.
 
 Defined cases: null and empty texts have no words and are never contaminated;
 items without words have no windows; repeated item ids count once; very long
@@ -23,10 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import ALNUM_WORDS, byte_view, ngrams, ship, slices, table, words
+from mapfold.llm.common import ALNUM_WORDS, byte_view, ngrams, ship, slices, stored, table, words
 
 WINDOW = 13
 
@@ -117,55 +119,77 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def _blocks(benchmark: DataFrame, size: int, block_rows: int, id_col: str = "item_id", text_col: str = "text") -> Iterator[Windows]:
+def _blocks(benchmark: DataFrame, size: int, block_rows: int, id_col: str = "item_id", text_col: str = "text") -> list[DataFrame]:
     """The windows in blocks of about ``block_rows``; always at least one block."""
     all_windows = windows(benchmark, size, id_col, text_col)
-    n = all_windows.count()
-    blocks = max(1, -(-n // block_rows))
-    for k in range(blocks):
-        mine = all_windows if blocks == 1 else all_windows.where(F.pmod(F.xxhash64("item_id", "h"), F.lit(blocks)) == k)
-        yield Windows([tuple(r) for r in mine.collect()])  # bounded by block_rows
+    blocks = max(1, -(-all_windows.count() // block_rows))
+    if blocks == 1:
+        return [all_windows]
+    return [all_windows.where(F.pmod(F.xxhash64("item_id", "h"), F.lit(blocks)) == k) for k in range(blocks)]
 
 
-MARKS = "doc_id long, n_words long, spans array<struct<first:int,last:int>>, items array<long>"
+def _sent(block: DataFrame) -> Broadcast[Windows]:
+    return block.sparkSession.sparkContext.broadcast(Windows([tuple(r) for r in block.collect()]))  # bounded by block_rows
 
 
-def marks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_rows: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: its number of words, the hit word ranges
-    (first included, last excluded) and the items whose windows occur."""
-    spark = docs.sparkSession
-    ship(spark)
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+MARKS = "n_words long, spans array<struct<first:int,last:int>>, items array<long>"
+
+
+def _scanned(plain: DataFrame, held: Broadcast[Windows]) -> DataFrame:
+    """The long columns of ``plain`` before its text, and MARKS of every row's text."""
+    keys = plain.columns[:-1]
     span = pa.struct([("first", pa.int32()), ("last", pa.int32())])
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.int64()))])
+    kinds = [*[(k, pa.int64()) for k in keys], ("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.int64()))]
 
-    def of(index: Windows) -> DataFrame:
-        held = spark.sparkContext.broadcast(index)
+    def run(batches):
+        for b in batches:
+            raw, offs = byte_view(b.column(len(keys)))
+            found = list(scan(raw, offs, held.value))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *b.columns[: len(keys)],
+                    pa.array([f[3] for f in found], pa.int64()),
+                    pa.array([[{"first": x, "last": y} for x, y in f[4]] for f in found], pa.list_(span)),
+                    pa.array([sorted(f[5]) for f in found], pa.list_(pa.int64())),
+                ],
+                schema=pa.schema(kinds),
+            )
+
+    return plain.mapInArrow(run, ", ".join([*(f"{k} long" for k in keys), MARKS]))
+
+
+def _passes(plain: DataFrame, blocks: list[DataFrame]) -> DataFrame:
+    """As ``_scanned`` with all blocks, one at a time; ``plain`` is stored and its first column a key per row."""
+    found = None
+    for block in blocks:
+        held = _sent(block)
+        # the first pass brings every row, the others their hits
+        one = stored(_scanned(plain, held).where(F.lit(found is None) | (F.size("spans") > 0)), "decontam-pass")
+        held.destroy()
+        found = one if found is None else found.union(one)
+    # a row's marks only: bounded by its own words and the items that occur in it
+    key, *others = plain.columns[:-1]
+    return found.groupBy(key).agg(
+        *[F.max(c).alias(c) for c in others],
+        F.max("n_words").alias("n_words"),
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
 
-        def run(batches):
-            for b in batches:
-                raw, offs = byte_view(b.column(1))
-                found = list(scan(raw, offs, held.value))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0),
-                        pa.array([f[3] for f in found], pa.int64()),
-                        pa.array([[{"first": x, "last": y} for x, y in f[4]] for f in found], pa.list_(span)),
-                        pa.array([sorted(f[5]) for f in found], pa.list_(pa.int64())),
-                    ],
-                    schema=schema,
-                )
-
-        return plain.mapInArrow(run, MARKS)
-
-    passes = [of(index) for index in _blocks(benchmark, size, block_rows)]
-    if len(passes) == 1:
-        return passes[0]
-    rows = passes[0]
-    for more in passes[1:]:
-        rows = rows.union(more)
-    # a document's marks only: bounded by its own words and the items that occur in it
-    return rows.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "decontam-rows")
+
+
+def marks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_rows: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: its number of words, the hit word ranges
+    (first included, last excluded) and the items whose windows occur."""
+    ship(docs.sparkSession)
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    blocks = _blocks(benchmark, size, block_rows)
+    if len(blocks) == 1:
+        return _scanned(plain, _sent(blocks[0]))
+    return _passes(_keyed(plain).select("_row", "doc_id", "text"), blocks).drop("_row")
 
 
 def hit_words(spans: str = "spans"):
@@ -181,39 +205,70 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "drop", s
     """The documents with all their columns, contaminated ones removed
     (``drop``: at least one word in ``share`` is hit) or their hit words cut out
     of the text (``cut``)."""
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     if action not in ("drop", "cut"):
         raise ValueError(action)
     place = docs.columns.index(text_col)
-    indexes = [spark.sparkContext.broadcast(w) for w in _blocks(benchmark, size, block_rows)]
+    blocks = _blocks(benchmark, size, block_rows)
+    if len(blocks) > 1:
+        rows = _keyed(docs)
+        found = _passes(rows.select("_row", F.col(text_col).alias("text")), blocks)
+        hit = hit_words()
+        if action == "drop":
+            return rows.join(found.where((hit > 0) & (hit * share >= F.col("n_words"))).select("_row"), "_row", "left_anti").select(*docs.columns)
+        spans = found.where(F.size("spans") > 0).select("_row", F.col("spans").alias("_spans"))
+        columns = docs.columns
+        rows = rows.join(spans, "_row", "left").select(*columns, "_spans")
+
+        def cut_at(batches):
+            for b in batches:
+                raw, offs = byte_view(b.column(place))
+                cut = []
+                for k, row in enumerate(b.column(len(columns)).to_pylist()):
+                    if row is None:
+                        cut.append(None)
+                        continue
+                    part = raw[offs[k] : offs[k + 1]]
+                    s, e, _, _ = words(part, np.array([0, len(part)]), ALNUM_WORDS)
+                    cut.append(without(part.tobytes(), s, e, merged([(x["first"], x["last"]) for x in row])))
+                yield replaced(b.select(columns), place, cut)
+
+        return rows.mapInArrow(cut_at, docs.schema)
+    held = _sent(blocks[0])
 
     def run(batches):
         for b in batches:
             raw, offs = byte_view(b.column(place))
-            found = [list(scan(raw, offs, held.value)) for held in indexes]
             keep, cut = [], []
-            for row in zip(*found):
-                _, s, e, n, _, _ = row[0]
-                spans = merged([x for f in row for x in f[4]])
+            for k, s, e, n, spans, _ in scan(raw, offs, held.value):
                 hit = sum(y - x for x, y in spans)
                 keep.append(action == "cut" or not (hit > 0 and share * hit >= n))
                 if action == "cut":
-                    k = len(cut)
-                    body = raw[offs[k] : offs[k + 1]].tobytes()
-                    last, parts = 0, []
-                    for x, y in spans:
-                        parts.append(body[last : s[x]])
-                        last = int(e[y - 1])
-                    cut.append((b"".join(parts) + body[last:]).decode() if spans else None)
-            if action == "cut" and any(c is not None for c in cut):
-                col = pa.array([c if c is not None else o for c, o in zip(cut, b.column(place).to_pylist())], b.column(place).type)
-                b = b.set_column(place, b.schema.field(place), col)
+                    cut.append(without(raw[offs[k] : offs[k + 1]].tobytes(), s, e, spans) if spans else None)
+            if action == "cut":
+                b = replaced(b, place, cut)
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
 
+def without(body: bytes, starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> str:
+    """A text without the words of its merged ``spans``."""
+    last, parts = 0, []
+    for x, y in spans:
+        parts.append(body[last : starts[x]])
+        last = int(ends[y - 1])
+    return (b"".join(parts) + body[last:]).decode()
+
+
+def replaced(b: pa.RecordBatch, place: int, texts: list[str | None]) -> pa.RecordBatch:
+    """The batch with those texts in column ``place`` that are given."""
+    if all(t is None for t in texts):
+        return b
+    col = pa.array([t if t is not None else o for t, o in zip(texts, b.column(place).to_pylist())], b.column(place).type)
+    return b.set_column(place, b.schema.field(place), col)
+
+
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     m = marks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -262,6 +262,24 @@ def test_decontamination_equals_brute_force(spark, block_rows):
     assert cut[9003] == "A !" and cut[9004] == "" and cut[9001] is None and len(cut) == len(want)
 
 
+@pytest.mark.parametrize("block_rows", [2_000_000, 7])
+def test_decontamination_is_by_row_for_any_benchmark_size(spark, block_rows, monkeypatch):
+    passage = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, passage), (1, "clean text"), (None, "some " + passage), (None, "clean too"), (None, "clean too"), (2, None), (3, passage + " tail" * 700)]
+    docs, items = docs_of(spark, rows), spark.createDataFrame([(1, passage), (2, "short one")], "item_id long, text string")
+    sizes, init = [], decontam.Windows.__init__
+    monkeypatch.setattr(decontam.Windows, "__init__", lambda self, r: (sizes.append(len(r)), init(self, r))[1])
+    got = decontam.marks(docs, items, block_rows=block_rows).select("doc_id", "n_words", decontam.hit_words(), F.size("items")).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, 30, 30, 1), (1, 2, 0, 0), (None, 31, 30, 1), (None, 2, 0, 0), (None, 2, 0, 0), (2, 0, 0, 0), (3, 730, 30, 1)]))
+    left = decontam.decontaminate(docs, items, block_rows=block_rows)
+    assert left.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in left.where("text is not null").collect()) == [("1", "clean text"), ("3", rows[6][1]), ("None", "clean too"), ("None", "clean too")]
+    cut = decontam.decontaminate(docs, items, action="cut", block_rows=block_rows)
+    assert cut.schema == docs.schema
+    assert sorted((str(r.doc_id), r.text or "") for r in cut.collect()) == sorted([("1", ""), ("1", "clean text"), ("None", "some "), ("None", "clean too"), ("None", "clean too"), ("2", ""), ("3", " tail" * 700)])
+    assert len(sizes) == 3 * max(1, -(-19 // block_rows)) and sum(sizes) == 3 * 19
+
+
 # ---------------------------------------------------------------- toxicity
 
 
