@@ -4,6 +4,8 @@ to the shared folder and read back as the next stage's input.
 1. toxicity: documents that the model scores 0.5 or more go;
 2. exact dedup: of equal texts the smallest doc_id stays;
 3. near duplicates: of each component of linked documents the smallest doc_id stays;
+   documents are linked by op8's contract, four-word shingles and a similarity of 0.85
+   or more, not by the general rule of five words and 0.8 (see the README);
 4. benchmark decontamination: documents with one word in twenty or more inside a
    benchmark window go;
 5. packing: what is left is packed into 2048-token windows.
