@@ -3,7 +3,7 @@ SQL can express them."""
 
 from __future__ import annotations
 
-from mapfold.llm import chat, decontam, exact_dedup, packing, pii, sharding, sigtree, spotsigs, toxicity, urlrules, warc
+from mapfold.llm import chat, decontam, divergence, exact_dedup, packing, pii, sharding, sigtree, spotsigs, toxicity, urlrules, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_url_filters": urlrules.op10_url_filters,
     "op11_spotsigs": spotsigs.op11_spotsigs,
+    "op12_divergence": divergence.op12_divergence,
 }
 
 _EXACT_DEDUP = r"""with t as (
@@ -26,4 +27,4 @@ _EXACT_DEDUP = r"""with t as (
 )
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t.body) as text_sha256 from t join g on t.body = g.body"""
 
-ORACLE = {"op3_exact_dedup": _EXACT_DEDUP, **chat.ORACLE, **urlrules.ORACLE, **spotsigs.ORACLE}
+ORACLE = {"op3_exact_dedup": _EXACT_DEDUP, **chat.ORACLE, **urlrules.ORACLE, **spotsigs.ORACLE, **divergence.ORACLE}
