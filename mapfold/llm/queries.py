@@ -3,7 +3,7 @@ SQL can express them."""
 
 from __future__ import annotations
 
-from mapfold.llm import chat, decontam, divergence, exact_dedup, packing, pii, sharding, sigtree, spotsigs, toxicity, urlrules, warc
+from mapfold.llm import chat, decontam, divergence, exact_dedup, packing, pii, sharding, sigtree, spelling, spotsigs, toxicity, urlrules, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_url_filters": urlrules.op10_url_filters,
     "op11_spotsigs": spotsigs.op11_spotsigs,
     "op12_divergence": divergence.op12_divergence,
+    "op13_spelling": spelling.op13_spelling,
 }
 
 _EXACT_DEDUP = r"""with t as (
