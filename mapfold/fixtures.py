@@ -85,6 +85,31 @@ FX: dict[str, str] = {
         "cast(p_partkey*86400+1600000000 as varchar(20)) metadata_modified, "
         "case when p_size%2=0 then 'CSV' else 'SHP' end format from part"
     ),
+    # ours: polygons around the points, four shapes (box with a hole, triangle, two triangles, arrow);
+    # one in 13 stands on an area's corner and shares its edges; interior left of every edge
+    "fx_shapes": (
+        "select * from (values (0,0,0,0,0,0,10,0),(0,0,0,1,10,0,10,10),(0,0,0,2,10,10,0,10),(0,0,0,3,0,10,0,0),"
+        "(0,0,1,4,4,4,4,6),(0,0,1,5,4,6,6,6),(0,0,1,6,6,6,6,4),(0,0,1,7,6,4,4,4),"
+        "(1,0,0,0,0,0,10,2),(1,0,0,1,10,2,3,10),(1,0,0,2,3,10,0,0),"
+        "(2,0,0,0,0,0,5,1),(2,0,0,1,5,1,1,6),(2,0,0,2,1,6,0,0),(2,1,0,3,6,5,10,6),(2,1,0,4,10,6,7,10),(2,1,0,5,7,10,6,5),"
+        "(3,0,0,0,0,0,10,1),(3,0,0,1,10,1,9,9),(3,0,0,2,9,9,5,4),(3,0,0,3,5,4,1,10),(3,0,0,4,1,10,0,0)) s(kind,part,ring,eid,a,b,c,d)"
+    ),
+    "fx_polys": (
+        "select p.poly_id, p.nat, s.part, s.ring, s.eid, p.x+s.a*p.w x1, p.y+s.b*p.h y1, p.x+s.c*p.w x2, p.y+s.d*p.h y2 from ("
+        "select pid poly_id, nat, cast(pid%4 as int) kind, "
+        "case when pid%13=0 then cast(pid%5 as bigint)*72000000-180000000 else x end x, "
+        "case when pid%13=0 then cast(pid%5 as bigint)*36000000-90000000 else y end y, "
+        "cast(100000+(pid%7)*100000+(pid%11)*1301 as bigint) w, cast(100000+(pid%5)*100000+(pid%9)*1709 as bigint) h from fx_points) p "
+        "join fx_shapes s on s.kind=p.kind"
+    ),
+    # ours: a second, scaled layer of polygons
+    "fx_zones": (
+        "select z.zone_id, s.part, s.ring, s.eid, z.x+s.a*z.w x1, z.y+s.b*z.h y1, z.x+s.c*z.w x2, z.y+s.d*z.h y2 from ("
+        "select s_suppkey zone_id, cast(s_suppkey%4 as int) kind, "
+        "cast((s_suppkey*7919)%3400 as bigint)*100000-180000000 x, cast((s_suppkey*104729)%1600 as bigint)*100000-90000000 y, "
+        "cast(600000+(s_suppkey%7)*100000+(s_suppkey%11)*1301 as bigint) w, cast(500000+(s_suppkey%5)*100000+(s_suppkey%9)*1709 as bigint) h from supplier) z "
+        "join fx_shapes s on s.kind=z.kind"
+    ),
     # ours: level display names per area, derived from nation and region
     "fx_level_names": (
         "select lower(n_name) iso, n_name name, 'country' adm0, "
