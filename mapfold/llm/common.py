@@ -5,6 +5,8 @@ filters and connected components.
 Word hashes are 64-bit: every byte has a random odd value, a word is the
 position-weighted sum of its byte values modulo 2^64, finished by a bit mixer.
 All of it is numpy over a whole Arrow batch; no per-word Python objects exist.
+Such sums can be made to collide by long words of a pattern (Thue-Morse), so
+words of more than ``LONG_WORD`` bytes take a cryptographic hash instead.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +58,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name`` with underscores in front until no column has it (names ignore case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 # ---------------------------------------------------------------- byte views
 
 MASK64 = (1 << 64) - 1
@@ -114,6 +125,7 @@ _RNG = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]  # A-Z hash like a-z
 _BASE = 0x9E3779B97F4A7C15
+LONG_WORD = 32
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 
 
@@ -166,6 +178,8 @@ def words(raw: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple[np.nd
     acc = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[raw] * up[:n], out=acc[1:])
     h = mix((acc[ends] - acc[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        h[i] = np.frombuffer(blake2b(raw[starts[i] : ends[i]].tobytes().lower(), digest_size=8).digest(), np.uint64)[0]
     return starts, ends, h, np.searchsorted(starts, offs)
 
 
@@ -233,6 +247,31 @@ class Membership:
         return out
 
 
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the rows whose id is among the (long, distinct) ids of ``gone``.
+
+    Rows that miss a membership filter of the ids stay as they are; only the
+    others, mostly those that go, are shuffled for the exact answer.
+    """
+    ship(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(Membership.build(gone, gone.columns[0]))
+    place = docs.columns.index(id_col)
+
+    def chosen(hit: bool):
+        def run(batches):
+            for b in batches:
+                ids = pc.cast(b.column(place), pa.int64())
+                test = held.value.test(ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
+                yield b.filter(pa.array(test == hit))
+
+        return docs.mapInArrow(run, docs.schema)
+
+    asked = chosen(True)
+    name = fresh(docs.columns, "_gone")
+    kept = asked.join(gone.select(F.col(gone.columns[0]).alias(name)), asked[id_col].cast("long") == F.col(name), "left_anti")
+    return chosen(False).unionByName(kept)
+
+
 def xxhash64_long(x: np.ndarray) -> np.ndarray:
     """Spark's ``xxhash64`` of one bigint column (seed 42), vectorised."""
     x = x.view(np.uint64)

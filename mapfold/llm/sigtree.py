@@ -61,7 +61,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import BLANK_WORDS, Membership, byte_view, components, distinct, lists, mix, ngrams, pieces, ship, slices, stored, table, words, xxhash64_long
+from mapfold.llm.common import BLANK_WORDS, Membership, byte_view, components, distinct, fresh, lists, mix, ngrams, pieces, ship, slices, stored, table, without_ids, words, xxhash64_long
 
 SHINGLE = 4
 PERCENT = 85
@@ -434,11 +434,11 @@ def _unlike(whole: DataFrame) -> DataFrame:
     return whole.groupBy("id").agg(*ends).where("(id is null and n1 > 0) or n0 != n1 or a0 != a1 or b0 != b1")
 
 
-def _by_row(docs: DataFrame, id_col: str, **how) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``docs`` under a key of their own, and (_row, doc_id, n_shingles, component_id) of each."""
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "join-rows")
-    made = similarity_components(rows, id_col="_row", **how).select(F.col("doc_id").alias("_row"), "n_shingles", F.col("component_id").alias("root"))
-    named = stored(made.join(rows.select("_row", F.col(id_col).cast("long").alias("doc_id")), "_row"), "join-named")
+def _by_row(docs: DataFrame, id_col: str, key: str = "_row", **how) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` under a ``key`` of their own, and (_row, doc_id, n_shingles, component_id) of each."""
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "join-rows")
+    made = similarity_components(rows, id_col=key, **how).select(F.col("doc_id").alias("_row"), "n_shingles", F.col("component_id").alias("root"))
+    named = stored(made.join(rows.select(F.col(key).alias("_row"), F.col(id_col).cast("long").alias("doc_id")), "_row"), "join-named")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rows, named.join(least, "root").select("_row", "doc_id", "n_shingles", "component_id")
 
@@ -514,11 +514,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     component stay with it; a null id stays only if its whole component has none)."""
     ids = docs.groupBy(F.col(id_col).cast("long").alias("id")).count()
     if ids.where("id is null or count > 1").limit(1).count():
-        rows, named = _by_row(docs, id_col, text_col=text_col)
-        kept = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("_row")
-        return rows.join(kept, "_row", "left_semi").select(*docs.columns)
-    gone = similarity_components(docs, id_col=id_col, text_col=text_col).where("component_id != doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+        key = fresh(docs.columns, "_row")
+        rows, named = _by_row(docs, id_col, key, text_col=text_col)
+        kept = named.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("_row").alias(key))
+        return rows.join(kept, key, "left_semi").select(*docs.columns)
+    gone = similarity_components(docs, id_col=id_col, text_col=text_col).where("component_id != doc_id").select("doc_id")
+    return without_ids(docs, gone, id_col)
 
 
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
