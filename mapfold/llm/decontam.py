@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import ALNUM_WORDS, byte_view, ngrams, ship, slices, stored, table, words
+from mapfold.llm.common import ALNUM_WORDS, byte_view, fresh, ngrams, ship, slices, stored, table, words
 
 WINDOW = 13
 
@@ -150,7 +150,7 @@ def _scanned(plain: DataFrame, held: Broadcast[Windows]) -> DataFrame:
                     *b.columns[: len(keys)],
                     pa.array([f[3] for f in found], pa.int64()),
                     pa.array([[{"first": x, "last": y} for x, y in f[4]] for f in found], pa.list_(span)),
-                    pa.array([sorted(f[5]) for f in found], pa.list_(pa.int64())),
+                    pa.array([sorted(f[5], key=lambda x: (x is None, x or 0)) for f in found], pa.list_(pa.int64())),
                 ],
                 schema=pa.schema(kinds),
             )
@@ -177,8 +177,8 @@ def _passes(plain: DataFrame, blocks: list[DataFrame]) -> DataFrame:
     )
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "decontam-rows")
+def _keyed(docs: DataFrame, key: str) -> DataFrame:
+    return stored(docs.withColumn(key, F.monotonically_increasing_id()), "decontam-rows")
 
 
 def marks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_rows: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,7 +189,7 @@ def marks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_rows:
     blocks = _blocks(benchmark, size, block_rows)
     if len(blocks) == 1:
         return _scanned(plain, _sent(blocks[0]))
-    return _passes(_keyed(plain).select("_row", "doc_id", "text"), blocks).drop("_row")
+    return _passes(_keyed(plain, "_row").select("_row", "doc_id", "text"), blocks).drop("_row")
 
 
 def hit_words(spans: str = "spans"):
@@ -211,14 +211,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, action: str = "drop", s
     place = docs.columns.index(text_col)
     blocks = _blocks(benchmark, size, block_rows)
     if len(blocks) > 1:
-        rows = _keyed(docs)
-        found = _passes(rows.select("_row", F.col(text_col).alias("text")), blocks)
+        key, marked = fresh(docs.columns, "_row"), fresh(docs.columns, "_spans")
+        rows = _keyed(docs, key)
+        found = _passes(rows.select(key, F.col(text_col).alias("text")), blocks)
         hit = hit_words()
         if action == "drop":
-            return rows.join(found.where((hit > 0) & (hit * share >= F.col("n_words"))).select("_row"), "_row", "left_anti").select(*docs.columns)
-        spans = found.where(F.size("spans") > 0).select("_row", F.col("spans").alias("_spans"))
+            return rows.join(found.where((hit > 0) & (hit * share >= F.col("n_words"))).select(key), key, "left_anti").select(*docs.columns)
+        spans = found.where(F.size("spans") > 0).select(key, F.col("spans").alias(marked))
         columns = docs.columns
-        rows = rows.join(spans, "_row", "left").select(*columns, "_spans")
+        rows = rows.join(spans, key, "left").select(*columns, marked)
 
         def cut_at(batches):
             for b in batches:
