@@ -132,9 +132,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, epochs: in
     ship(spark)
     usable = labels.where(F.col(label_col).isin(0, 1) & ~held_out(id_col)).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y"))
     sample = usable.withColumn("_h", F.xxhash64("_id")).orderBy("_h", "_id").limit(max_rows)  # the documented bound
+    keyed = docs.select(F.col(id_col).alias("_k"), F.col(text_col).alias("_t"), F.xxhash64(text_col).alias("_x"))
+    # an id may stand on many rows, so the bound holds for rows: narrow first, then their texts
+    some = keyed.join(F.broadcast(sample), F.col("_k") == F.col("_id")).select("_h", F.col("_id").alias("_k"), "_x", "_y").distinct()
+    some = some.orderBy("_h", "_k", "_x").limit(max_rows)
     rows = (
-        docs.join(F.broadcast(sample), docs[id_col] == F.col("_id"))  # bounded by max_rows
-        .select("_h", docs[id_col].alias("_k"), "_y", F.col(text_col).alias("_t"))
+        keyed.join(F.broadcast(some), ["_k", "_x"])  # bounded by max_rows
+        .dropDuplicates(["_k", "_x"])
+        .select("_h", "_k", "_y", "_t")
         .withColumn("_e", F.explode(F.array(*[F.lit(e) for e in range(epochs)])))
     )
     rows = rows.repartition(1).sortWithinPartitions("_e", "_h", "_k", "_t").select("_y", "_t")
