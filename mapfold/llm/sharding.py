@@ -1,7 +1,7 @@
 """Sharding by fixed virtual slots and a versioned slot-to-shard map.
 
-Every row hashes by its id into one of ``slots`` virtual slots (8,192), which
-never change.  Bytes and rows are summed per slot, and a map says which shard
+Every row hashes by its id, size and text checksum into one of ``slots`` virtual
+slots (8,192), which never change.  Bytes and rows are summed per slot, and a map says which shard
 owns each slot.  Version 1 deals slots evenly; ``rebalance`` edits a version
 into the next by moving single slots from the fullest to the emptiest shard
 until no move helps, so most slots stay where they are.  Every version is kept
@@ -12,9 +12,10 @@ driver and broadcast.  A row's place in its shard is the slot's offset (a sum
 over the map) plus its place within the slot; only slots, each a few thousandths
 of the rows, are ever sorted.
 
-Defined cases: null text has no bytes (size 16); a null id is hashed like a
-value; repeated rows are rows of their own, in the order of their text; an empty
-table gives no rows; further columns are ignored.
+Defined cases: null text has no bytes (size 16); rows with a null or repeated id
+are spread by their texts; rows equal in id and text are rows of their own but
+share a slot, so a table of very many such rows is as uneven as they are heavy;
+an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,12 +35,12 @@ SLOTS = 1 << 13
 def slotted(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, vslot of every row; the text itself is not shuffled."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(
+    rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(slots)).cast("int").alias("vslot"),
     )
+    return rows.withColumn("vslot", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(slots)).cast("int"))
 
 
 def even_map(slots: int, shards: int) -> list[int]:
