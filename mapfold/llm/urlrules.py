@@ -7,15 +7,16 @@ must occur whole), the one that occurs in the fewest urls of the table.  A url's
 own tokens fetch the rules filed under them, and only those expressions run; the
 longest rule that fits decides.
 
-The index is an array of rules per token, made of the rules alone; up to
-``MAX_INLINE`` rules it is a literal map in the plan, so the judgement is one
-scan without shuffle.  More rules are joined on the token.
+The index is the rules per token, made of the rules alone.  Up to ``MAX_INLINE``
+rules it is a literal map in the plan; Spark looks such a map up entry by entry,
+so more rules go to the tasks as a broadcast dictionary (they are given as a
+Python tuple, which bounds it).  Either way the judgement is one scan without
+shuffle.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and
-gets the default verdict; ports and user names count as part of the host; very
-long urls are judged whole; repeated page ids are judged row by row (in the
-joined form, equal ids with equal urls once each); an empty table gives no rows;
-further columns are ignored.
+gets the default verdict; ports and user names count as part of the host, and so
+do line breaks; very long urls are judged whole; repeated page ids are judged row
+by row; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import table
+from mapfold.llm.common import ship, table
 
-MAX_INLINE = 5_000
+MAX_INLINE = 40
 
 
 @dataclass(frozen=True)
@@ -42,9 +44,12 @@ class Rule:
         return self.host + self.path
 
     @property
-    def pattern(self) -> str:
-        """Over ``host + '\\n' + path``."""
-        return rf"(?s)^(?:[^\n]*\.)?{_quoted(self.host)}\n{_quoted(self.path)}"
+    def host_pattern(self) -> str:
+        return rf"(?s)^(?:.*\.)?{_quoted(self.host)}\z"
+
+    @property
+    def path_pattern(self) -> str:
+        return f"^{_quoted(self.path)}"
 
     @property
     def tokens(self) -> list[str]:
@@ -89,14 +94,12 @@ def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> D
 def index(rows: DataFrame, rules: tuple[Rule, ...]) -> dict[str, list[Rule]]:
     """Rules by the token of theirs that the fewest urls have."""
     wanted = sorted({t for r in rules for t in r.tokens})
-    if len(wanted) <= 10 * MAX_INLINE:
-        mine = F.filter("tokens", lambda x: x.isin(*wanted)) if len(wanted) <= 200 else F.array_intersect("tokens", F.lit(wanted))
-        counts = {r["t"]: r["n"] for r in rows.select(F.explode(mine).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per rule token
+    if len(wanted) <= 200:
+        listed = rows.select(F.explode(F.filter("tokens", lambda x: x.isin(*wanted))).alias("t"))
     else:
-        spark = rows.sparkSession
-        keep = spark.createDataFrame([(t,) for t in wanted], "t string")
-        counted = rows.select(F.explode("tokens").alias("t")).join(keep, "t", "left_semi").groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-        counts = {r["t"]: r["n"] for r in counted.collect()}  # one row per rule token
+        keep = rows.sparkSession.createDataFrame([(t,) for t in wanted], "t string")
+        listed = rows.select(F.explode("tokens").alias("t")).join(keep, "t", "left_semi")
+    counts = {r["t"]: r["n"] for r in listed.groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per rule token
     out: dict[str, list[Rule]] = {}
     for r in rules:
         out.setdefault(min(r.tokens, key=lambda t: (counts.get(t, 0), t)), []).append(r)
@@ -109,21 +112,42 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, default: str = "all
     if not rules:
         return rows.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     filed = index(rows, rules)
-    subject = F.concat(F.col("host"), F.lit("\n"), F.col("path"))
     if len(rules) <= MAX_INLINE:
-        entry = lambda r: F.struct(F.lit(len(r.name)).alias("size"), F.lit(r.name).alias("rule"), F.lit(r.verdict).alias("verdict"), F.lit(r.pattern).alias("pattern"))
+        entry = lambda r: F.struct(F.lit(len(r.name)).alias("size"), F.lit(r.name).alias("rule"), F.lit(r.verdict).alias("verdict"), F.lit(r.host_pattern).alias("on_host"), F.lit(r.path_pattern).alias("on_path"))
         fetch = F.create_map(*[x for t, rs in sorted(filed.items()) for x in (F.lit(t), F.array(*[entry(r) for r in rs]))])
         got = F.flatten(F.transform(F.filter("tokens", lambda t: F.map_contains_key(fetch, t)), lambda t: fetch[t]))
-        fits = F.filter(got, lambda r: F.regexp_like(subject, r["pattern"]))
+        fits = F.filter(got, lambda r: F.regexp_like(F.col("host"), r["on_host"]) & F.regexp_like(F.col("path"), r["on_path"]))
         best = rows.withColumn("best", F.array_max(fits))
         return best.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
-    spark = pages.sparkSession
-    flat = spark.createDataFrame([(t, len(r.name), r.name, r.verdict, r.pattern) for t, rs in filed.items() for r in rs], "t string, size int, rule string, verdict string, pattern string")
-    hits = rows.withColumn("t", F.explode("tokens")).join(flat, "t").where(F.regexp_like(subject, F.col("pattern")))
-    best = hits.groupBy("page_id", "host", "path").agg(F.max(F.struct("size", "rule", "verdict")).alias("best"))
-    all_rows = rows.select(F.col("page_id").alias("_p"), F.col("host").alias("_h"), F.col("path").alias("_q"))
-    same = F.col("_p").eqNullSafe(F.col("page_id")) & F.col("_h").eqNullSafe(F.col("host")) & F.col("_q").eqNullSafe(F.col("path"))
-    return all_rows.join(best, same, "left").select(F.col("_p").alias("page_id"), F.col("_h").alias("host"), F.col("_q").alias("path"), "best.rule", F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    return _judged_in_tasks(rows.select("page_id", "host", "path", "tokens"), filed, default)
+
+
+def _judged_in_tasks(rows: DataFrame, filed: dict[str, list[Rule]], default: str) -> DataFrame:
+    ship(rows.sparkSession)
+    # rules in the order of decision: longest first, then as the map form breaks ties
+    order = {t: sorted(((len(r.name), r.name, r.verdict, r.host, r.path) for r in rs), reverse=True) for t, rs in filed.items()}
+    held = rows.sparkSession.sparkContext.broadcast(order)
+    id_type = rows.schema["page_id"].dataType.simpleString()
+
+    def run(batches):
+        known, tests = held.value, {}
+
+        def fits(host: str, path: str, rule: tuple) -> bool:
+            if rule[3:] not in tests:
+                tests[rule[3:]] = re.compile(rf"(?s)(?:.*\.)?{_quoted(rule[3])}\Z"), re.compile(_quoted(rule[4]))
+            on_host, on_path = tests[rule[3:]]
+            return on_host.match(host) is not None and on_path.match(path) is not None
+
+        for b in batches:
+            best = []
+            for host, path, tokens in zip(*(b.column(i).to_pylist() for i in (1, 2, 3))):
+                found = [next((r for r in known[t] if fits(host, path, r)), None) for t in tokens if t in known]
+                best.append(max((r for r in found if r), default=None))
+            rule = pa.array([r and r[1] for r in best], pa.string())
+            verdict = pa.array([r[2] if r else default for r in best], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], rule, verdict], names=["page_id", "host", "path", "rule", "verdict"])
+
+    return rows.mapInArrow(run, f"page_id {id_type}, host string, path string, rule string, verdict string")
 
 
 def op10_url_filters(spark, sf_dir: str) -> DataFrame:
