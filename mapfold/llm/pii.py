@@ -17,8 +17,8 @@ with the chance of one in its domain (days: 73,049; all others over 10^6).
 
 Defined cases: null text stays null with no values; empty texts stay empty;
 texts are searched whole; repeated rows are treated alike; an empty table gives
-no rows; ``pseudonymise`` passes all further columns on (its two working columns
-have reserved names).
+no rows; ``pseudonymise`` passes all further columns on, also such as have the
+names of its working columns or of its result.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import table
+from mapfold.llm.common import fresh, table
 
 ROUNDS = 10
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -45,6 +45,9 @@ SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9A-Za-z+])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
 FOUND = "|".join((EMAIL, IBAN, PHONE, PHONE_US, IP, DAY, SSN, CARD))
 
+# fixed values: country calling codes by length (1 and 7; the two-digit ones; all others have three digits)
+CALLING_CODES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
+
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)  # 1900-01-01 to 2099-12-31 is 17 * 4297 days
 SSN_PARTS = (898, 99 * 9999)  # areas 001-665 and 667-899; groups 01-99; serials 0001-9999
 
@@ -150,8 +153,9 @@ def iban(key: str, m: Column) -> Column:
 
 
 def phone(key: str, m: Column) -> Column:
-    """Country code kept where a separator marks it, else one digit."""
-    code = F.when(m.startswith("+"), F.when(m.rlike(r"^\+[0-9]{1,3}[ .(-]"), F.regexp_extract(m, r"^(\+[0-9]{1,3})", 1)).otherwise(F.substring(m, 1, 2))).otherwise(F.lit(""))
+    """A country's calling code is kept however the number is written, so its other
+    digits are the same value with and without separators."""
+    code = F.regexp_extract(m, rf"^(\+(?:{CALLING_CODES}))", 1)
 
     def make(c: Column) -> Column:
         rest = F.substring(m, F.length(c) + 1, F.length(m))
@@ -265,16 +269,18 @@ def pseudonym(key: str, m: Column) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", found_col: str = "pii") -> DataFrame:
     """``docs`` with the text rewritten and ``found_col``: the kind and pseudonym
-    of every value replaced, in the order of the text."""
+    of every value replaced, in the order of the text.  ``found_col`` gets
+    underscores in front while a column has that name."""
     text = F.col(text_col)
     maybe = text.rlike("[0-9@]")
     hits = F.when(maybe, F.regexp_extract_all(text, F.lit(FOUND), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = docs.withColumn("_mf_found", hits)
-    rows = rows.withColumn("_mf_new", F.transform("_mf_found", lambda m: pseudonym(key, m)))
-    filled = F.zip_with("_mf_found", "_mf_new", lambda m, p: F.coalesce(p["value"], m))
+    found, new, found_col = (fresh(docs.columns, c) for c in ("_mf_found", "_mf_new", found_col))
+    rows = docs.withColumn(found, hits)
+    rows = rows.withColumn(new, F.transform(found, lambda m: pseudonym(key, m)))
+    filled = F.zip_with(found, new, lambda m, p: F.coalesce(p["value"], m))
     parts = F.zip_with(F.split(text, FOUND, -1), filled, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    out = F.when(F.size("_mf_found") > 0, F.array_join(parts, "")).otherwise(text)
-    return rows.withColumn(text_col, out).withColumn(found_col, F.filter("_mf_new", lambda p: p["value"].isNotNull())).drop("_mf_found", "_mf_new")
+    out = F.when(F.size(found) > 0, F.array_join(parts, "")).otherwise(text)
+    return rows.withColumn(text_col, out).withColumn(found_col, F.filter(new, lambda p: p["value"].isNotNull())).drop(found, new)
 
 
 def op1_pii(spark, sf_dir: str) -> DataFrame:
