@@ -2,9 +2,9 @@
 
 Records are range-partitioned and sorted by their id; each range writes gzip
 members one record at a time and rolls to a new file when the compressed size
-reaches ``roll_bytes``.  Headers are made anew from the record alone (record ids
-and dates come from the id, so a rerun writes the same bytes), digests from the
-payload.  A payload that occurs more than once is stored once, with the greatest
+reaches ``roll_bytes``.  Headers are made anew from the record alone (record ids come
+from the id and every date is the epoch, so a rerun writes the same bytes),
+digests from the payload.  A payload that occurs more than once is stored once, with the greatest
 id; the other records are revisits that refer to it.  Who refers to whom is worked
 out on ids and digests alone; payloads are shuffled once, by the range sort.
 
@@ -19,7 +19,9 @@ store URIs) and are read back with Spark's binary reader, a file (at most
 
 Defined cases: null html is an empty payload; a null url is the empty target; a
 payload smaller than ``min_revisit`` bytes is always a response; rows that
-repeat an id with the same payload are one response and then revisits of it;
+repeat an id with the same payload are one response and then revisits of it; rows
+with a null id are named by nothing, so each of equal ones is a response unless an
+id has that payload;
 very long payloads are one record; an empty table gives no files and no rows;
 further columns are ignored.
 """
