@@ -124,15 +124,15 @@ def _cell(rows: pd.DataFrame) -> pd.DataFrame:
     weight[-1] = vt - len(terms)
     left = np.flatnonzero(head["block"].to_numpy() == lo)
     right = np.flatnonzero(head["block"].to_numpy() == hi)
-    out = []
+    a, b, values = [], [], []
     for i in left:
         others = right[right > i] if lo == hi else right
-        if len(others):
-            d = p[others] - p[i]
-            value = ((d * d) // np.maximum(p[others] + p[i], 1)) @ weight
-            out.append(pd.DataFrame({"a": names[i], "b": names[others], "value": value}))
-    made = pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "value": []})
-    return made.assign(lang=rows["lang"].iloc[0])[["lang", "a", "b", "value"]]
+        d = p[others] - p[i]
+        values += (((d * d) // np.maximum(p[others] + p[i], 1)) @ weight).tolist()
+        a += [names[i]] * len(others)
+        b += names[others].tolist()
+    text = {"lang": [rows["lang"].iloc[0]] * len(a), "a": a, "b": b}
+    return pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in text.items()} | {"value": pd.Series(values, dtype=np.int64)})
 
 
 def cube(groups: DataFrame, used: DataFrame, langs: DataFrame, group_block: int = GROUP_BLOCK, term_block: int = TERM_BLOCK) -> DataFrame:
