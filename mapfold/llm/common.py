@@ -247,29 +247,32 @@ class Membership:
         return out
 
 
-def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
-    """``docs`` without the rows whose id is among the (long, distinct) ids of ``gone``.
-
-    Rows that miss a membership filter of the ids stay as they are; only the
-    others, mostly those that go, are shuffled for the exact answer.
-    """
+def split_by_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose id may be among the (long) ``ids`` or is null, and
+    the rows whose id surely is not, told apart by a membership filter: only the
+    first need a shuffle for an exact answer."""
     ship(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(Membership.build(gone, gone.columns[0]))
+    held = docs.sparkSession.sparkContext.broadcast(Membership.build(ids.dropna(), ids.columns[0]))
     place = docs.columns.index(id_col)
 
-    def chosen(hit: bool):
+    def chosen(asked: bool):
         def run(batches):
             for b in batches:
-                ids = pc.cast(b.column(place), pa.int64())
-                test = held.value.test(ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
-                yield b.filter(pa.array(test == hit))
+                own = pc.cast(b.column(place), pa.int64())
+                maybe = held.value.test(own.fill_null(0).to_numpy(zero_copy_only=False)) | own.is_null().to_numpy(zero_copy_only=False)
+                yield b.filter(pa.array(maybe == asked))
 
         return docs.mapInArrow(run, docs.schema)
 
-    asked = chosen(True)
+    return chosen(True), chosen(False)
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the rows whose id is among the (long, distinct) ids of ``gone``."""
+    asked, sure = split_by_ids(docs, gone, id_col)
     name = fresh(docs.columns, "_gone")
     kept = asked.join(gone.select(F.col(gone.columns[0]).alias(name)), asked[id_col].cast("long") == F.col(name), "left_anti")
-    return chosen(False).unionByName(kept)
+    return sure.unionByName(kept)
 
 
 def xxhash64_long(x: np.ndarray) -> np.ndarray:

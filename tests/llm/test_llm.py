@@ -465,7 +465,7 @@ def test_url_rules_inline_and_joined(spark, monkeypatch):
 
 def test_registry():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.ORACLE) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.ORACLE) <= set(queries.QUERIES)
 
 
 def test_pipeline_equals_brute_force(spark):
