@@ -39,7 +39,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.digest(packing.pack(docs))
+    return packing.digest(packing.pack(docs, order_by=["doc_id"]))
 
 
 STAGES = [
