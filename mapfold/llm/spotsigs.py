@@ -5,7 +5,7 @@ documents of a language.  Where the six words before a word hold no common
 word (lists, tables, shouted lines), the word itself is an anchor, so no stretch
 of a text is left out.  The spot signature of an anchor's occurrence is the
 anchor with the chain of the first two content words (words that are not common)
-among the six words after it; fewer words make a shorter chain, no word none.
+among the six words after it; fewer words make a shorter chain.
 A text of at most 16 words also has each of its words as a signature.
 A text's set holds its signatures with their occurrence numbers (a multiset),
 each as 48 bits of an MD5 in hexadecimal; the fingerprint is the sorted set
@@ -19,9 +19,8 @@ then the places of the shared signature in both sorted sets, bound it below the
 threshold.  :func:`likeness` is the same comparison without a threshold: only
 the bound 0 (an empty set) prunes.
 
-Defined cases: a null text is empty; a text with words and no signature has one
-signature of all its words, a text without words one of itself, the empty text
-none; two empty sets have the likeness 1, one empty set 0; a repeated doc_id
+Defined cases: a null text is empty; a text without words has one signature, of
+itself, the empty text none; two empty sets have the likeness 1, one empty set 0; a repeated doc_id
 follows in the order of (hash of text, text); rows with a null doc_id come after
 all others in that order; further columns are ignored; the next document of an
 only document is itself; an empty table gives no rows.  A text is one row: its
@@ -45,12 +44,12 @@ CHAIN = 2
 SHORT = 16  # texts of at most so many words also have each word as a signature
 ID_BITS = 7  # a window group holds at most 2^ID_BITS different ids
 STEP_BITS = 12
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # between words: all of ASCII but a-z and 0-9, after lower-casing A-Z
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.translate(text, _UPPER, _LOWER), BREAK), "")
 
 
 def anchors(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> list[str]:
@@ -70,19 +69,17 @@ def anchors(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANG
 
 def with_set(rows: DataFrame, common: list[str], text: str = "text", out: str = "spots") -> DataFrame:
     """``rows`` and the sorted set of spot signatures of ``text`` in ``out``."""
-    w = words(F.col(text))
-    rows = rows.withColumn("_words", w).withColumn("_common", F.transform("_words", lambda x: x.isin(common) if common else F.lit(False)))
+    rows = rows.withColumn("_words", words(F.col(text))).withColumn("_common", F.transform("_words", lambda x: x.isin(common) if common else F.lit(False)))
+    rows = rows.withColumn("_content", F.transform("_words", lambda x, i: F.when(~F.get("_common", i), x)))
 
     def spot(word: Column, i: Column) -> Column:
         near = reduce(Column.__or__, [F.coalesce(F.get("_common", i - k), F.lit(False)) for k in range(1, REACH + 1)])
-        content = F.array_compact(F.array(*[F.when(~F.get("_common", i + k), F.get("_words", i + k)) for k in range(1, REACH + 1)]))
-        chain = F.concat_ws(" ", word, *[F.get(content, F.lit(k)) for k in range(CHAIN)])
-        return F.when((F.get("_common", i) | ~near) & (F.size(content) > 0), chain)
+        after = F.array_compact(F.array(*[F.get("_content", i + k) for k in range(1, REACH + 1)]))
+        return F.when(F.get("_common", i) | ~near, F.concat_ws(" ", word, F.slice(after, 1, CHAIN)))
 
     alone = F.when(F.size("_words") <= SHORT, F.col("_words")).otherwise(F.array().cast("array<string>"))
     rows = rows.withColumn("_found", F.sort_array(F.concat(F.array_compact(F.transform("_words", spot)), alone)))
-    whole = F.when(F.size("_words") > 0, F.array(F.array_join("_words", " "))).when(F.col(text) != "", F.array(F.col(text)))
-    rows = rows.withColumn("_found", F.when(F.size("_found") > 0, F.col("_found")).otherwise(F.coalesce(whole, F.array().cast("array<string>"))))
+    rows = rows.withColumn("_found", F.when((F.size("_words") == 0) & (F.col(text) != ""), F.array(F.col(text))).otherwise(F.col("_found")))
     # where each run of equal signatures starts; occurrence j of a signature is an element of its own
     rows = rows.withColumn("_starts", F.filter(F.sequence(F.lit(0), F.size("_found")), lambda i: (i == 0) | (i == F.size("_found")) | (F.get("_found", i) != F.get("_found", i - 1))))
     runs = F.transform(
@@ -92,7 +89,7 @@ def with_set(rows: DataFrame, common: list[str], text: str = "text", out: str =
             lambda j: F.substring(F.md5(F.when(j == 1, F.get("_found", at)).otherwise(F.concat_ws("#", F.get("_found", at), j.cast("string")))), 1, 12),
         ),
     )
-    return rows.withColumn(out, F.sort_array(F.array_distinct(F.flatten(runs)))).drop("_words", "_common", "_found", "_starts")
+    return rows.withColumn(out, F.sort_array(F.array_distinct(F.flatten(runs)))).drop("_words", "_common", "_content", "_found", "_starts")
 
 
 def fingerprint(spots: Column) -> Column:
@@ -154,7 +151,7 @@ def successors(keys: DataFrame, level: int = 4) -> DataFrame:
 
 
 def with_next(docs: DataFrame, common: list[str]) -> DataFrame:
-    """doc_id, text, spots and ``next`` (text and spots of the next document).
+    """doc_id, text, spots, next_text and next_spots (of the next document).
 
     Documents are dealt into window groups of 2^ID_BITS neighbouring ids (null ids
     by the hash of the text), and the first document of a group is also sent to
@@ -169,9 +166,11 @@ def with_next(docs: DataFrame, common: list[str]) -> DataFrame:
     entry = stored(firsts.join(order, "_group"), "spotsigs-entries")
     is_first = (F.col("doc_id") == F.col("_first_id")) | (F.col("doc_id").isNull() & (F.col("_hash") == F.col("_first_hash")))
     sent = rows.join(entry, "_group").where(is_first).select("doc_id", "text", "_hash", F.col("_before").alias("_group"), F.lit(1).alias("_sent"))
-    both = with_set(rows.withColumn("_sent", F.lit(0)), common).unionByName(with_set(sent, common))
+    both = rows.withColumn("_sent", F.lit(0)).unionByName(sent)
     w = Window.partitionBy("_group").orderBy("_sent", "doc_id", "_hash", "text")
-    return both.withColumn("next", F.lead(F.struct("text", "spots")).over(w)).where("_sent = 0").drop("_sent", "_group", "_hash")
+    both = with_set(both.withColumn("next_text", F.lead("text").over(w)), common)
+    both = both.withColumn("next_spots", F.lead("spots").over(w))
+    return both.where("_sent = 0").drop("_sent", "_group", "_hash")
 
 
 def op11_spotsigs(spark, sf_dir: str) -> DataFrame:
@@ -184,8 +183,8 @@ def op11_spotsigs(spark, sf_dir: str) -> DataFrame:
         "doc_id",
         "spots",
         F.col("n_chars").cast("long").alias("n_chars"),
-        F.col("next.spots").alias("next_spots"),
-        F.concat(F.substring("text", F.lit(1), F.col("n_chars") - tail), F.substring("next.text", F.lit(1), tail)).alias("edited"),
+        "next_spots",
+        F.concat(F.substring("text", F.lit(1), F.col("n_chars") - tail), F.substring("next_text", F.lit(1), tail)).alias("edited"),
     )
     rows = with_set(rows, common, "edited", "edited_spots")
     return rows.select(
@@ -206,9 +205,9 @@ def _flags_sql(words: str) -> str:
 def _set_sql(words: str, flags: str, text: str) -> str:
     near = f"list_bool_or(list_slice({flags}, greatest(i - {REACH}, 1), i - 1))"
     after = f"list_filter(list_slice({words}, i + 1, i + {REACH}), lambda x, k: not {flags}[i + k])"
-    spot = f"case when ({flags}[i] or i = 1 or not coalesce({near}, false)) and len({after}) > 0 then array_to_string([w] || {after}[1:{CHAIN}], ' ') end"
+    spot = f"case when {flags}[i] or i = 1 or not coalesce({near}, false) then array_to_string([w] || {after}[1:{CHAIN}], ' ') end"
     found = f"list_filter(list_transform({words}, lambda w, i: {spot}), lambda s: s is not null) || case when len({words}) <= {SHORT} then {words} else []::varchar[] end"
-    return f"case when len({found}) > 0 then {found} when len({words}) > 0 then [array_to_string({words}, ' ')] when {text} <> '' then [{text}] else []::varchar[] end"
+    return f"case when len({words}) > 0 then {found} when {text} <> '' then [{text}] else []::varchar[] end"
 
 
 def _bag_sql(src: str, out: str, keep: str) -> str:
@@ -220,7 +219,7 @@ def _bag_sql(src: str, out: str, keep: str) -> str:
 
 
 def _words_sql(text: str) -> str:
-    return f"regexp_extract_all(translate({text}, '{_UPPER}', '{_LOWER}'), '{WORD}')"
+    return f"regexp_extract_all(translate({text}, '{_UPPER}', '{_LOWER}'), '[^{BREAK[1:-2]}]+')"
 
 
 def _near_sql(a: str, b: str) -> str:
