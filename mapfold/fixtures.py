@@ -110,6 +110,47 @@ FX: dict[str, str] = {
         "cast(600000+(s_suppkey%7)*100000+(s_suppkey%11)*1301 as bigint) w, cast(500000+(s_suppkey%5)*100000+(s_suppkey%9)*1709 as bigint) h from supplier) z "
         "join fx_shapes s on s.kind=z.kind"
     ),
+    # ours: ways with their nodes; the first node may be a junction of many ways, the last is shared by two
+    "fx_ways": (
+        "select o_orderkey way_id, case substr(o_orderpriority,1,1) when '1' then 'primary' when '2' then 'secondary' when '3' then 'residential' "
+        "when '4' then 'service' else 'footway' end highway, case when o_orderkey%3=0 then concat('street ',cast(o_custkey%40 as varchar(20))) end name, "
+        "case o_orderkey%5 when 0 then '50' when 1 then '30' end maxspeed, o_orderkey%4=0 oneway from orders"
+    ),
+    "fx_way_nodes": (
+        "select way_id, cast(seq as int) seq, case when seq=1 and way_id%3=0 then cast(way_id%211 as bigint) when seq=1 then 500000000+way_id "
+        "when seq=n then 1000000000+cast(floor(way_id/2) as bigint) else 1000000+way_id*10+seq end node_id from ("
+        "select l_orderkey way_id, row_number() over (partition by l_orderkey order by l_linenumber) seq, count(*) over (partition by l_orderkey) n "
+        "from (select distinct l_orderkey, l_linenumber from lineitem) t) w"
+    ),
+    "fx_nodes": (
+        "select node_id, cast((k*7919)%3600 as bigint)*100000-180000000+(node_id%10)*50000 x, cast((k*104729)%1800 as bigint)*100000-90000000+(node_id%7)*50000 y "
+        "from (select distinct node_id, case when node_id<211 then node_id*71 when node_id>=1000000000 then node_id-1000000000 "
+        "when node_id>=500000000 then cast(floor((node_id-500000000)/2) as bigint) else cast(floor((node_id-1000000)/20) as bigint) end k from fx_way_nodes) n"
+    ),
+    # ours: attribute columns of boundary files in six styles; '#' is the level, '@' the two-letter code
+    "fx_file_columns": (
+        "select f.area_id*10+f.adm_level file_id, f.area_id, f.adm_level, c.pos, "
+        "replace(replace(c.name,'#',cast(f.adm_level as varchar(1))),'@',upper(substr(n.n_name,1,2))) col, c.holds "
+        "from (select distinct area_id, adm_level from fx_units) f join nation n on n.n_nationkey=f.area_id join (select * from (values "
+        "(0,0,'OBJECTID','id'),(0,1,'ADM#_EN','name'),(0,2,'ADM#_PCODE','pcode'),(0,3,'ADM#_TYPE','type'),(0,4,'ADM0_EN','country'),"
+        "(1,0,'adm#_@','name'),(1,1,'adm#_pcode','pcode'),(1,2,'type_#','type'),(1,3,'adm#_type','type'),"
+        "(2,0,'VARNAME_#','other'),(2,1,'NAME_#','name'),(2,2,'CODE','pcode'),(2,3,'ENGTYPE_#','type'),(2,4,'NAME_#_ES','other'),"
+        "(3,0,'Shape_Area','id'),(3,1,'admin#Pcod','pcode'),(3,2,'admin#Name','name'),"
+        "(4,0,'NAME','name'),(4,1,'P_CODE','pcode'),(4,2,'ADM#_DESCR','other'),"
+        "(5,0,'Nama#','name'),(5,1,'shn#','pcode'),(5,2,'Type#','type')) s(style,pos,name,holds)) c on c.style=cast(n.n_nationkey%6 as int) "
+        "where not (c.holds='country' and f.adm_level=0)"
+    ),
+    "fx_unit_attrs": (
+        "select u.row_id, u.file_order, c.file_id, c.area_id, c.adm_level, c.col, case c.holds when 'name' then u.name when 'pcode' then u.pcode when 'type' then u.admin_type "
+        "when 'country' then concat('land ',cast(u.area_id as varchar(20))) when 'other' then concat('x',cast(u.row_id as varchar(20))) else cast(u.row_id as varchar(20)) end val "
+        "from fx_units u join fx_file_columns c on c.area_id=u.area_id and c.adm_level=u.adm_level"
+    ),
+    # ours: elements with more tags, and whether a way is closed
+    "fx_osm_tagged": (
+        "select el_type, osm_id, el_type='way' and osm_id%3<>0 closed, amenity, waterway, highway, place, water, landuse, harbour, name, "
+        "case osm_id%23 when 1 then 'coastline' when 2 then 'wood' when 3 then 'water' end natural_tag, case osm_id%31 when 1 then 'yes' when 2 then 'no' end area, "
+        "case when osm_id%19=4 then 'yes' end building, case when osm_id%13=5 then 'editor 1' end created_by, case when osm_id%11=6 then 'survey' end source from fx_osm"
+    ),
     # ours: level display names per area, derived from nation and region
     "fx_level_names": (
         "select lower(n_name) iso, n_name name, 'country' adm0, "
@@ -158,6 +199,8 @@ def with_fixtures(sql: str) -> str:
         return sql
     body = sql.strip()
     ctes = ", ".join(f"{n} as ({FX[n]})" for n in names)
+    if body[:15].lower() == "with recursive ":
+        return f"with recursive {ctes}, {body[15:]}"
     if body[:5].lower() == "with ":
         return f"with {ctes}, {body[5:]}"
     return f"with {ctes} {body}"

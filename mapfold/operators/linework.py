@@ -31,18 +31,14 @@ def following(numbered: DataFrame, keys: list[str]) -> DataFrame:
     return met.groupBy("no").agg(F.min_by("nxt", F.struct(angle, "nxt")).alias("nxt"))
 
 
-def chains(edges: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys.., line, seq, x1, y1, x2, y2, closed): the edges as ordered lines.
+def ranked(links: DataFrame) -> DataFrame:
+    """(no, first, seq, size, closed) of every ``no`` of (no, nxt) links.
 
-    A ring begins with its least edge (by x1, y1, x2, y2), an open line with its
-    start; lines of a key are numbered from 0 by their first edge.  Every vertex
-    needs as many edges in as out for the rings to close; where an edge has no
-    successor an open line ends.
+    ``nxt`` is null where a line ends, and no two rows have the same.  Rings
+    (``closed``) begin with their least number; ``size`` counts the line's members.
     """
-    numbered = stored(edges.select(*keys, *EDGE).orderBy(*keys, *EDGE).withColumn("no", F.monotonically_increasing_id()), "linework-edges")
-    nxt = stored(numbered.select("no").join(following(numbered, keys), "no", "left"), "linework-next")
-
-    # the least edge of each ring: minimum over twice as many followers a round, until
+    nxt = stored(links.select("no", "nxt"), "linework-next")
+    # the least number of each ring: minimum over twice as many followers a round, until
     # nothing changes; pointers of open lines run out, those of rings never do
     state, left = nxt.select("no", F.col("nxt").alias("to"), F.col("no").alias("low")), -1
     while True:
@@ -51,12 +47,12 @@ def chains(edges: DataFrame, keys: list[str]) -> DataFrame:
         grown = stored(state.join(ahead, "to", "left").select("no", F.col("further").alias("to"), F.least("low", "low2").alias("low"), moved), "linework-low")
         state = grown.drop("moved")
         moves, going = grown.agg(F.count_if("moved"), F.count("to")).first()
-        if not moves and going == left:
+        if going == 0 or (not moves and going == left):
             break
         left = going
     on_ring = state.select("no", F.col("to").isNotNull().alias("closed"), "low")
 
-    # rings are cut before their least edge; then: how many edges follow, and the last of them
+    # rings are cut before their least number; then: how many follow, and the last of them
     goes_on = F.when(~(F.col("closed") & (F.col("nxt") == F.col("low"))), F.col("nxt"))
     rank = nxt.join(on_ring, "no").select("no", goes_on.alias("to")).select("no", "to", F.col("to").isNotNull().cast("long").alias("after"), F.coalesce("to", "no").alias("last"))
     rank = stored(rank, "linework-rank")
@@ -66,7 +62,20 @@ def chains(edges: DataFrame, keys: list[str]) -> DataFrame:
         rank = step.select("no", F.col("further").alias("to"), (F.col("after") + F.coalesce("after2", F.lit(0))).alias("after"), F.coalesce("last2", "last").alias("last"))
         rank = stored(rank, "linework-rank")
     lines = rank.groupBy("last").agg(F.max("after").alias("size"), F.max_by("no", "after").alias("first"))
-    heads = numbered.join(lines.select("last", "size", F.col("first").alias("no")), "no")
-    heads = heads.select("last", "size", F.row_number().over(Window.partitionBy(*keys).orderBy("no")).alias("line"))
-    placed = rank.join(heads, "last").select("no", (F.col("line") - 1).alias("line"), (F.col("size") - F.col("after")).cast("int").alias("seq"))
-    return numbered.join(placed, "no").join(on_ring, "no").select(*keys, "line", "seq", *EDGE, "closed")
+    placed = rank.join(lines, "last").select("no", "first", (F.col("size") - F.col("after")).cast("int").alias("seq"), (F.col("size") + 1).cast("int").alias("size"))
+    return placed.join(on_ring.select("no", "closed"), "no")
+
+
+def chains(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys.., line, seq, x1, y1, x2, y2, closed): the edges as ordered lines.
+
+    A ring begins with its least edge (by x1, y1, x2, y2), an open line with its
+    start; lines of a key are numbered from 0 by their first edge.  Every vertex
+    needs as many edges in as out for the rings to close; where an edge has no
+    successor an open line ends.
+    """
+    numbered = stored(edges.select(*keys, *EDGE).orderBy(*keys, *EDGE).withColumn("no", F.monotonically_increasing_id()), "linework-edges")
+    placed = stored(ranked(numbered.select("no").join(following(numbered, keys), "no", "left")), "linework-lines")
+    heads = numbered.join(placed.where("seq = 0").select("no"), "no")
+    heads = heads.select(F.col("no").alias("first"), (F.row_number().over(Window.partitionBy(*keys).orderBy("no")) - 1).alias("line"))
+    return numbered.join(placed, "no").join(heads, "first").select(*keys, "line", "seq", *EDGE, "closed")

@@ -58,6 +58,14 @@ motorway trunk primary secondary tertiary unclassified residential motorway_link
 primary_link secondary_link tertiary_link living_street service track road
 """.split()
 
+# Tags that make a closed way an area; "key", "key=value" or "key!=value".
+AREA_TAGS = """
+aeroway amenity area building harbour historic landuse leisure man_made military natural!=coastline
+office place power public_transport shop sport tourism water waterway=riverbank wetland
+""".split()
+# Tags that are dropped.
+DROPPED_TAGS = ["created_by", "source"]
+
 NAME3 = ["name", "name:en", "name_en"]
 ELEMENT = ["el_type", "osm_id"]  # nodes, ways and relations number their ids apart
 
@@ -92,6 +100,32 @@ def tag_filter(tags: Column, spec: dict) -> Column:
     return cond
 
 
+def matches_rule(tags: Column, rule: str) -> Column:
+    """One tag rule: key present, key with that value, or key with another value."""
+    if "!=" in rule:
+        key, value = rule.split("!=")
+        test = _t(tags, key) != value
+    elif "=" in rule:
+        key, value = rule.split("=")
+        test = _t(tags, key) == value
+    else:
+        test = F.map_contains_key(tags, rule)
+    return F.coalesce(test, F.lit(False))
+
+
+def element_geometry(el_type: Column, closed: Column, tags: Column, rules: list[str] = AREA_TAGS) -> Column:
+    """point, line, polygon or relation: closed ways with an area tag are polygons."""
+    area = F.lit(False)
+    for rule in rules:
+        area = area | matches_rule(tags, rule)
+    way = F.when(closed & area, F.lit("polygon")).otherwise(F.lit("line"))
+    return F.when(el_type == "node", F.lit("point")).when(el_type == "relation", F.lit("relation")).otherwise(way)
+
+
+def without_tags(tags: Column, dropped: list[str] = DROPPED_TAGS) -> Column:
+    return F.map_filter(tags, lambda k, v: ~k.isin(dropped))
+
+
 def fclass_expr(tags: Column, s: LayerSpec) -> Column | None:
     if s.fclass == "const":
         return F.lit(s.fclass_value)

@@ -357,33 +357,6 @@ def units(spark: SparkSession, sf: str, max_level: int = 2) -> DataFrame:
     )
 
 
-@query("pcode_units", _UNITS_SQL)
-def pcode_units(spark: SparkSession, sf: str) -> DataFrame:
-    return units(spark, sf)
-
-
-@query(
-    "pcode_dictionary",
-    """
-select u.pcode, lower(u.name) name, u.adm_level admin_lvl, upper(a.iso) country_iso, a.name_en country_name,
-  coalesce(u.admin_type, '') admin_type
-from (select pcode, arg_max(name, file_order) name, arg_max(adm_level, file_order) adm_level,
-  arg_max(admin_type, file_order) admin_type, arg_max(area_id, file_order) area_id
-  from fx_units where pcode is not null and adm_level <= 3 group by pcode) u
-join fx_areas a on a.area_id = u.area_id
-""",
-)
-def pcode_dictionary(spark: SparkSession, sf: str) -> DataFrame:
-    """Levels 0-3, all areas in one key-unique dictionary; names lower-cased."""
-    u = pcode_last(spark, sf, 3)
-    a = view(spark, sf, "fx_areas").select("area_id", "iso", "name_en")
-    return u.join(a, "area_id").select(
-        "pcode", F.lower("name").alias("name"), F.col("adm_level").alias("admin_lvl"),
-        F.upper("iso").alias("country_iso"), F.col("name_en").alias("country_name"),
-        F.coalesce("admin_type", F.lit("")).alias("admin_type"),
-    )
-
-
 _SELECTED_SQL = """
 select a.area_id, a.iso, a.name_en from fx_areas a
 where a.region in (0, 1, 2) and not exists (select 1 from fx_level_names n where n.iso = a.iso and n.source = 'no cod data')
@@ -459,24 +432,3 @@ def country_units(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("data/output/country_extractions/"), "iso").alias("data_out"),
         F.concat(F.lit("static_data/countries/"), "iso", F.lit(".json")).alias("area_file"),
     )
-
-
-@query(
-    "proj_name_fallback",
-    """
-select row_id, coalesce(nullif(name, ''), concat('unit_', pcode)) name, coalesce(nullif(admin_type, ''), '') admin_type,
-  coalesce(a.name_en, 'unknown') country
-from fx_units u left join fx_areas a on a.area_id = u.area_id
-""",
-)
-def proj_name_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    """Name: own name, else a pcode-derived name; type: own, else ''; country: area name."""
-    u = view(spark, sf, "fx_units")
-    a = view(spark, sf, "fx_areas").select("area_id", "name_en")
-    j = u.join(a, "area_id", "left")
-    return j.select(
-        "row_id",
-        F.coalesce(F.nullif("name", F.lit("")), F.concat(F.lit("unit_"), "pcode")).alias("name"),
-        F.coalesce(F.nullif("admin_type", F.lit("")), F.lit("")).alias("admin_type"),
-        F.coalesce("name_en", F.lit("unknown")).alias("country"),
-    )

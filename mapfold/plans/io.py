@@ -59,11 +59,6 @@ def _scan_geojson(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("scan_geojson", _GEOJSON_SQL)
-def scan_geojson(spark: SparkSession, sf: str) -> DataFrame:
-    return _scan_geojson(spark, sf)
-
-
 @query("sink_geojson", _GEOJSON_SQL)
 def sink_geojson(spark: SparkSession, sf: str) -> DataFrame:
     return _scan_geojson(spark, sf)
@@ -86,31 +81,6 @@ def scan_area_list(spark: SparkSession, sf: str) -> DataFrame:
     return R.area_list(R.read_geojson(spark, path))
 
 
-@query(
-    "sink_unit_geojson",
-    """
-select u.pcode, u.name_en, u.admin_level from (
-  select pcode, arg_max(name, file_order) name_en, arg_max(adm_level, file_order) admin_level
-  from fx_units where pcode is not null and adm_level <= 2 group by pcode) u
-""",
-)
-def sink_unit_geojson(spark: SparkSession, sf: str) -> DataFrame:
-    """One FeatureCollection per pcode (name = pcode), partitioned by pcode, read back."""
-    from mapfold.plans.admin import units
-
-    u = units(spark, sf)
-    doc = F.to_json(F.struct(
-        F.lit("FeatureCollection").alias("type"), F.col("pcode").alias("name"),
-        F.array(F.struct(F.lit("Feature").alias("type"), F.struct("iso", "name_en", "pcode", "admin_type",
-                                                                     "admin_level", "country_name").alias("properties"))).alias("features"),
-    ))
-    path = shared_dir(spark, "units")
-    W.write_text(u.select("pcode", doc.alias("value")), path, partition_by="pcode")
-    back = spark.read.text(path)
-    props = F.from_json("value", "features array<struct<properties:struct<name_en:string,admin_level:int>>>")
-    return back.select("pcode", props.features[0].properties.alias("p")).select("pcode", "p.name_en", "p.admin_level")
-
-
 @query(
     "sink_pcode_dict",
     """
