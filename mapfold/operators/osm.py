@@ -156,8 +156,8 @@ def select_elements(osm: DataFrame, s: LayerSpec) -> DataFrame:
 def osm_layer(osm: DataFrame, segs: DataFrame, areas: DataFrame, s: LayerSpec) -> DataFrame:
     """One layer for every area: (iso, layer_name, el_type, osm_id, [fclass], attributes.., x, y)."""
     el = select_elements(osm, s)
-    hits = points_in_areas(el, segs, ELEMENT, "area_id", s.predicate)
-    df = hits.join(areas.select("area_id", "iso"), "area_id").join(el, ELEMENT)
+    hits = points_in_areas(el, segs, ELEMENT, "area_id", s.predicate, payload=["tags", "x", "y"])
+    df = hits.join(areas.select("area_id", "iso"), "area_id")
     tags = F.col("tags")
     cols = [F.col("iso"), F.concat(F.col("iso"), F.lit("_" + s.tail)).alias("layer_name"), *map(F.col, ELEMENT)]
     if s.explode_classes is not None:

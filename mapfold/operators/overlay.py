@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -48,16 +48,76 @@ def repair(segs: DataFrame) -> DataFrame:
     return segs.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
 
+def repair_rings(edges: DataFrame, *keys: str) -> DataFrame:
+    """Rings (keys.., part, ring, eid, x1..y2) without repeated vertices, closed, and of three edges or more.
+
+    An edge starts where the one before it ends, whatever was in between, and the
+    last ends where the first starts.
+    """
+    ring = Window.partitionBy(*keys, "part", "ring").orderBy("eid")
+    rows = repair(edges)
+    whole = Window.partitionBy(*keys, "part", "ring")
+    start = F.first(F.struct("x1", "y1")).over(ring)
+    nxt = F.coalesce(F.lead(F.struct("x1", "y1")).over(ring), start)
+    rows = rows.withColumn("_n", nxt).withColumns({"x2": F.col("_n.x1"), "y2": F.col("_n.y1")}).drop("_n")
+    rows = repair(rows).withColumn("_size", F.count("*").over(whole)).where("_size >= 3")
+    return rows.drop("_size")
+
+
+def distinct_geometries(edges: DataFrame, key: str) -> DataFrame:
+    """(key, n_same) of one feature per geometry: the same edges whatever their order and direction; the least key stays."""
+    n = normalise(edges)
+    edge = F.xxhash64("nx1", "ny1", "nx2", "ny2")
+    # per feature: number of edges and three independent sums over them, added up before the shuffle
+    sums = [F.sum(F.xxhash64("nx1", "ny1", "nx2", "ny2", F.lit(k)).cast("decimal(20,0)")).alias(f"s{k}") for k in (1, 2)]
+    per = n.groupBy(key).agg(F.count("*").alias("n"), F.bit_xor(edge).alias("s0"), *sums)
+    return per.groupBy("n", "s0", "s1", "s2").agg(F.min(key).alias(key), F.count("*").alias("n_same")).select(key, "n_same")
+
+
 def present(areas: DataFrame, segs: DataFrame, key: str = "area_id") -> DataFrame:
     """The areas whose geometry is neither null nor empty: at least one edge has all its coordinates."""
     whole = segs.dropna(subset=["x1", "y1", "x2", "y2"])
     return areas.join(whole.select(key), key, "left_semi")
 
 
-def boundary(segs: DataFrame, key: str = "area_id") -> DataFrame:
-    """Polygon -> boundary line summary: vertex count and perimeter (degrees)."""
-    ln = F.sqrt(F.pow((F.col("x2") - F.col("x1")).cast("double"), 2) + F.pow((F.col("y2") - F.col("y1")).cast("double"), 2))
-    return segs.groupBy(key).agg(F.count("*").alias("n_edges"), F.round(F.sum(ln) / 1e6, 6).alias("perimeter_deg"))
+def ring_lines(edges: DataFrame, *keys: str) -> DataFrame:
+    """Polygon -> boundary: (keys.., part, ring, n_vertices, line), a ring's vertices in order as
+    "x y, x y, .." with the first again at the end.  ``keys`` may carry attributes."""
+    point = lambda a, b: F.concat(F.col(a).cast("string"), F.lit(" "), F.col(b).cast("string"))
+    vs = F.array_sort(F.collect_list(F.struct("eid", point("x1", "y1").alias("v"), point("x2", "y2").alias("w"))))
+    rings = edges.groupBy(*keys, "part", "ring").agg(vs.alias("vs"))  # a line is one value of one row
+    line = F.array_join(F.concat(F.col("vs.v"), F.array(F.element_at("vs", -1)["w"])), ", ")
+    return rings.select(*keys, "part", "ring", (F.size("vs") + 1).alias("n_vertices"), line.alias("line"))
+
+
+def linework(features: DataFrame, edges: DataFrame, file: str = "file_id", feature: str = "row_id") -> DataFrame:
+    """(file, feature, status, part, ring, n_vertices, line) of the features (file, feature, kind) of boundary files.
+
+    The kind of a file's first feature decides: polygons become their boundaries
+    and features of equal geometry count once, lines stay as they are, and any other
+    kind is one row that says so.
+    """
+    first = features.groupBy(file).agg(F.min_by("kind", feature).alias("file_kind"))
+    areal, lines = F.col("file_kind").isin("Polygon", "MultiPolygon"), F.col("file_kind") == "LineString"
+    rows = features.select(file, feature).join(first.where(areal | lines), file).join(ring_lines(edges, feature), feature)
+    whole = rows.groupBy(file, feature, "file_kind").agg(F.array_sort(F.collect_list(F.struct("part", "ring", "n_vertices", "line"))).alias("rings"))
+    # equal geometry: the same rings, by a digest; lines are never merged
+    same = F.when(areal, F.sha2(F.to_json(F.struct("rings")), 256)).otherwise(F.col(feature).cast("string"))
+    kept = whole.groupBy(file, same.alias("shape")).agg(F.min(feature).alias(feature), F.min_by("rings", feature).alias("rings"))
+    made = kept.select(file, feature, F.lit("ok").alias("status"), F.inline("rings"))
+    other = first.where(~(areal | lines)).select(file, F.concat(F.lit("unsupported "), "file_kind").alias("status"))
+    return made.unionByName(other, allowMissingColumns=True)
+
+
+def centroids(edges: DataFrame, *keys: str, areal: str = "areal") -> DataFrame:
+    """(keys.., cx, cy) in degrees of features of any kind: by area where ``areal``, else by length,
+    and the mean of the end points where a feature has no length (points are edges of length zero)."""
+    x1, y1, x2, y2 = (F.col(c).cast("double") / 1e6 for c in ("x1", "y1", "x2", "y2"))
+    cross, length = x1 * y2 - x2 * y1, F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
+    parts = {"a": (cross, (x1 + x2) * cross / 3, (y1 + y2) * cross / 3), "l": (length, (x1 + x2) / 2 * length, (y1 + y2) / 2 * length), "p": (F.lit(1.0), (x1 + x2) / 2, (y1 + y2) / 2)}
+    g = edges.groupBy(*keys).agg(F.max(areal).alias("_areal"), *[F.sum(c).alias(f"{k}{i}") for k, cols in parts.items() for i, c in enumerate(cols)])
+    pick = lambda i: F.when(F.col("_areal") & (F.abs("a0") > 1e-12), F.col(f"a{i}") / F.col("a0")).when(F.col("l0") > 0, F.col(f"l{i}") / F.col("l0")).otherwise(F.col(f"p{i}") / F.col("p0"))
+    return g.select(*keys, F.round(pick(1), 6).alias("cx"), F.round(pick(2), 6).alias("cy"))
 
 
 def centroid(segs: DataFrame, key: str = "area_id") -> DataFrame:

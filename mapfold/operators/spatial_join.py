@@ -1,115 +1,38 @@
-"""Spatial joins of features with areas, as grid-keyed equi-joins.
-
-Every join here has one shape: features and area edges get integer grid keys,
-an equi-join on the key finds candidates, and an exact integer predicate keeps
-the true pairs.  There is no nested loop over all features x all areas.
-
-Point in polygon uses two indexes built from the area edges only (their size
-does not grow with the features):
-
-* ``cell_state`` - for each area, every grid cell of its bounding box that no
-  edge touches is classified once by its centre (inside / outside); cells an
-  edge touches are marked ``boundary``.  Points in an inside cell need no
-  further test.
-* ``edge_bands`` - every edge repeated for each grid row its y-range meets.
-  A point in a boundary cell is tested with the even-odd ray rule against the
-  edges of its own row only, because an edge that crosses the horizontal ray
-  must span the point's y.
-
-Both indexes are plain DataFrames; Spark's adaptive execution broadcasts them
-when their measured size is small and keeps a shuffled hash join otherwise.
-Hot areas (one area holding a large share of the points) are split by the
-adaptive skew-join handling since the probe key is (area, row), not area.
+"""Spatial joins of points and lines with areas, as equi-joins on grid cells.
+
+The areas become one cell table (:mod:`mapfold.operators.cells`): per area and
+cell the edges that pass it and the winding number at its corner.  Points and
+line segments join it on the cell, with all their columns, and the exact integer
+predicate is a function of the joined row: no candidate is exploded against
+single edges, nothing is joined back, and there is no nested loop over all
+features x all areas.
+
+The table depends on the areas only.  Adaptive execution broadcasts it when its
+measured size is small and keeps a shuffled join otherwise; a cell with very many
+points is split by its skew handling.  ``grid`` should be about the distance of a
+few area vertices: a cell's edges are the work of one test.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mapfold.functions.geometry import (
-    MICRO,
-    cell,
-    crosses_ray,
-    cut_param,
-    on_segment,
-    point_param,
-    segments_intersect,
-)
+from mapfold.functions.geometry import MICRO, cell, cut_param, point_param, segments_intersect
+from mapfold.operators.cells import EDGE, cell_table, edge_cells, on_edges, winding
 
 DEFAULT_GRID = 2 * MICRO  # 2 degree cells for point tests
-LINE_GRID = 5 * MICRO  # coarser cells for edge/edge candidate pairs (fewer replicas)
+LINE_GRID = 5 * MICRO  # coarser cells for segments, which pass several
 
 
 def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def edge_bands(segs: DataFrame, key, grid: int = DEFAULT_GRID) -> DataFrame:
-    """Edges repeated for every grid row their y-range meets: (key.., cy, x1..y2, xmax)."""
-    k = _keys(key)
-    return segs.select(
-        *k,
-        F.explode(F.sequence(cell(F.least("y1", "y2"), grid), cell(F.greatest("y1", "y2"), grid))).alias("cy"),
-        "x1", "y1", "x2", "y2",
-        F.greatest("x1", "x2").alias("xmax"),
-    )
-
-
-def edge_cells(segs: DataFrame, key, grid: int = DEFAULT_GRID) -> DataFrame:
-    """Grid cells touched by each edge's bounding box: (key.., cx, cy, edge columns)."""
-    k = _keys(key)
-    rows = segs.select(
-        *k, "x1", "y1", "x2", "y2",
-        F.explode(F.sequence(cell(F.least("x1", "x2"), grid), cell(F.greatest("x1", "x2"), grid))).alias("cx"),
-    )
-    return rows.select(
-        *k, "x1", "y1", "x2", "y2", "cx",
-        F.explode(F.sequence(cell(F.least("y1", "y2"), grid), cell(F.greatest("y1", "y2"), grid))).alias("cy"),
-    )
-
-
-def _ray_test(cands: DataFrame, bands: DataFrame, ids: Sequence[str], key: Sequence[str]) -> DataFrame:
-    """Even-odd ray test of candidate points against the edges of their grid row.
-
-    ``cands`` has ids + key + (px, py, cy).  Returns ids + key + (odd, onb).
-    Only edges that reach right of the point can cross its ray or hold it.
-    """
-    j = cands.join(bands, on=[*key, "cy"], how="inner").where(F.col("xmax") >= F.col("px"))
-    cr = crosses_ray("px", "py", "x1", "y1", "x2", "y2").cast("int")
-    ob = on_segment("px", "py", "x1", "y1", "x2", "y2").cast("int")
-    return j.groupBy(*ids, *key).agg(
-        (F.sum(cr) % 2 == 1).alias("odd"),
-        (F.max(ob) == 1).alias("onb"),
-    )
-
-
-def cell_state(segs: DataFrame, key, grid: int = DEFAULT_GRID) -> DataFrame:
-    """(key.., cx, cy, state) with state 'inside' or 'boundary'; outside cells omitted."""
-    k = _keys(key)
-    bbox = segs.groupBy(*k).agg(
-        cell(F.min(F.least("x1", "x2")), grid).alias("cx0"),
-        cell(F.max(F.greatest("x1", "x2")), grid).alias("cx1"),
-        cell(F.min(F.least("y1", "y2")), grid).alias("cy0"),
-        cell(F.max(F.greatest("y1", "y2")), grid).alias("cy1"),
-    )
-    cells = bbox.select(*k, "cy0", "cy1", F.explode(F.sequence("cx0", "cx1")).alias("cx")).select(
-        *k, "cx", F.explode(F.sequence("cy0", "cy1")).alias("cy")
-    )
-    touched = edge_cells(segs, k, grid).select(*k, "cx", "cy").distinct().withColumn("touched", F.lit(True))
-    marked = cells.join(touched, on=[*k, "cx", "cy"], how="left")
-    boundary = marked.where(F.col("touched")).select(*k, "cx", "cy", F.lit("boundary").alias("state"))
-    half = grid // 2
-    centres = marked.where(F.col("touched").isNull()).select(
-        *k, "cx", "cy",
-        (F.col("cx") * grid + half).alias("px"),
-        (F.col("cy") * grid + half).alias("py"),
-    )
-    tested = _ray_test(centres, edge_bands(segs, k, grid), ["cx", "cy"], k)
-    inside = tested.where("odd").select(*k, "cx", "cy", F.lit("inside").alias("state"))
-    return boundary.unionByName(inside)
+def _odd(px: Column, py: Column, grid: int) -> Column:
+    return F.pmod(winding(px, py, grid), F.lit(2)) == 1
 
 
 def points_in_areas(
@@ -121,39 +44,21 @@ def points_in_areas(
     grid: int = DEFAULT_GRID,
     x: str = "x",
     y: str = "y",
+    payload: Sequence[str] = (),
 ) -> DataFrame:
-    """Pairs (pid.., key..) where the point is within / intersects the area.
+    """Pairs (pid.., payload.., key..) where the point is within / intersects the area.
 
     ``segs`` holds every ring edge of the area (outer rings and holes) as
     (key.., x1, y1, x2, y2); the even-odd rule treats holes and multi-part
     areas without special cases.  ``mode`` is ``within`` (boundary excluded,
     like a strict containment test) or ``intersects`` (boundary included).
     """
-    ids, k = _keys(pid), _keys(key)
-    pts = points.select(*ids, F.col(x).alias("px"), F.col(y).alias("py")).withColumns(
-        {"cx": cell("px", grid), "cy": cell("py", grid)}
-    )
-    cands = pts.join(cell_state(segs, k, grid), on=["cx", "cy"], how="inner")
-    inner = cands.where(F.col("state") == "inside").select(*ids, *k)
-    edge = cands.where(F.col("state") == "boundary").select(*ids, *k, "px", "py", "cy")
-    tested = _ray_test(edge, edge_bands(segs, k, grid), ids, k)
-    keep = (F.col("odd") & ~F.col("onb")) if mode == "within" else (F.col("odd") | F.col("onb"))
-    return inner.unionByName(tested.where(keep).select(*ids, *k))
-
-
-def _first_cell(cx, cy, grid: int):
-    """Keep a candidate pair only in the cell holding the lower-left corner of
-    the overlap of the two bounding boxes, so each pair is tested once."""
-    ox = F.greatest(F.least("lx1", "lx2"), F.least("x1", "x2"))
-    oy = F.greatest(F.least("ly1", "ly2"), F.least("y1", "y2"))
-    return (cell(ox, grid) == F.col(cx)) & (cell(oy, grid) == F.col(cy))
-
-
-def _bbox_overlap():
-    return (
-        (F.greatest("lx1", "lx2") >= F.least("x1", "x2")) & (F.least("lx1", "lx2") <= F.greatest("x1", "x2"))
-        & (F.greatest("ly1", "ly2") >= F.least("y1", "y2")) & (F.least("ly1", "ly2") <= F.greatest("y1", "y2"))
-    )
+    ids, k = [*_keys(pid), *payload], _keys(key)
+    pts = points.select(*ids, F.col(x).alias("_px"), F.col(y).alias("_py")).withColumns({"cx": cell("_px", grid), "cy": cell("_py", grid)})
+    met = pts.join(cell_table(segs, k, grid), on=["cx", "cy"])
+    px, py = F.col("_px"), F.col("_py")
+    odd, on = _odd(px, py, grid), on_edges(px, py)
+    return met.where(odd & ~on if mode == "within" else odd | on).select(*ids, *k)
 
 
 def lines_intersect_areas(
@@ -165,27 +70,15 @@ def lines_intersect_areas(
 ) -> DataFrame:
     """Distinct (lid.., key..) where a polyline meets the closed area.
 
-    ``lines`` is one row per line segment (lid.., x1, y1, x2, y2).  A line
-    meets the area if one of its segments meets an area edge (grid equi-join
-    + exact test) or if its first vertex lies inside.
+    ``lines`` is one row per line segment (lid.., x1, y1, x2, y2).  A segment
+    meets the area if it meets an edge in one of their common cells or starts inside.
     """
     ids, k = _keys(lid), _keys(key)
-    lc = edge_cells(lines, ids, grid).select(
-        *ids, "cx", "cy", *[F.col(c).alias("l" + c) for c in ("x1", "y1", "x2", "y2")]
-    )
-    ac = edge_cells(segs, k, grid)
-    touch = (
-        lc.join(ac, on=["cx", "cy"], how="inner")
-        .where(_bbox_overlap() & _first_cell("cx", "cy", grid))
-        .where(segments_intersect("lx1", "ly1", "lx2", "ly2", "x1", "y1", "x2", "y2"))
-        .select(*ids, *k)
-    )
-    # a line that touches no edge lies wholly inside or wholly outside, so any
-    # one vertex decides; take the smallest for determinism
-    first = lines.groupBy(*ids).agg(F.min(F.struct("x1", "y1")).alias("v"))
-    firstpts = first.select(*ids, F.col("v.x1").alias("x"), F.col("v.y1").alias("y"))
-    inside = points_in_areas(firstpts, segs, ids, k, "within")
-    return touch.unionByName(inside).distinct()
+    met = edge_cells(lines.select(*ids, *EDGE), grid).join(cell_table(segs, k, grid), on=["cx", "cy"])
+    own = [F.col(c) for c in EDGE]
+    touches = F.exists("edges", lambda e: segments_intersect(*own, *[e[c] for c in EDGE]))
+    starts = (cell("x1", grid) == F.col("cx")) & (cell("y1", grid) == F.col("cy")) & _odd(F.col("x1"), F.col("y1"), grid)
+    return met.where(touches | starts).select(*ids, *k).distinct()
 
 
 def clip_lines(
@@ -199,84 +92,40 @@ def clip_lines(
     """Pieces of line segments inside the closed area (overlay intersection).
 
     ``lines``: (lid.., seq, x1, y1, x2, y2) per line segment.  Returns one row
-    per inside interval (lid.., seq, key.., t0, t1, px1, py1, px2, py2) with
-    piece end points in micro-degrees (double).  Cut parameters come from the
-    area edges sharing a grid cell with the segment; each interval between
-    neighbouring cuts is kept when its midpoint lies inside or on the area.
+    per inside interval (lid.., seq, x1, y1, x2, y2, key.., t0, t1).  A segment is
+    cut by the area edges of the cells it passes; each interval between
+    neighbouring cuts is kept when its midpoint lies inside, or on an edge within
+    ``eps`` degrees, by its own cell.
     """
     ids, k = _keys(lid), _keys(key)
-    sid = [*ids, "seq"]
-    lc = edge_cells(lines, sid, grid).select(
-        *sid, "cx", "cy", *[F.col(c).alias("l" + c) for c in ("x1", "y1", "x2", "y2")]
-    )
-    ac = edge_cells(segs, k, grid)
-    pairs = lc.join(ac, on=["cx", "cy"], how="inner").where(_bbox_overlap() & _first_cell("cx", "cy", grid))
-    cuts = pairs.select(
-        *sid, *k,
-        F.array(
-            cut_param("lx1", "ly1", "lx2", "ly2", "x1", "y1", "x2", "y2"),
-            point_param("lx1", "ly1", "lx2", "ly2", "x1", "y1"),
-            point_param("lx1", "ly1", "lx2", "ly2", "x2", "y2"),
-        ).alias("ts"),
-    ).select(*sid, *k, F.explode("ts").alias("t")).where(F.col("t").isNotNull())
+    sid = [*ids, "seq", *EDGE]
+    table = cell_table(segs, k, grid)
+    own = [F.col(c) for c in EDGE]
+
+    def cuts(e: Column) -> Column:
+        return F.array_compact(F.array(cut_param(*own, *[e[c] for c in EDGE]), point_param(*own, e["x1"], e["y1"]), point_param(*own, e["x2"], e["y2"])))
+
+    met = edge_cells(lines.select(*sid), grid).join(table, on=["cx", "cy"]).select(*sid, *k, F.flatten(F.transform("edges", cuts)).alias("ts"))
+    # a segment's own cuts by one area: bounded by the edges it meets
+    per = met.groupBy(*sid, *k).agg(F.flatten(F.collect_list("ts")).alias("ts"))
     # -0.0 and 0.0 are one cut
-    cuts = cuts.withColumn("t", F.when(F.col("t") == 0, F.lit(0.0)).otherwise(F.col("t")))
-    # candidate (segment, area) pairs: segments that meet an edge (with their
-    # cuts, grouped once; the set per pair is bounded by the edges it meets)
-    # plus segments lying wholly inside (start point inside, no cut)
-    geo = ["x1", "y1", "x2", "y2"]
-    grouped = cuts.groupBy(*sid, *k).agg(F.collect_set("t").alias("ts"))
-    starts = lines.select(*sid, F.col("x1").alias("x"), F.col("y1").alias("y"))
-    inside_start = points_in_areas(starts, segs, sid, k, "intersects")
-    nocut = inside_start.join(grouped.select(*sid, *k), on=[*sid, *k], how="left_anti").withColumn(
-        "ts", F.array().cast("array<double>")
-    )
-    allcuts = grouped.unionByName(nocut).select(
-        *sid, *k,
-        F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), "ts"))).alias("ts"),
-    )
-    iv = allcuts.select(
-        *sid, *k,
-        F.posexplode(F.arrays_zip(F.slice("ts", 1, F.size("ts") - 1).alias("t0"), F.slice("ts", 2, F.size("ts")).alias("t1"))).alias("piece", "iv"),
-    ).select(*sid, *k, "piece", F.col("iv.t0").alias("t0"), F.col("iv.t1").alias("t1"))
-    iv = iv.join(lines.select(*sid, *geo), on=sid, how="inner")
+    ts = F.transform("ts", lambda t: F.when(t == 0, F.lit(0.0)).otherwise(t))
+    per = per.select(*sid, *k, F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), ts))).alias("ts"))
+    iv = per.select(*sid, *k, "ts", F.explode(F.sequence(F.lit(0), F.size("ts") - 2)).alias("i"))
+    iv = iv.select(*sid, *k, F.get("ts", F.col("i")).alias("t0"), F.get("ts", F.col("i") + 1).alias("t1"))
     tm = (F.col("t0") + F.col("t1")) / 2
-    mids = iv.select(
-        *sid, *k, "piece", "t0", "t1",
-        (F.col("x1") + tm * (F.col("x2") - F.col("x1"))).alias("mx"),
-        (F.col("y1") + tm * (F.col("y2") - F.col("y1"))).alias("my"),
-        (F.col("x1") + F.col("t0") * (F.col("x2") - F.col("x1"))).alias("px1"),
-        (F.col("y1") + F.col("t0") * (F.col("y2") - F.col("y1"))).alias("py1"),
-        (F.col("x1") + F.col("t1") * (F.col("x2") - F.col("x1"))).alias("px2"),
-        (F.col("y1") + F.col("t1") * (F.col("y2") - F.col("y1"))).alias("py2"),
-    )
-    keep = _midpoint_inside(mids, segs, [*sid, "piece"], k, DEFAULT_GRID, eps)
-    return mids.join(keep, on=[*sid, "piece", *k], how="left_semi").select(
-        *sid, *k, "t0", "t1", "px1", "py1", "px2", "py2"
-    )
+    mids = iv.withColumns({"_mx": F.col("x1") + tm * (F.col("x2") - F.col("x1")), "_my": F.col("y1") + tm * (F.col("y2") - F.col("y1"))})
+    mids = mids.withColumns({"cx": F.floor(F.col("_mx") / grid).cast("long"), "cy": F.floor(F.col("_my") / grid).cast("long")})
+    mx, my = F.col("_mx"), F.col("_my")
 
+    def near(e: Column) -> Column:
+        x1, y1, x2, y2 = (e[c].cast("double") for c in EDGE)
+        dx, dy, slack = x2 - x1, y2 - y1, eps * MICRO
+        far = F.abs(dx * (my - y1) - dy * (mx - x1)) / F.greatest(F.sqrt(dx * dx + dy * dy), F.lit(1.0))
+        return (far <= slack) & mx.between(F.least(x1, x2) - slack, F.greatest(x1, x2) + slack) & my.between(F.least(y1, y2) - slack, F.greatest(y1, y2) + slack)
 
-def _midpoint_inside(mids: DataFrame, segs: DataFrame, ids, k, grid: int, eps: float) -> DataFrame:
-    """(ids.., key..) whose double midpoint (mx, my) is inside or within eps of the area edge."""
-    c = mids.select(
-        *ids, *k, F.col("mx").alias("px"), F.col("my").alias("py"),
-        F.floor(F.col("my") / grid).cast("long").alias("cy"),
-    )
-    j = c.join(edge_bands(segs, k, grid), on=[*k, "cy"], how="inner").where(F.col("xmax") >= F.col("px") - eps * MICRO)
-    x1, y1, x2, y2 = (F.col(n).cast("double") for n in ("x1", "y1", "x2", "y2"))
-    px, py = F.col("px"), F.col("py")
-    lhs = (py - y1) * (x2 - x1)
-    rhs = (px - x1) * (y2 - y1)
-    cr = (((y1 > py) != (y2 > py)) & F.when(y2 > y1, lhs > rhs).otherwise(lhs < rhs)).cast("int")
-    seglen = F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
-    dist = F.abs((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)) / F.greatest(seglen, F.lit(1.0))
-    near = (
-        (dist <= eps * MICRO)
-        & px.between(F.least(x1, x2) - eps * MICRO, F.greatest(x1, x2) + eps * MICRO)
-        & py.between(F.least(y1, y2) - eps * MICRO, F.greatest(y1, y2) + eps * MICRO)
-    ).cast("int")
-    agg = j.groupBy(*ids, *k).agg((F.sum(cr) % 2).alias("par"), F.max(near).alias("near"))
-    return agg.where((F.col("par") == 1) | (F.col("near") == 1)).select(*ids, *k)
+    judged = mids.join(table, on=[*k, "cx", "cy"])
+    return judged.where(_odd(mx, my, grid) | F.exists("edges", near)).select(*sid, *k, "t0", "t1")
 
 
 def within_first(segs: DataFrame, feature_col: str = "feature_seq") -> DataFrame:
@@ -290,12 +139,10 @@ def within_first(segs: DataFrame, feature_col: str = "feature_seq") -> DataFrame
 def merge_runs(pieces: DataFrame, ids, key="area_id") -> DataFrame:
     """Merge touching inside intervals of one segment into runs.
 
-    ``pieces`` from :func:`clip_lines`; returns (ids.., seq, key.., run, t0, t1)
-    where consecutive kept intervals that share an end are one run.
+    ``pieces`` from :func:`clip_lines`; returns (ids.., seq, x1, y1, x2, y2, key.., run,
+    t0, t1) where consecutive kept intervals that share an end are one run.
     """
-    from pyspark.sql import Window
-
-    sid, k = [*_keys(ids), "seq"], _keys(key)
+    sid, k = [*_keys(ids), "seq", *EDGE], _keys(key)
     w = Window.partitionBy(*sid, *k).orderBy("t0")
     start = F.when(F.lag("t1").over(w).isNull() | (F.lag("t1").over(w) != F.col("t0")), 1).otherwise(0)
     runs = pieces.withColumn("start", start).withColumn("run", F.sum("start").over(w))

@@ -48,11 +48,6 @@ def admin_poly_to_line(spark: SparkSession, sf: str) -> DataFrame:
     return lines.join(a, "left_id").select(name.alias("layer_name"), "x1", "y1", "x2", "y2", "right_id")
 
 
-@query("ov_dedupe_geometry", f"select distinct nx1 x1, ny1 y1, nx2 x2, ny2 y2 from {_NORM.format(t='fx_segments')} s")
-def ov_dedupe_geometry(spark: SparkSession, sf: str) -> DataFrame:
-    return OV.dedupe_edges(view(spark, sf, "fx_segments"))
-
-
 _SNAP = "cast(floor(({c} + 5) / 10) * 10 as bigint)"
 
 
@@ -82,22 +77,6 @@ def ov_coincident_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("ov_repair", "select line_id from fx_lines where not (x1 = x2 and y1 = y2)")
-def ov_repair(spark: SparkSession, sf: str) -> DataFrame:
-    return OV.repair(view(spark, sf, "fx_lines")).select("line_id")
-
-
-_BOUNDARY_SQL = """
-select area_id, count(*) n_edges, round(sum(sqrt(cast((x2-x1)*(x2-x1) + (y2-y1)*(y2-y1) as double))) / 1e6, 6) perimeter_deg
-from fx_segments group by area_id
-"""
-
-
-@query("ov_boundary", _BOUNDARY_SQL)
-def ov_boundary(spark: SparkSession, sf: str) -> DataFrame:
-    return OV.boundary(view(spark, sf, "fx_segments"))
-
-
 @query(
     "glob_admin_lines",
     "select a.iso, s.seq, s.x1, s.y1, s.x2, s.y2 from fx_segments s join fx_areas a on a.area_id = s.area_id",
@@ -108,53 +87,6 @@ def glob_admin_lines(spark: SparkSession, sf: str) -> DataFrame:
     return s.join(view(spark, sf, "fx_areas").select("area_id", "iso"), "area_id").select("iso", "seq", "x1", "y1", "x2", "y2")
 
 
-_LINEWORK_SQL = f"""
-select concat(a.iso, '_admn_ad0_ln_s0_hdx_pp_', coalesce(n.adm0, 'adminboundary0')) layer_name, b.n_edges, b.perimeter_deg
-from ({_BOUNDARY_SQL}) b join fx_areas a on a.area_id = b.area_id left join fx_level_names n on n.iso = a.iso
-"""
-
-
-def _linework(spark, sf):
-    b = OV.boundary(view(spark, sf, "fx_segments"))
-    a = view(spark, sf, "fx_areas").select("area_id", "iso")
-    n = view(spark, sf, "fx_level_names").select("iso", "adm0")
-    j = b.join(a, "area_id").join(n, "iso", "left")
-    name = F.concat("iso", F.lit("_admn_ad0_ln_s0_hdx_pp_"), F.coalesce("adm0", F.lit("adminboundary0")))
-    return j.select(name.alias("layer_name"), "n_edges", "perimeter_deg")
-
-
-@query("admin_linework", _LINEWORK_SQL)
-def admin_linework(spark: SparkSession, sf: str) -> DataFrame:
-    return _linework(spark, sf)
-
-
-@query("admin_linework_gen", _LINEWORK_SQL)
-def admin_linework_gen(spark: SparkSession, sf: str) -> DataFrame:
-    return _linework(spark, sf)
-
-
-@query(
-    "geom_centroid",
-    """
-select area_id, round(sum((x1+x2)*(x1*y2-x2*y1)) / (3*sum(x1*y2-x2*y1)), 6) cx,
-  round(sum((y1+y2)*(x1*y2-x2*y1)) / (3*sum(x1*y2-x2*y1)), 6) cy, round(abs(sum(x1*y2-x2*y1)) / 2, 6) area_deg2
-from (select area_id, x1/1e6 x1, y1/1e6 y1, x2/1e6 x2, y2/1e6 y2 from fx_segments) s group by area_id
-""",
-)
-def geom_centroid(spark: SparkSession, sf: str) -> DataFrame:
-    return OV.centroid(view(spark, sf, "fx_segments"))
-
-
-@query(
-    "geom_centroid_nonpoint",
-    "select line_id, round((x1 + x2) / 2e6, 6) cx, round((y1 + y2) / 2e6, 6) cy from fx_lines",
-)
-def geom_centroid_nonpoint(spark: SparkSession, sf: str) -> DataFrame:
-    """Centroid of non-point features (a one-segment line: its midpoint)."""
-    l = view(spark, sf, "fx_lines")
-    return l.select("line_id", F.round((F.col("x1") + F.col("x2")) / 2e6, 6).alias("cx"), F.round((F.col("y1") + F.col("y2")) / 2e6, 6).alias("cy"))
-
-
 @query("geom_type", "select osm_id, kind from fx_osm")
 def geom_type(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "fx_osm").select("osm_id", "kind")
@@ -244,9 +176,13 @@ _XY_TEXT = "case when pid % 10 = 0 then 'n/a' else cast(x as varchar) end"
 )
 def filt_valid_xy(spark: SparkSession, sf: str) -> DataFrame:
     """Text -> number with bad values as NULL; rows lacking a coordinate dropped."""
+    return _valid_xy(spark, sf)
+
+
+def _valid_xy(spark: SparkSession, sf: str, *carried: str) -> DataFrame:
     p = view(spark, sf, "fx_points")
     txt = F.when(F.col("pid") % 10 == 0, F.lit("n/a")).otherwise(F.col("x").cast("string"))
-    out = p.select("pid", F.round(txt.try_cast("double") / 1e6, 6).alias("lon"), F.round(F.col("y") / 1e6, 6).alias("lat"))
+    out = p.select("pid", *carried, F.round(txt.try_cast("double") / 1e6, 6).alias("lon"), F.round(F.col("y") / 1e6, 6).alias("lat"))
     return out.na.drop(subset=["lon", "lat"])
 
 
@@ -259,10 +195,8 @@ from fx_points p join fx_areas a on upper(p.country) = upper(a.iso) where try_ca
 )
 def nat_power_plants(spark: SparkSession, sf: str) -> DataFrame:
     """Attribute filter by code (case-insensitive), coordinates coerced, points built."""
-    v = filt_valid_xy(spark, sf)
-    p = view(spark, sf, "fx_points").select("pid", F.col("country").alias("pcountry"))
     a = view(spark, sf, "fx_areas").select("iso")
-    return v.join(p, "pid").join(a, F.upper("pcountry") == F.upper("iso")).select("iso", "pid", "lon", "lat")
+    return _valid_xy(spark, sf, "country").join(a, F.upper("country") == F.upper("iso")).select("iso", "pid", "lon", "lat")
 
 
 @query(
@@ -274,10 +208,8 @@ from fx_points p join fx_areas a on lower(p.country) = lower(a.name_en) where tr
 )
 def nat_ports(spark: SparkSession, sf: str) -> DataFrame:
     """Attribute filter by country name (case-insensitive equality, see D2)."""
-    v = filt_valid_xy(spark, sf)
-    p = view(spark, sf, "fx_points").select("pid", F.col("country").alias("pcountry"))
     a = view(spark, sf, "fx_areas").select("iso", "name_en")
-    return v.join(p, "pid").join(a, F.lower("pcountry") == F.lower("name_en")).select("iso", "pid", "lon", "lat")
+    return _valid_xy(spark, sf, "country").join(a, F.lower("country") == F.lower("name_en")).select("iso", "pid", "lon", "lat")
 
 
 @query(

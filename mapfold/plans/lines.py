@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from mapfold.fixtures import view
 from mapfold.functions.geometry import seg_len_deg
+from mapfold.operators import polygons as P
 from mapfold.operators import spatial_join as sj
+from mapfold.operators.cells import EDGE
 from mapfold.plans import query
-from mapfold.plans.sqlsnip import seg_intersect, within_having
+from mapfold.plans.sqlpoly import overlay_ctes
+from mapfold.plans.sqlsnip import intersects_having, seg_intersect, within_having
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -127,8 +130,7 @@ _CLIP_SQL = _CLIP_SQL.replace("{o}", "case when (s.x2-s.x1)*(l.y1-s.y1)-(s.y2-s.
 def _runs(spark: SparkSession, sf: str) -> DataFrame:
     lines = _lines(spark, sf)
     pieces = sj.clip_lines(lines, view(spark, sf, "fx_segments"), "line_id", "area_id")
-    runs = sj.merge_runs(pieces, "line_id", "area_id")
-    return runs.join(lines, ["line_id", "seq"])
+    return sj.merge_runs(pieces, "line_id", "area_id")
 
 
 @query(
@@ -169,24 +171,60 @@ def _pieces(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-for _qid in ("nat_roads", "nat_railroads", "nat_rivers", "join_clip", "nat_coastline_v1"):
+for _qid in ("nat_roads", "nat_railroads", "nat_rivers", "nat_coastline_v1"):
     query(_qid, _CLIP_SQL + _PIECES_TAIL)(_pieces)
 
 
+_PARTS = "lp as (select poly_id id, eid, x1, y1, x2, y2 from fx_polys), la as (select area_id id, seq eid, x1, y1, x2, y2 from fx_segments)"
+
+
+@query(
+    "join_clip",
+    _CLIP_SQL
+    + f""", {_PARTS}, {overlay_ctes('o', 'lp', 'la', 'intersection')}
+select 'line' kind, iso, line_id id, x1, y1, x2, y2 from ({_PIECES_TAIL}) t
+union all select 'polygon', a.iso, o.lid, o.x1, o.y1, o.x2, o.y2 from o join fx_areas a on a.area_id = o.rid
+union all select 'point', a.iso, h.pid, h.x, h.y, h.x, h.y from (select p.pid, p.x, p.y, s.area_id from fx_points p, fx_segments s
+  group by p.pid, p.x, p.y, s.area_id having {intersects_having('p', 's')}) h join fx_areas a on a.area_id = h.area_id""",
+)
+def join_clip(spark: SparkSession, sf: str) -> DataFrame:
+    """Layers of any geometry cut to every area: points stay, lines give pieces, polygons the outline of their part."""
+    lines = _pieces(spark, sf).select(F.lit("line").alias("kind"), "iso", F.col("line_id").alias("id"), *EDGE)
+    named = view(spark, sf, "fx_areas").select("area_id", "iso")
+    segs = view(spark, sf, "fx_segments")
+    cut = P.overlay(view(spark, sf, "fx_polys").select(F.col("poly_id").alias("lid"), "eid", *EDGE), segs.select(F.col("area_id").alias("rid"), F.col("seq").alias("eid"), *EDGE), "intersection")
+    polys = cut.join(named, cut["rid"] == named["area_id"]).select(F.lit("polygon").alias("kind"), "iso", F.col("lid").alias("id"), *EDGE)
+    hits = sj.points_in_areas(view(spark, sf, "fx_points"), segs, "pid", "area_id", "intersects", payload=["x", "y"]).join(named, "area_id")
+    points = hits.select(F.lit("point").alias("kind"), "iso", F.col("pid").alias("id"), *[F.col(c[0]).alias(c) for c in EDGE])
+    return lines.unionByName(polys).unionByName(points)
+
+
+def clip_by_kind(layer: DataFrame, kind: str, segs: DataFrame, id_col: str) -> DataFrame:
+    """(id, area_id) of a layer clipped the way its declared kind asks: polygons and points that lie
+    within an area, railways that have a piece inside; any other kind is an error."""
+    if kind == "point":
+        return sj.points_in_areas(layer, segs, id_col, "area_id", "within").withColumnRenamed(id_col, "id")
+    if kind == "polygon":
+        return P.within(layer, segs.withColumn("eid", F.col("seq")), id_col, "area_id").withColumnRenamed(id_col, "id")
+    if kind == "railway":
+        return sj.clip_lines(layer, segs, id_col, "area_id").select(F.col(id_col).alias("id"), "area_id").distinct()
+    raise ValueError(f"unknown geometry kind {kind}")
+
+
 @query(
     "join_clip_by_kind",
     _CLIP_SQL
-    + f"""
-select 'line' kind, line_id id, area_id from runs group by line_id, area_id
+    + f""", {_PARTS}, {overlay_ctes('o', 'lp', 'la', 'difference', overlapping=False)}
+select 'railway' kind, line_id id, area_id from runs group by line_id, area_id
+union all select 'polygon', lid, rid from o_p where (lid, rid) not in (select lid, rid from o)
 union all
 select 'point' kind, p.pid, s.area_id from fx_points p, fx_segments s
 group by p.pid, s.area_id having {within_having('p', 's')}
 """,
 )
 def join_clip_by_kind(spark: SparkSession, sf: str) -> DataFrame:
-    """Dispatch by geometry kind: points -> within, lines -> overlay intersection."""
-    pts = view(spark, sf, "fx_points")
+    """Three layers, each clipped by its kind."""
     segs = view(spark, sf, "fx_segments")
-    p = sj.points_in_areas(pts, segs, "pid", "area_id", "within").select(F.lit("point").alias("kind"), F.col("pid").alias("id"), "area_id")
-    l = _runs(spark, sf).select(F.lit("line").alias("kind"), F.col("line_id").alias("id"), "area_id").distinct()
-    return l.unionByName(p)
+    layers = {"point": (view(spark, sf, "fx_points"), "pid"), "polygon": (view(spark, sf, "fx_polys").select("poly_id", "eid", *EDGE), "poly_id"), "railway": (_lines(spark, sf), "line_id")}
+    made = [clip_by_kind(df, kind, segs, col).select(F.lit(kind).alias("kind"), "id", "area_id") for kind, (df, col) in layers.items()]
+    return made[0].unionByName(made[1]).unionByName(made[2])

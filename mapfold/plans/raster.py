@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mapfold.fixtures import view
 from mapfold.operators import raster as R
 from mapfold.operators.spatial_join import points_in_areas
+from mapfold.operators.store import stored
 from mapfold.plans import query
 from mapfold.plans.sqlsnip import within_having
 
@@ -36,8 +37,8 @@ group by s.area_id, p.r, p.c, p.v, p.x, p.y having {within_having('p', 's')}
 
 def _clip(spark, sf):
     px = R.pixel_centres(view(spark, sf, "fx_pixels"))
-    hits = points_in_areas(px, view(spark, sf, "fx_segments"), ["r", "c"], "area_id", "within")
-    return hits.join(px, ["r", "c"]).select("area_id", "r", "c", "v")
+    hits = points_in_areas(px, view(spark, sf, "fx_segments"), ["r", "c"], "area_id", "within", payload=["v"])
+    return hits.select("area_id", "r", "c", "v")
 
 
 @query("ras_clip", _CLIP_SQL)
@@ -55,7 +56,7 @@ join (select area_id, min(r) r0, min(c) c0 from ({_CLIP_SQL}) z group by area_id
 )
 def ras_mask_crop(spark: SparkSession, sf: str) -> DataFrame:
     """Mask by areas and crop to their window: rows/cols re-based per area."""
-    k = _clip(spark, sf)
+    k = stored(_clip(spark, sf), "ras-clip")  # asked twice
     m = k.groupBy("area_id").agg(F.min("r").alias("r0"), F.min("c").alias("c0"))
     return k.join(m, "area_id").select("area_id", (F.col("r") - F.col("r0")).alias("r"), (F.col("c") - F.col("c0")).alias("c"), "v")
 

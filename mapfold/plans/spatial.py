@@ -37,12 +37,8 @@ def _layer_points(spark: SparkSession, sf: str) -> DataFrame:
     """Point layer rows for every area: (iso, pid, country, x, y)."""
     pts = view(spark, sf, "fx_points")
     areas = view(spark, sf, "fx_areas").select("area_id", "iso")
-    hits = sj.points_in_areas(pts, view(spark, sf, "fx_segments"), "pid", "area_id", "within")
-    return (
-        hits.join(areas, "area_id")
-        .join(pts.select("pid", "country", "x", "y"), "pid")
-        .select("iso", "pid", "country", "x", "y")
-    )
+    hits = sj.points_in_areas(pts, view(spark, sf, "fx_segments"), "pid", "area_id", "within", payload=["country", "x", "y"])
+    return hits.join(areas, "area_id").select("iso", "pid", "country", "x", "y")
 
 
 _LAYER_POINTS_SQL = f"""
