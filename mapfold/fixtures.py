@@ -145,6 +145,13 @@ FX: dict[str, str] = {
         "when 'country' then concat('land ',cast(u.area_id as varchar(20))) when 'other' then concat('x',cast(u.row_id as varchar(20))) else cast(u.row_id as varchar(20)) end val "
         "from fx_units u join fx_file_columns c on c.area_id=u.area_id and c.adm_level=u.adm_level"
     ),
+    # ours: geometry of the elements that are no points: open lines, polygons (some with a hole), two-part polygons
+    "fx_osm_geom": (
+        "select o.el_type, o.osm_id, o.kind, s.part, s.ring, s.eid, o.x+s.a*o.w x1, o.y+s.b*o.h y1, o.x+s.c*o.w x2, o.y+s.d*o.h y2 from ("
+        "select el_type, osm_id, kind, x, y, cast(20000+(osm_id%7)*30000 as bigint) w, cast(20000+(osm_id%5)*25000 as bigint) h, "
+        "case kind when 'LineString' then 1 when 'MultiPolygon' then 2 else case when osm_id%2=0 then 0 else 3 end end shape from fx_osm where kind<>'Point') o "
+        "join fx_shapes s on s.kind=o.shape where not (o.kind='LineString' and s.eid=2)"
+    ),
     # ours: elements with more tags, and whether a way is closed
     "fx_osm_tagged": (
         "select el_type, osm_id, el_type='way' and osm_id%3<>0 closed, amenity, waterway, highway, place, water, landuse, harbour, name, "

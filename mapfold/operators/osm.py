@@ -1,20 +1,22 @@
 """OSM layer extraction: one parametrised operator plus a table of layer specs.
 
-Elements are rows ``(osm_id, el_type, kind, tags map<string,string>, x, y)``
-where (x, y) is the element's representative point in micro-degrees.  A layer
-is: tag filter (OR across keys) -> geometry-kind filter -> spatial join with
-every area at once -> class column -> wanted attributes -> short names.
+Elements are rows ``(osm_id, el_type, kind, tags map<string,string>, x, y)``, the
+place of points in micro-degrees, and edges ``(el_type, osm_id, kind, part, ring,
+eid, x1, y1, x2, y2)`` of lines and polygons.  A layer is: tag filter (OR across
+keys) -> geometry-kind filter -> spatial join with every area at once -> geometry
+or its centroid -> class column -> wanted attributes -> short names.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mapfold.operators.overlay import centroids, ring_lines
 from mapfold.operators.schema import short_names_number_all
-from mapfold.operators.spatial_join import points_in_areas
+from mapfold.operators.spatial_join import lines_intersect_areas, points_in_areas
 
 POINT_KINDS = ("Point",)
 LINE_KINDS = ("LineString", "MultiLineString")
@@ -83,8 +85,8 @@ class LayerSpec:
     fclass: str | None = "const"  # const | tag | tag_else | none | settlement | port
     fclass_value: str | None = None  # constant or tag key
     fclass_default: str | None = None
-    predicate: str = "within"
     explode_classes: tuple | None = None  # road layer: one row per matching class
+    shaped: bool = False  # keeps the geometry; other layers take its centroid
 
 
 def _t(tags: Column, key: str) -> Column:
@@ -153,11 +155,41 @@ def select_elements(osm: DataFrame, s: LayerSpec) -> DataFrame:
     return df
 
 
-def osm_layer(osm: DataFrame, segs: DataFrame, areas: DataFrame, s: LayerSpec) -> DataFrame:
-    """One layer for every area: (iso, layer_name, el_type, osm_id, [fclass], attributes.., x, y)."""
+def elements_in_areas(el: DataFrame, edges: DataFrame, segs: DataFrame) -> DataFrame:
+    """Distinct (el_type, osm_id, area_id) where an element's geometry meets the closed area.
+
+    Points (x, y of kind Point) by their place, lines and polygons by their edges;
+    a polygon also meets an area that lies inside it, which one vertex of the area tells.
+    """
+    points = points_in_areas(el.where(F.col("kind") == "Point"), segs, ELEMENT, "area_id", "intersects")
+    lines = lines_intersect_areas(edges, segs, ELEMENT, "area_id")
+    corner = segs.groupBy("area_id").agg(F.min(F.struct("x1", "y1")).alias("v")).select("area_id", F.col("v.x1").alias("x"), F.col("v.y1").alias("y"))
+    holding = points_in_areas(corner, edges.where(F.col("kind").isin(*POLY_KINDS)), "area_id", ELEMENT, "intersects")
+    return points.unionByName(lines).unionByName(holding).distinct()
+
+
+def places(el: DataFrame, edges: DataFrame, shaped: bool) -> DataFrame:
+    """(el_type, osm_id, lon, lat) centroids, or (el_type, osm_id, geometry): every ring or line as text, in order."""
+    if shaped:
+        rings = ring_lines(edges, *ELEMENT).groupBy(*ELEMENT).agg(F.array_sort(F.collect_list(F.struct("part", "ring", "line"))).alias("r"))
+        lines = rings.select(*ELEMENT, F.array_join("r.line", "; ").alias("geometry"))
+        dots = el.where(F.col("kind") == "Point").select(*ELEMENT, F.concat_ws(" ", "x", "y").alias("geometry"))
+        return lines.unionByName(dots)
+    areal = edges.select(*ELEMENT, F.col("kind").isin(*POLY_KINDS).alias("areal"), "x1", "y1", "x2", "y2")
+    dots = el.where(F.col("kind") == "Point").select(*ELEMENT, F.lit(False).alias("areal"), F.col("x").alias("x1"), F.col("y").alias("y1"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    return centroids(areal.unionByName(dots), *ELEMENT).withColumnsRenamed({"cx": "lon", "cy": "lat"})
+
+
+def osm_layer(osm: DataFrame, edges: DataFrame, segs: DataFrame, areas: DataFrame, s: LayerSpec) -> DataFrame:
+    """One layer for every area: (iso, layer_name, el_type, osm_id, [fclass], attributes.., lon, lat or geometry).
+
+    Elements belong to every area that their whole geometry meets; centroids are
+    taken after that.
+    """
     el = select_elements(osm, s)
-    hits = points_in_areas(el, segs, ELEMENT, "area_id", s.predicate, payload=["tags", "x", "y"])
-    df = hits.join(areas.select("area_id", "iso"), "area_id")
+    own = edges.join(el.select(*ELEMENT), ELEMENT, "left_semi")
+    hits = elements_in_areas(el, own, segs)
+    df = hits.join(areas.select("area_id", "iso"), "area_id").join(el.select(*ELEMENT, "tags"), ELEMENT).join(places(el, own, s.shaped), ELEMENT)
     tags = F.col("tags")
     cols = [F.col("iso"), F.concat(F.col("iso"), F.lit("_" + s.tail)).alias("layer_name"), *map(F.col, ELEMENT)]
     if s.explode_classes is not None:
@@ -171,9 +203,8 @@ def osm_layer(osm: DataFrame, segs: DataFrame, areas: DataFrame, s: LayerSpec) -
             cols.append(fc.alias("fclass"))
     names = short_names_number_all(list(s.attributes))
     cols += [_t(tags, a).alias(n) for a, n in zip(s.attributes, names)]
-    cols += [F.col("x"), F.col("y")]
-    out = df.select(*cols)
-    return out
+    cols += [F.col("geometry")] if s.shaped else [F.col("lon"), F.col("lat")]
+    return df.select(*cols)
 
 
 def tags_from_columns(df: DataFrame, keys: list[str]) -> Column:
@@ -187,11 +218,10 @@ def tags_from_columns(df: DataFrame, keys: list[str]) -> Column:
 LAYERS: list[LayerSpec] = [
     LayerSpec("osm_roads", {"highway": tuple(ROAD_CLASSES)}, "232_tran", "tran_rds_ln_s0_osm_pp_roads",
               attributes=("osmid", "name", "oneway", "maxspeed", "bridge", "tunnel", "surface"),
-              kinds=LINE_KINDS, fclass=None, explode_classes=tuple(ROAD_CLASSES), predicate="intersects"),
+              kinds=LINE_KINDS, fclass=None, explode_classes=tuple(ROAD_CLASSES), shaped=True),
     LayerSpec("osm_railway", {"railway": ("rail", "narrow_gauge", "subway")}, "232_tran",
               "tran_rst_pt_s2_osm_pp_railwayline", attributes=("name", "name_en", "name:en", "gauge"),
-              kinds=LINE_KINDS, exclude={"railway": ("miniature",)}, fclass="tag", fclass_value="railway",
-              predicate="intersects"),
+              kinds=LINE_KINDS, exclude={"railway": ("miniature",)}, fclass="tag", fclass_value="railway", shaped=True),
     LayerSpec("osm_dam", {"waterway": ("dam",)}, "221_phys", "phys_dam_pt_s2_osm_pp_dam",
               fclass="const", fclass_value="dam"),
     LayerSpec("osm_school", {"amenity": ("school",)}, "210_educ", "educ_edu_pt_s3_osm_pp_schools",
@@ -204,7 +234,7 @@ LAYERS: list[LayerSpec] = [
     LayerSpec("osm_ferry_terminal", {"amenity": ("ferry_terminal",)}, "232_tran",
               "tran_fte_pt_s2_osm_pp_ferryterminal", fclass=None),
     LayerSpec("osm_ferry_route", {"route": ("ferry",)}, "232_tran", "tran_fer_ln_s2_osm_pp_ferryroute",
-              fclass=None, predicate="intersects"),
+              fclass=None, shaped=True),
     LayerSpec("osm_port", {"landuse": ("harbour",), "harbour": ("port",)}, "232_tran",
               "tran_por_pt_s0_osm_pp_port", fclass="port"),
     LayerSpec("osm_bank", {"amenity": ("bank",)}, "208_cash", "cash_bnk_pt_s0_osm_pp_bank",
@@ -221,14 +251,14 @@ LAYERS: list[LayerSpec] = [
     LayerSpec("osm_settlement", {"place": ("city", "borough", "town", "village", "hamlet"), "capital": True},
               "229_stle", "stle_stl_pt_s3_osm_pp_settlements", fclass="settlement"),
     LayerSpec("osm_lake", {"water": ("lake", "reservoir")}, "221_phys", "phys_lak_py_s3_osm_pp_lake",
-              kinds=POLY_KINDS, fclass="tag", fclass_value="water"),
+              kinds=POLY_KINDS, fclass="tag", fclass_value="water", shaped=True),
     LayerSpec("osm_large_river", {"water": ("river",)}, "221_phys", "phys_riv_py_s3_osm_pp_rivers",
-              kinds=POLY_KINDS, fclass="tag", fclass_value="water"),
+              kinds=POLY_KINDS, fclass="tag", fclass_value="water", shaped=True),
     LayerSpec("osm_river", {"waterway": ("river",)}, "221_phys", "phys_riv_ln_s3_osm_pp_rivers",
               kinds=("LineString",), exclude={"waterway": ("stream", "canal", "ditch", "drain")},
-              fclass="const", fclass_value="river", predicate="intersects"),
+              fclass="const", fclass_value="river", shaped=True),
     LayerSpec("osm_canal", {"waterway": ("canal",)}, "232_tran", "phys_can_ln_s3_osm_pp_canal",
-              fclass="const", fclass_value="canal", predicate="intersects"),
+              fclass="const", fclass_value="canal", shaped=True),
     LayerSpec("osm_rail_station", {"railway": ("station", "halt")}, "232_tran",
               "tran_rst_pt_s2_osm_pp_railwaystations",
               attributes=("name", "name:en", "name_en", "amenity", "passenger", "cargo"),
@@ -238,7 +268,7 @@ LAYERS: list[LayerSpec] = [
               fclass_default="point_of_interest"),
     LayerSpec("osm_poi_polygon", {"amenity": tuple(POI_POLYGON_CLASSES)}, "222_pois",
               "pois_py_s3_osm_pp_pois", attributes=("name",), kinds=POLY_KINDS, fclass="tag_else",
-              fclass_value="amenity", fclass_default="polygon_of_interest"),
+              fclass_value="amenity", fclass_default="polygon_of_interest", shaped=True),
 ]
 
 # ATM layer (bank with ATM is an AND of two tags, deduplicated by element)
@@ -251,6 +281,9 @@ ATM_PARTS = [
 ]
 
 
-def osm_atm(osm: DataFrame, segs: DataFrame, areas: DataFrame) -> DataFrame:
-    a, b = (osm_layer(osm, segs, areas, s) for s in ATM_PARTS)
-    return a.unionByName(b).dropDuplicates(["iso", *ELEMENT])
+def osm_atm(osm: DataFrame, edges: DataFrame, segs: DataFrame, areas: DataFrame) -> DataFrame:
+    """Cash machines and banks with one: both rules in one filter, so every element is joined and counted once."""
+    either = [select_elements(osm, s).select(*ELEMENT) for s in ATM_PARTS]
+    wanted = osm.join(either[0].unionByName(either[1]).distinct(), ELEMENT, "left_semi")
+    both = replace(ATM_PARTS[0], tags={"amenity": ("atm", "bank")}, require={})
+    return osm_layer(wanted, edges, segs, areas, both)

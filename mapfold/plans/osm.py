@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from mapfold.fixtures import view
 from mapfold.operators import osm as O
-from mapfold.operators.schema import short_names_number_all
 from mapfold.plans import query
-from mapfold.plans.sqlsnip import intersects_having, within_having
+from mapfold.plans.sqlsnip import intersects_having, seg_intersect, within_having
 
 FX_TAG_KEYS = ["amenity", "atm", "waterway", "name", "highway", "railway", "place", "capital", "water", "route", "landuse", "harbour", "border"]
 
@@ -20,94 +19,87 @@ def osm_elements(spark: SparkSession, sf: str) -> DataFrame:
     return o.select("osm_id", "el_type", "kind", O.tags_from_columns(o, FX_TAG_KEYS).alias("tags"), "x", "y")
 
 
-def _sql_tag(k: str) -> str:
-    return f"o.{k}" if k in FX_TAG_KEYS else "cast(null as varchar)"
-
-
-def _sql_filter(s: O.LayerSpec) -> str:
-    ors = []
-    for k, v in s.tags.items():
-        if v is True:
-            ors.append(f"{_sql_tag(k)} is not null")
-        else:
-            vals = ",".join(f"'{x}'" for x in v)
-            ors.append(f"coalesce({_sql_tag(k)} in ({vals}), false)")
-    cond = "(" + " or ".join(ors) + ")"
-    for k, v in s.require.items():
-        vals = ",".join(f"'{x}'" for x in v)
-        cond += f" and coalesce({_sql_tag(k)} in ({vals}), false)"
-    for k, v in s.exclude.items():
-        vals = ",".join(f"'{x}'" for x in v)
-        cond += f" and not coalesce({_sql_tag(k)} in ({vals}), false)"
-    if s.kinds is not None:
-        cond += " and o.kind in (" + ",".join(f"'{x}'" for x in s.kinds) + ")"
-    return cond
-
-
-def _sql_fclass(s: O.LayerSpec) -> str | None:
-    if s.fclass == "const":
-        return f"'{s.fclass_value}'"
-    if s.fclass == "tag":
-        return _sql_tag(s.fclass_value)
-    if s.fclass == "tag_else":
-        return f"coalesce({_sql_tag(s.fclass_value)}, '{s.fclass_default}')"
-    if s.fclass == "settlement":
-        return f"case when {_sql_tag('capital')} = 'yes' then 'national_capital' else {_sql_tag('place')} end"
-    if s.fclass == "port":
-        return f"coalesce({_sql_tag('landuse')}, {_sql_tag('harbour')})"
-    return None
-
-
-def layer_sql(s: O.LayerSpec) -> str:
-    having = within_having("o", "s") if s.predicate == "within" else intersects_having("o", "s")
-    cols = ["a.iso", f"concat(a.iso, '_{s.tail}') layer_name", "o.el_type", "o.osm_id"]
-    src = "from h join fx_areas a on a.area_id = h.area_id join el o on o.el_type = h.el_type and o.osm_id = h.osm_id"
-    if s.explode_classes is not None:
-        lst = ",".join(f"'{c}'" for c in s.explode_classes)
-        src += (
-            f" cross join unnest(list_intersect(string_split(coalesce({_sql_tag('highway')}, ''), ', '),"
-            f" [{lst}])) u(fclass)"
-        )
-        cols.append("u.fclass")
+def geometry(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "fx_osm_geom")
+
+
+# The oracle of each layer is spelled out on its own: filter, class, columns and name as text.
+_NULL = "cast(null as varchar)"
+_NAMES = f'o.name, {_NULL} "name:en", {_NULL} name_en'
+
+
+def layer_sql(tail: str, where: str, fclass: str, columns: str, shaped: bool = False) -> str:
+    if shaped:
+        place = """pl as (select el_type, osm_id, string_agg(line, '; ' order by part, ring) geometry from (
+    select el_type, osm_id, part, ring, concat(string_agg(concat(x1, ' ', y1), ', ' order by eid), ', ', arg_max(concat(x2, ' ', y2), eid)) line from ed group by el_type, osm_id, part, ring) r group by el_type, osm_id
+  union all select el_type, osm_id, concat(x, ' ', y) from el where kind = 'Point')"""
+        shown = "p.geometry"
     else:
-        fc = _sql_fclass(s)
-        if fc is not None:
-            cols.append(f"{fc} fclass")
-    names = short_names_number_all(list(s.attributes))
-    cols += [f'{_sql_tag(a)} "{n}"' for a, n in zip(s.attributes, names)]
-    cols += ["o.x", "o.y"]
-    return (
-        f"with el as (select * from fx_osm o where {_sql_filter(s)}), "
-        f"h as (select o.el_type, o.osm_id, s.area_id from el o, fx_segments s group by o.el_type, o.osm_id, s.area_id having {having}) "
-        f"select {', '.join(cols)} {src}"
-    )
+        place = """pl as (select el_type, osm_id,
+    round(case when kind like '%Polygon' then sum((x1+x2)*(x1*y2-x2*y1)) / (3*sum(x1*y2-x2*y1)) else sum((x1+x2)/2*l) / sum(l) end, 6) lon,
+    round(case when kind like '%Polygon' then sum((y1+y2)*(x1*y2-x2*y1)) / (3*sum(x1*y2-x2*y1)) else sum((y1+y2)/2*l) / sum(l) end, 6) lat
+  from (select *, sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)) l from (select el_type, osm_id, kind, x1/1e6 x1, y1/1e6 y1, x2/1e6 x2, y2/1e6 y2 from ed) e) e group by el_type, osm_id, kind
+  union all select el_type, osm_id, round(x/1e6, 6), round(y/1e6, 6) from el where kind = 'Point')"""
+        shown = "p.lon, p.lat"
+    return f"""with el as (select * from fx_osm o where {where}), ed as (select g.* from fx_osm_geom g join el on el.el_type = g.el_type and el.osm_id = g.osm_id),
+h as (select o.el_type, o.osm_id, s.area_id from el o, fx_segments s where o.kind = 'Point' group by o.el_type, o.osm_id, s.area_id having {intersects_having('o', 's')}
+  union select l.el_type, l.osm_id, s.area_id from ed l, fx_segments s where {seg_intersect('l', 's')}
+  union select l.el_type, l.osm_id, s.area_id from ed l, fx_segments s group by l.el_type, l.osm_id, l.eid, s.area_id having {within_having('l', 's', 'x1', 'y1')}),
+{place}
+select a.iso, concat(a.iso, '_{tail}') layer_name, o.el_type, o.osm_id, {fclass + ' fclass, ' if fclass else ''}{columns}, {shown}
+from h join fx_areas a on a.area_id = h.area_id join el o on o.el_type = h.el_type and o.osm_id = h.osm_id join pl p on p.el_type = h.el_type and p.osm_id = h.osm_id"""
+
+
+_LINE, _AREA = "o.kind in ('LineString', 'MultiLineString')", "o.kind in ('Polygon', 'MultiPolygon')"
+_POI = "o.amenity in ('school', 'bank', 'hospital', 'atm', 'university')"
+ORACLES = {
+    "osm_roads": layer_sql(
+        "tran_rds_ln_s0_osm_pp_roads", f"o.highway in ('primary', 'residential', 'trunk') and {_LINE}", "o.highway",
+        f"{_NULL} osmid, o.name, {_NULL} oneway, {_NULL} maxspeed, {_NULL} bridge, {_NULL} tunnel, {_NULL} surface", True),
+    "osm_railway": layer_sql("tran_rst_pt_s2_osm_pp_railwayline", f"o.railway = 'rail' and {_LINE}", "o.railway", f'o.name, {_NULL} name_en, {_NULL} "name:en", {_NULL} gauge', True),
+    "osm_dam": layer_sql("phys_dam_pt_s2_osm_pp_dam", "o.waterway = 'dam'", "'dam'", _NAMES),
+    "osm_school": layer_sql(
+        "educ_edu_pt_s3_osm_pp_schools", "o.amenity = 'school'", "'school'",
+        f'{_NULL} "operator", {_NULL} operator_1, {_NULL} capacity, {_NULL} grades, {_NULL} min_age, {_NULL} max_age, {_NULL} "school:ge1", {_NAMES}, {_NULL} operator_2, {_NULL} "operator:t", {_NULL} "school:ge2", {_NULL} school_gen, {_NULL} osmid'),
+    "osm_education": layer_sql("educ_edu_pt_s3_osm_pp_university", "o.amenity in ('university', 'college')", "o.amenity", _NAMES),
+    "osm_ferry_terminal": layer_sql("tran_fte_pt_s2_osm_pp_ferryterminal", "o.amenity = 'ferry_terminal'", "", _NAMES),
+    "osm_ferry_route": layer_sql("tran_fer_ln_s2_osm_pp_ferryroute", "o.route = 'ferry'", "", _NAMES, True),
+    "osm_port": layer_sql("tran_por_pt_s0_osm_pp_port", "o.landuse = 'harbour' or o.harbour = 'port'", "coalesce(o.landuse, o.harbour)", _NAMES),
+    "osm_bank": layer_sql("cash_bnk_pt_s0_osm_pp_bank", "o.amenity = 'bank'", "o.amenity", _NAMES),
+    "osm_atm": layer_sql("cash_atm_pt_s3_osm_pp_atm", "o.amenity = 'atm' or (o.amenity = 'bank' and o.atm = 'yes')", "o.amenity", f"{_NAMES}, {_NULL} osmid"),
+    "osm_health": layer_sql("heal_hea_pt_s3_osm_pp_healthfacilities", "o.amenity in ('clinic', 'doctors', 'hospital', 'pharmacy', 'health_post')", "o.amenity", _NAMES),
+    "osm_hospital": layer_sql(
+        "heal_hea_pt_s3_osm_pp_hospital", "o.amenity = 'hospital'", "'hospital'",
+        f'{_NAMES}, {_NULL} emergency, {_NULL} "operator", {_NULL} "operator:t", {_NULL} beds, {_NULL} operator_1, {_NULL} operator_2'),
+    "osm_border_control": layer_sql("pois_bor_pt_s3_osm_pp_bordercrossing", "o.border = 'border_control'", "", _NAMES),
+    "osm_settlement": layer_sql(
+        "stle_stl_pt_s3_osm_pp_settlements", "o.place in ('city', 'borough', 'town', 'village', 'hamlet') or o.capital is not null",
+        "case when o.capital = 'yes' then 'national_capital' else o.place end", _NAMES),
+    "osm_lake": layer_sql("phys_lak_py_s3_osm_pp_lake", f"o.water in ('lake', 'reservoir') and {_AREA}", "o.water", _NAMES, True),
+    "osm_large_river": layer_sql("phys_riv_py_s3_osm_pp_rivers", f"o.water = 'river' and {_AREA}", "o.water", _NAMES, True),
+    "osm_river": layer_sql("phys_riv_ln_s3_osm_pp_rivers", "o.waterway = 'river' and o.kind = 'LineString'", "'river'", _NAMES, True),
+    "osm_canal": layer_sql("phys_can_ln_s3_osm_pp_canal", "o.waterway = 'canal'", "'canal'", _NAMES, True),
+    "osm_rail_station": layer_sql("tran_rst_pt_s2_osm_pp_railwaystations", "o.railway in ('station', 'halt')", "o.railway", f"{_NAMES}, o.amenity, {_NULL} passenger, {_NULL} cargo"),
+    "osm_poi_point": layer_sql("pois_pt_s3_osm_pp_pois", _POI, "o.amenity", "o.name"),
+    "osm_poi_polygon": layer_sql("pois_py_s3_osm_pp_pois", f"o.amenity in ('school', 'bank', 'hospital', 'university') and {_AREA}", "o.amenity", "o.name", True),
+}
 
 
 def _register(spec: O.LayerSpec) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return O.osm_layer(
-            osm_elements(spark, sf), view(spark, sf, "fx_segments"), view(spark, sf, "fx_areas"), spec
-        )
+        return O.osm_layer(osm_elements(spark, sf), geometry(spark, sf), view(spark, sf, "fx_segments"), view(spark, sf, "fx_areas"), spec)
 
     run.__name__ = spec.layer
-    query(spec.layer, layer_sql(spec))(run)
+    query(spec.layer, ORACLES[spec.layer])(run)
 
 
 for _s in O.LAYERS:
     _register(_s)
 
-_a, _b = (layer_sql(s) for s in O.ATM_PARTS)
-
 
-@query(
-    "osm_atm",
-    f"""
-select distinct on (iso, el_type, osm_id) * from (
-  select * from ({_a}) x union all select * from ({_b}) y) u order by iso, el_type, osm_id, fclass
-""",
-)
+@query("osm_atm", ORACLES["osm_atm"])
 def osm_atm(spark: SparkSession, sf: str) -> DataFrame:
-    return O.osm_atm(osm_elements(spark, sf), view(spark, sf, "fx_segments"), view(spark, sf, "fx_areas"))
+    return O.osm_atm(osm_elements(spark, sf), geometry(spark, sf), view(spark, sf, "fx_segments"), view(spark, sf, "fx_areas"))
 
 
 @query(
@@ -128,16 +120,17 @@ def filt_osm_tags(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "scan_osm_features",
     f"""
-with el as (select * from fx_osm o where coalesce(o.waterway in ('dam','river'), false))
-select o.el_type, o.osm_id, s.area_id from el o, fx_segments s group by o.el_type, o.osm_id, s.area_id having {within_having('o', 's')}
+with el as (select * from fx_osm o where o.waterway in ('dam', 'river')), ed as (select g.* from fx_osm_geom g join el on el.el_type = g.el_type and el.osm_id = g.osm_id)
+select o.el_type, o.osm_id, s.area_id from el o, fx_segments s where o.kind = 'Point' group by o.el_type, o.osm_id, s.area_id having {intersects_having('o', 's')}
+union select l.el_type, l.osm_id, s.area_id from ed l, fx_segments s where {seg_intersect('l', 's')}
+union select l.el_type, l.osm_id, s.area_id from ed l, fx_segments s group by l.el_type, l.osm_id, l.eid, s.area_id having {within_having('l', 's', 'x1', 'y1')}
 """,
 )
 def scan_osm_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Elements inside each area whose tags match a tag dictionary."""
-    from mapfold.operators.spatial_join import points_in_areas
-
+    """Elements whose geometry meets an area and whose tags match a tag dictionary."""
     el = osm_elements(spark, sf).where(O.tag_filter(F.col("tags"), {"waterway": ("dam", "river")}))
-    return points_in_areas(el, view(spark, sf, "fx_segments"), O.ELEMENT, "area_id", "within")
+    edges = geometry(spark, sf).join(el.select(*O.ELEMENT), O.ELEMENT, "left_semi")
+    return O.elements_in_areas(el, edges, view(spark, sf, "fx_segments"))
 
 
 @query(
@@ -175,19 +168,20 @@ def proj_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _BANK = next(s for s in O.LAYERS if s.layer == "osm_bank")
+_ONLY_ATM = layer_sql("cash_atm_pt_s3_osm_pp_atm", "o.amenity = 'atm'", "o.amenity", f"{_NAMES}, {_NULL} osmid")
 
 
 @query(
     "set_union_all",
     f"""
-select iso, layer_name, el_type, osm_id, fclass, name, "name:en", name_en, cast(null as varchar) osmid, x, y from ({layer_sql(_BANK)}) b
+select iso, layer_name, el_type, osm_id, fclass, name, "name:en", name_en, cast(null as varchar) osmid, lon, lat from ({ORACLES['osm_bank']}) b
 union all
-select iso, layer_name, el_type, osm_id, fclass, name, "name:en", name_en, osmid, x, y from ({layer_sql(O.ATM_PARTS[0])}) a
+select iso, layer_name, el_type, osm_id, fclass, name, "name:en", name_en, osmid, lon, lat from ({_ONLY_ATM}) a
 """,
 )
 def set_union_all(spark: SparkSession, sf: str) -> DataFrame:
     """Two layers concatenated by column name; missing columns become NULL."""
-    segs, areas, el = view(spark, sf, "fx_segments"), view(spark, sf, "fx_areas"), osm_elements(spark, sf)
-    b = O.osm_layer(el, segs, areas, _BANK)
-    a = O.osm_layer(el, segs, areas, O.ATM_PARTS[0])
+    segs, areas, el, edges = view(spark, sf, "fx_segments"), view(spark, sf, "fx_areas"), osm_elements(spark, sf), geometry(spark, sf)
+    b = O.osm_layer(el, edges, segs, areas, _BANK)
+    a = O.osm_layer(el, edges, segs, areas, O.ATM_PARTS[0])
     return b.unionByName(a, allowMissingColumns=True)
