@@ -111,3 +111,10 @@ def layer_tokens(path) -> Column:
     """Tokens of the file stem split on '_'."""
     stem, _ = split_ext(basename(path))
     return F.split(stem, "_")
+
+
+def country_from_path(path, root: str) -> Column:
+    """Folder name of the country: the file's own folder if that lies directly in the folder
+    ``root``, else the one two levels above it."""
+    parts = F.split(_c(path), "/")
+    return F.when(F.try_element_at(parts, F.lit(-3)) == root, F.try_element_at(parts, F.lit(-2))).otherwise(F.try_element_at(parts, F.lit(-4)))

@@ -85,7 +85,6 @@ class LayerSpec:
     fclass: str | None = "const"  # const | tag | tag_else | none | settlement | port
     fclass_value: str | None = None  # constant or tag key
     fclass_default: str | None = None
-    explode_classes: tuple | None = None  # road layer: one row per matching class
     shaped: bool = False  # keeps the geometry; other layers take its centroid
 
 
@@ -192,21 +191,20 @@ def osm_layer(osm: DataFrame, edges: DataFrame, segs: DataFrame, areas: DataFram
     df = hits.join(areas.select("area_id", "iso"), "area_id").join(el.select(*ELEMENT, "tags"), ELEMENT).join(places(el, own, s.shaped), ELEMENT)
     tags = F.col("tags")
     cols = [F.col("iso"), F.concat(F.col("iso"), F.lit("_" + s.tail)).alias("layer_name"), *map(F.col, ELEMENT)]
-    if s.explode_classes is not None:
-        # a way carrying k wanted classes appears k times, once per class
-        hw = F.split(F.coalesce(_t(tags, "highway"), F.lit("")), ", ")
-        df = df.withColumn("fclass", F.explode(F.array_intersect(hw, F.array(*map(F.lit, s.explode_classes)))))
-        cols.append(F.col("fclass"))
-    else:
-        fc = fclass_expr(tags, s)
-        if fc is not None:
-            cols.append(fc.alias("fclass"))
+    fc = fclass_expr(tags, s)
+    if fc is not None:
+        cols.append(fc.alias("fclass"))
     names = short_names_number_all(list(s.attributes))
     cols += [_t(tags, a).alias(n) for a, n in zip(s.attributes, names)]
     cols += [F.col("geometry")] if s.shaped else [F.col("lon"), F.col("lat")]
     return df.select(*cols)
 
 
+def filled(layer: DataFrame, wanted: list[str]) -> DataFrame:
+    """``layer`` with those of the ``wanted`` columns it lacks, as null text."""
+    return layer.withColumns({c: F.lit(None).cast("string") for c in wanted if c not in layer.columns})
+
+
 def tags_from_columns(df: DataFrame, keys: list[str]) -> Column:
     """Sparse tag columns -> map<string,string> without NULL values."""
     kv = []
@@ -216,9 +214,6 @@ def tags_from_columns(df: DataFrame, keys: list[str]) -> Column:
 
 
 LAYERS: list[LayerSpec] = [
-    LayerSpec("osm_roads", {"highway": tuple(ROAD_CLASSES)}, "232_tran", "tran_rds_ln_s0_osm_pp_roads",
-              attributes=("osmid", "name", "oneway", "maxspeed", "bridge", "tunnel", "surface"),
-              kinds=LINE_KINDS, fclass=None, explode_classes=tuple(ROAD_CLASSES), shaped=True),
     LayerSpec("osm_railway", {"railway": ("rail", "narrow_gauge", "subway")}, "232_tran",
               "tran_rst_pt_s2_osm_pp_railwayline", attributes=("name", "name_en", "name:en", "gauge"),
               kinds=LINE_KINDS, exclude={"railway": ("miniature",)}, fclass="tag", fclass_value="railway", shaped=True),

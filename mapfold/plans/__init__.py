@@ -32,7 +32,7 @@ def query(qid: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so that their queries register."""
-    from mapfold.plans import admin, catalog, discovery, geometry, io, lines, linework, osm, polygons, raster, schema_ops, spatial, streams  # noqa: F401
+    from mapfold.plans import admin, catalog, discovery, documents, geometry, io, lines, linework, osm, polygons, raster, rules, schema_ops, spatial, streams  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

@@ -328,12 +328,6 @@ def set_merge_override(spark: SparkSession, sf: str) -> DataFrame:
     return A.last_wins(both, ["pcode"], "turn", ["name", "adm_level", "admin_type", "area_id"])
 
 
-@query("win_last_file_wins", _LAST_SQL)
-def win_last_file_wins(spark: SparkSession, sf: str) -> DataFrame:
-    """Several inputs map to one output name; the last in path order stays."""
-    return pcode_last(spark, sf)
-
-
 @query("filt_notnull_key", "select row_id, pcode from fx_units where pcode is not null")
 def filt_notnull_key(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "fx_units").where(F.col("pcode").isNotNull()).select("row_id", "pcode")
@@ -394,28 +388,6 @@ def subnational_units(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "join_pcodes",
-    f"""
-select s.iso, count(u.pcode) n_units from ({_SELECTED_SQL}) s
-left join ({_UNITS_SQL}) u on u.iso = upper(s.iso) group by s.iso
-""",
-)
-def join_pcodes(spark: SparkSession, sf: str) -> DataFrame:
-    """Selected areas x their pcode units; areas without units report 0."""
-    u = units(spark, sf).select(F.col("iso").alias("uiso"), "pcode")
-    s = selected_areas(spark, sf).select("iso", F.upper("iso").alias("uiso"))
-    return s.join(u, "uiso", "left").groupBy("iso").agg(F.count("pcode").alias("n_units"))
-
-
-@query(
-    "missing_countries",
-    "select a.iso from fx_areas a where not exists (select 1 from fx_units u where u.area_id = a.area_id)",
-)
-def missing_countries(spark: SparkSession, sf: str) -> DataFrame:
-    return view(spark, sf, "fx_areas").join(view(spark, sf, "fx_units"), "area_id", "left_anti").select("iso")
-
-
 @query(
     "country_units",
     """

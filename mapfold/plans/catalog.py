@@ -162,15 +162,6 @@ def fn_layer_name(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "fn_now",
-    "select event_id, strftime(processed_at, '%Y-%m-%d %H:%M:%S') date_processed from fx_ledger",
-)
-def fn_now(spark: SparkSession, sf: str) -> DataFrame:
-    """Processing time as ledger text (the ledger's processed_at stands in for now())."""
-    return view(spark, sf, "fx_ledger").select("event_id", F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss").alias("date_processed"))
-
-
 # expected layers: theme x category with '*' wildcards, derived from events
 _EXPECTED_SQL = """
 select distinct event_type theme, concat('ad', cast(event_id % 6 as varchar)) category,
@@ -275,15 +266,6 @@ def page_links(spark: SparkSession, sf: str) -> DataFrame:
     return h.select("page_id", "pos", N.absolute_url("href", "url").alias("link"))
 
 
-@query(
-    "filt_resource_suffix",
-    f"select page_id, href from ({_HREFS_SQL}) h where ends_with(href, '.zip') or ends_with(href, '.csv') or contains(href, '.zip')",
-)
-def filt_resource_suffix(spark: SparkSession, sf: str) -> DataFrame:
-    h = hrefs(spark, sf)
-    return h.where(F.col("href").endswith(".zip") | F.col("href").endswith(".csv") | F.col("href").contains(".zip")).select("page_id", "href")
-
-
 @query("page_link_counts", f"select page_id, count(*) n_links from ({_HREFS_SQL}) h group by page_id")
 def page_link_counts(spark: SparkSession, sf: str) -> DataFrame:
     return hrefs(spark, sf).groupBy("page_id").agg(F.count("*").alias("n_links"))
@@ -348,20 +330,6 @@ def fn_case(spark: SparkSession, sf: str) -> DataFrame:
     return n.select("n_nationkey", F.upper("n_name").alias("up"), F.lower("n_name").alias("low"), N.capitalize("n_name").alias("cap"))
 
 
-@query(
-    "filt_country_name",
-    """
-select p.pid, a.iso from fx_points p join fx_areas a
-  on p.country = concat(upper(substr(a.name_en, 1, 1)), lower(substr(a.name_en, 2)))
-""",
-)
-def filt_country_name(spark: SparkSession, sf: str) -> DataFrame:
-    """Column equals the capitalised area name (reference behaviour, case-sensitive)."""
-    p = view(spark, sf, "fx_points").select("pid", "country")
-    a = view(spark, sf, "fx_areas").select("iso", N.capitalize("name_en").alias("cap"))
-    return p.join(a, F.col("country") == F.col("cap")).select("pid", "iso")
-
-
 @query(
     "filt_country_ci",
     "select p.pid, a.iso from fx_points p join fx_areas a on upper(p.country) = upper(a.iso)",
@@ -467,15 +435,6 @@ def fn_filename_year(spark: SparkSession, sf: str) -> DataFrame:
     return l.select("event_id", N.filename_year("filepath", upd).alias("name"))
 
 
-@query(
-    "fn_country_from_path",
-    "select file_id, string_split(path, '/')[-2] iso from fx_files",
-)
-def fn_country_from_path(spark: SparkSession, sf: str) -> DataFrame:
-    """ISO code = the file's own folder name."""
-    return view(spark, sf, "fx_files").select("file_id", F.element_at(F.split("path", "/"), -2).alias("iso"))
-
-
 @query(
     "fn_list_ops",
     "select p_partkey, list_contains(string_split(p_name, ' '), 'red') has_red, "

@@ -231,6 +231,34 @@ def scan_road_edges(spark: SparkSession, sf: str) -> DataFrame:
     return e.select("area_id", "u", "v", F.col("n_segments").cast("long").alias("n_segments"), text("way_ids").alias("osmid"), text("highway").alias("highway"), text("name").alias("name"), text("maxspeed").alias("maxspeed"), text("oneway_tag").alias("oneway"), F.array_join(F.transform("nodes", lambda n: n.cast("string")), " ").alias("nodes"))
 
 
+_ROAD_CLASSES = "'motorway', 'trunk', 'primary', 'secondary', 'tertiary', 'unclassified', 'residential', 'motorway_link', 'trunk_link', 'primary_link', 'secondary_link', 'tertiary_link', 'living_street', 'service', 'track', 'road'"
+
+
+@query(
+    "osm_roads",
+    _ROADS[: _ROADS.index("select area_id, u, tip v")]
+    + f"""select a.iso, concat(a.iso, '_tran_rds_ln_s0_osm_pp_roads') layer_name, c.fclass, array_to_string(list_sort(list_distinct(d.ways)), ', ') osmid,
+  nullif(array_to_string(list_sort(list_distinct(list_filter(nm, lambda x: x is not null))), ', '), '') as name, array_to_string(list_sort(list_distinct(ow)), ', ') oneway,
+  nullif(array_to_string(list_sort(list_distinct(list_filter(sp, lambda x: x is not null))), ', '), '') maxspeed, cast(null as varchar) bridge, cast(null as varchar) tunnel, cast(null as varchar) surface, g.geometry
+from (select row_number() over () id, * from done) d join fx_areas a on a.area_id = d.area_id
+cross join unnest(list_filter(list_distinct(d.hw), lambda x: x in ({_ROAD_CLASSES}))) c(fclass)
+join (select id, string_agg(concat(n.x, ' ', n.y), ', ' order by k) geometry from (select id, unnest(nodes) node_id, generate_subscripts(nodes, 1) k from (select row_number() over () id, * from done) z) q join fx_nodes n on n.node_id = q.node_id group by id) g on g.id = d.id""",
+)
+def osm_roads(spark: SparkSession, sf: str) -> DataFrame:
+    """Road layer: the edges of the network inside each area, once per road class they carry, with
+    list values joined and the geometry as a line."""
+    e = road_network(spark, sf)
+    edge = ["area_id", "nodes"]
+    at = e.select(*edge, F.posexplode("nodes").alias("k", "node_id")).join(view(spark, sf, "fx_nodes"), "node_id")
+    lines = at.groupBy(*edge).agg(F.array_sort(F.collect_list(F.struct("k", F.concat_ws(" ", "x", "y").alias("v")))).alias("vs"))
+    lines = lines.select(*edge, F.array_join("vs.v", ", ").alias("geometry"))
+    text = lambda c: F.when(F.size(c) > 0, F.array_join(F.transform(c, lambda x: x.cast("string")), ", "))
+    rows = e.withColumn("fclass", F.explode(F.array_intersect("highway", F.array(*map(F.lit, O.ROAD_CLASSES))))).join(lines, edge)
+    rows = rows.join(view(spark, sf, "fx_areas").select("area_id", "iso"), "area_id")
+    absent = [F.lit(None).cast("string").alias(c) for c in ("bridge", "tunnel", "surface")]
+    return rows.select("iso", F.concat("iso", F.lit("_tran_rds_ln_s0_osm_pp_roads")).alias("layer_name"), "fclass", text("way_ids").alias("osmid"), text("name").alias("name"), text("oneway_tag").alias("oneway"), text("maxspeed").alias("maxspeed"), *absent, "geometry")
+
+
 # -- tag classes -----------------------------------------------------------------
 
 TAG_COLUMNS = ["amenity", "waterway", "highway", "place", "water", "landuse", "harbour", "name", "natural", "area", "building", "created_by", "source"]

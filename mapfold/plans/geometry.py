@@ -33,21 +33,6 @@ def ov_remove_duplicate_linework(spark: SparkSession, sf: str) -> DataFrame:
     return OV.neighbour_lines(view(spark, sf, "fx_segments")).select("x1", "y1", "x2", "y2", "n")
 
 
-@query(
-    "admin_poly_to_line",
-    f"""
-select concat(a.iso, '_admn_ad0_ln_s0_hdx_pp_country') layer_name, t.x1, t.y1, t.x2, t.y2, t.right_id
-from ({_NEIGH_SQL}) t join fx_areas a on a.area_id = t.left_id
-""",
-)
-def admin_poly_to_line(spark: SparkSession, sf: str) -> DataFrame:
-    """Polygon layers -> line layers with every shared edge once ('_py_' -> '_ln_')."""
-    lines = OV.neighbour_lines(OV.repair(view(spark, sf, "fx_segments")))
-    a = view(spark, sf, "fx_areas").select(F.col("area_id").alias("left_id"), "iso")
-    name = F.regexp_replace(F.concat("iso", F.lit("_admn_ad0_py_s0_hdx_pp_country")), "_py_", "_ln_")
-    return lines.join(a, "left_id").select(name.alias("layer_name"), "x1", "y1", "x2", "y2", "right_id")
-
-
 _SNAP = "cast(floor(({c} + 5) / 10) * 10 as bigint)"
 
 
@@ -118,18 +103,6 @@ def filt_polygon_layer(spark: SparkSession, sf: str) -> DataFrame:
     return o.groupBy("el_type").agg(F.bool_and(F.col("kind").isin("Polygon", "MultiPolygon")).alias("is_polygon_layer"))
 
 
-@query(
-    "filt_aoi_polygonal",
-    "select area_id, count(*) >= 3 and bool_and(not (x1 = x2 and y1 = y2)) valid from fx_segments group by area_id",
-)
-def filt_aoi_polygonal(spark: SparkSession, sf: str) -> DataFrame:
-    """Areas must be polygonal: at least 3 edges, none degenerate."""
-    s = view(spark, sf, "fx_segments")
-    return s.groupBy("area_id").agg(
-        ((F.count("*") >= 3) & F.bool_and(~((F.col("x1") == F.col("x2")) & (F.col("y1") == F.col("y2"))))).alias("valid")
-    )
-
-
 @query(
     "agg_empty",
     "select a.area_id, count(p.pid) = 0 is_empty from fx_areas a left join fx_points p on p.nat = a.area_id group by a.area_id",
@@ -141,17 +114,6 @@ def agg_empty(spark: SparkSession, sf: str) -> DataFrame:
     return a.join(p, "area_id", "left").groupBy("area_id").agg((F.count("pid") == 0).alias("is_empty"))
 
 
-@query(
-    "sink_skip_empty",
-    "select a.area_id, count(p.pid) n from fx_areas a join fx_points p on p.nat = a.area_id group by a.area_id",
-)
-def sink_skip_empty(spark: SparkSession, sf: str) -> DataFrame:
-    """Areas with an empty result produce no output row (and no partition)."""
-    a = view(spark, sf, "fx_areas").select("area_id")
-    p = view(spark, sf, "fx_points").select(F.col("nat").alias("area_id"), "pid")
-    return a.join(p, "area_id").groupBy("area_id").agg(F.count("pid").alias("n"))
-
-
 @query(
     "proj_points_from_xy",
     "select pid, 'Point' kind, x, y from fx_points",
@@ -231,23 +193,6 @@ def geom_crs_align(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "geom_to_geojson",
-    """
-select area_id, concat('{"type":"Polygon","coordinates":[[', string_agg(concat('[', cast(cast(x1 / 1e6 as decimal(12,6)) as varchar),
-  ',', cast(cast(y1 / 1e6 as decimal(12,6)) as varchar), ']'), ',' order by seq), ']]}') geojson
-from fx_segments group by area_id
-""",
-)
-def geom_to_geojson(spark: SparkSession, sf: str) -> DataFrame:
-    """Polygon ring -> GeoJSON text (vertices in ring order; the ring is bounded per area)."""
-    s = view(spark, sf, "fx_segments")
-    v = F.concat(F.lit("["), (F.col("x1") / 1e6).cast("decimal(12,6)").cast("string"), F.lit(","),
-                 (F.col("y1") / 1e6).cast("decimal(12,6)").cast("string"), F.lit("]"))
-    g = s.groupBy("area_id").agg(F.array_sort(F.collect_list(F.struct("seq", v.alias("v")))).alias("vs"))
-    return g.select("area_id", F.concat(F.lit('{"type":"Polygon","coordinates":[['), F.array_join(F.col("vs.v"), ","), F.lit("]]}")).alias("geojson"))
-
-
 @query(
     "geom_is_empty",
     "select a.area_id, count(s.seq) = 0 is_empty from fx_areas a left join fx_segments s on s.area_id = a.area_id group by a.area_id",
@@ -257,14 +202,6 @@ def geom_is_empty(spark: SparkSession, sf: str) -> DataFrame:
     return a.join(s, "area_id", "left").groupBy("area_id").agg((F.count("seq") == 0).alias("is_empty"))
 
 
-@query(
-    "filt_valid_geometry",
-    "select area_id from fx_segments group by area_id having count(*) > 0",
-)
-def filt_valid_geometry(spark: SparkSession, sf: str) -> DataFrame:
-    return OV.present(view(spark, sf, "fx_areas"), view(spark, sf, "fx_segments")).select("area_id")
-
-
 @query(
     "filt_bbox",
     "select line_id from fx_lines where greatest(x1, x2) >= -36000000 and least(x1, x2) <= 36000000 "

@@ -45,31 +45,6 @@ def _area_docs(spark: SparkSession, sf: str, drop_name_every: int = 0) -> DataFr
     return W.polygon_feature_collection(s.join(a, "area_id"), "area_id", ["iso", "name_en"], F.col("iso"))
 
 
-_GEOJSON_SQL = "select iso, name_en, 'Polygon' geom_type, 5 n_vertices from fx_areas"
-
-
-def _scan_geojson(spark: SparkSession, sf: str) -> DataFrame:
-    path = shared_dir(spark, "geojson")
-    W.write_text(_area_docs(spark, sf).select("value"), path)
-    f = R.read_geojson(spark, path)
-    return f.select(
-        F.try_element_at("properties", F.lit("iso")).alias("iso"),
-        F.try_element_at("properties", F.lit("name_en")).alias("name_en"),
-        "geom_type", R.vertex_count("coordinates").alias("n_vertices"),
-    )
-
-
-@query("sink_geojson", _GEOJSON_SQL)
-def sink_geojson(spark: SparkSession, sf: str) -> DataFrame:
-    return _scan_geojson(spark, sf)
-
-
-@query("scan_rest_features", _GEOJSON_SQL)
-def scan_rest_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Feature-service answers landed as GeoJSON, read like any FeatureCollection."""
-    return _scan_geojson(spark, sf)
-
-
 @query(
     "scan_area_list",
     "select iso, case when area_id % 7 <> 0 then name_en end name_en, "
@@ -98,25 +73,6 @@ def sink_pcode_dict(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("pcode string, name string, admin_lvl int").json(path)
 
 
-@query(
-    "scan_json_dict",
-    """
-select pcode key, arg_max(name, file_order) name, arg_max(adm_level, file_order) admin_lvl
-from fx_units where pcode is not null group by pcode
-""",
-)
-def scan_json_dict(spark: SparkSession, sf: str) -> DataFrame:
-    """Objects keyed by code ({pcode: {...}} per line) -> (key, fields) rows."""
-    from mapfold.plans.admin import pcode_last
-
-    d = pcode_last(spark, sf)
-    obj = F.to_json(F.create_map(F.col("pcode"), F.struct("name", F.col("adm_level").alias("admin_lvl"))))
-    path = shared_dir(spark, "dict")
-    W.write_text(d.select(obj.alias("value")), path)
-    r = R.read_json_dict(spark, path, "struct<name:string,admin_lvl:int>")
-    return r.select("key", "v.name", "v.admin_lvl")
-
-
 @query(
     "sink_ledger",
     "select event_id, iso, level, filepath, processed_at from fx_ledger",

@@ -53,9 +53,6 @@ from h join fx_areas a on a.area_id = h.area_id join el o on o.el_type = h.el_ty
 _LINE, _AREA = "o.kind in ('LineString', 'MultiLineString')", "o.kind in ('Polygon', 'MultiPolygon')"
 _POI = "o.amenity in ('school', 'bank', 'hospital', 'atm', 'university')"
 ORACLES = {
-    "osm_roads": layer_sql(
-        "tran_rds_ln_s0_osm_pp_roads", f"o.highway in ('primary', 'residential', 'trunk') and {_LINE}", "o.highway",
-        f"{_NULL} osmid, o.name, {_NULL} oneway, {_NULL} maxspeed, {_NULL} bridge, {_NULL} tunnel, {_NULL} surface", True),
     "osm_railway": layer_sql("tran_rst_pt_s2_osm_pp_railwayline", f"o.railway = 'rail' and {_LINE}", "o.railway", f'o.name, {_NULL} name_en, {_NULL} "name:en", {_NULL} gauge', True),
     "osm_dam": layer_sql("phys_dam_pt_s2_osm_pp_dam", "o.waterway = 'dam'", "'dam'", _NAMES),
     "osm_school": layer_sql(

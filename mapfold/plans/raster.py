@@ -61,29 +61,6 @@ def ras_mask_crop(spark: SparkSession, sf: str) -> DataFrame:
     return k.join(m, "area_id").select("area_id", (F.col("r") - F.col("r0")).alias("r"), (F.col("c") - F.col("c0")).alias("c"), "v")
 
 
-_TILES_SQL = """
-select tile_order, r, c, v from (
-  select cast(floor(c / 25) as bigint) tile_order, r, c, v from fx_pixels
-  union all
-  select cast(floor(c / 25) as bigint) + 1, r, c, v + 1 from fx_pixels where c % 25 >= 20)
-"""
-
-
-def _tiles(spark, sf):
-    p = view(spark, sf, "fx_pixels")
-    a = p.select(F.floor(F.col("c") / 25).cast("long").alias("tile_order"), "r", "c", "v")
-    b = p.where(F.col("c") % 25 >= 20).select(
-        (F.floor(F.col("c") / 25).cast("long") + 1).alias("tile_order"), "r", "c", (F.col("v") + 1).alias("v")
-    )
-    return a.unionByName(b)
-
-
-@query("ras_mosaic", f"select r, c, arg_max(v, tile_order) v from ({_TILES_SQL}) t group by r, c")
-def ras_mosaic(spark: SparkSession, sf: str) -> DataFrame:
-    """Overlapping tiles merged; the later tile lies on top."""
-    return R.mosaic(_tiles(spark, sf))
-
-
 _BOX_SQL = """
 (select area_id, min(least(x1, x2)) x0, min(least(y1, y2)) y0, max(greatest(x1, x2)) x1, max(greatest(y1, y2)) y1
  from fx_segments group by area_id)
@@ -107,7 +84,7 @@ from {_BOX_SQL} b, (select unnest(range(0, {n * n})) k) g
 """
 
 
-for _qid in ("ras_tile", "geom_tile_grid", "win_tile_number"):
+for _qid in ("geom_tile_grid", "win_tile_number"):
     query(_qid, _grid_sql(16))(lambda spark, sf: R.tile_grid(_boxes(spark, sf), 16))
 
 
@@ -180,3 +157,39 @@ def agg_group_tiles(spark: SparkSession, sf: str) -> DataFrame:
         F.element_at(parts, 1).alias("iso"), F.element_at(parts, 5).alias("product"),
         F.regexp_extract("name", r"_([0-9]+)m\.tif$", 1).alias("res"),
     ).agg(F.count("*").alias("n_tiles"))
+
+
+# two rasters (rows under and over 75); tiles of 25 columns, and a later, coarser tile over the last five of each
+_PYRAMID_SQL = """
+select cast(r >= 75 as int) raster, cast(floor(c / 25) as bigint) tile_order, 1 res, r, c, v from fx_pixels
+union all
+select cast(r >= 75 as int), cast(floor(c / 25) as bigint) + 1, 2, cast(floor(r / 2) as bigint), cast(floor(c / 2) as bigint), v + 1 from fx_pixels where c % 25 >= 20 and r % 2 = 0 and c % 2 = 0 and raster_ok(r)
+""".replace(" and raster_ok(r)", "")
+
+
+@query(
+    "ras_mosaic",
+    f"""with t as ({_PYRAMID_SQL}), fine as (
+  select t.raster, t.tile_order, t.r * t.res + i.i r, t.c * t.res + j.j c, t.v from t join (values (0, 1), (0, 2), (1, 2)) i(i, res) on i.res = t.res join (values (0, 1), (0, 2), (1, 2)) j(j, res) on j.res = t.res)
+select raster, r, c, arg_max(v, tile_order) v from fine group by raster, r, c""",
+)
+def ras_mosaic(spark: SparkSession, sf: str) -> DataFrame:
+    """Overlapping tiles of several rasters merged at the finest resolution; the later tile lies on top."""
+    p = view(spark, sf, "fx_pixels").withColumn("raster", (F.col("r") >= 75).cast("int"))
+    order = F.floor(F.col("c") / 25).cast("long")
+    fine = p.select("raster", order.alias("tile_order"), F.lit(1).alias("res"), "r", "c", "v")
+    coarse = p.where((F.col("c") % 25 >= 20) & (F.col("r") % 2 == 0) & (F.col("c") % 2 == 0))
+    half = lambda c: F.floor(F.col(c) / 2).cast("long").alias(c)
+    coarse = coarse.select("raster", (order + 1).alias("tile_order"), F.lit(2).alias("res"), half("r"), half("c"), (F.col("v") + 1).alias("v"))
+    return R.mosaic_finest(fine.unionByName(coarse), ("raster",))
+
+
+@query(
+    "ras_tile",
+    """with b as (select raster, min(r) r0, max(r) - min(r) + 1 h, min(c) c0, max(c) - min(c) + 1 w from (select cast(r >= 75 as int) raster, r, c from fx_pixels) p group by raster)
+select p.raster, ((p.c - b.c0) * 4 // b.w) * 4 + (p.r - b.r0) * 4 // b.h + 1 tile_no, p.r, p.c, p.v from (select cast(r >= 75 as int) raster, * from fx_pixels) p join b on b.raster = p.raster""",
+)
+def ras_tile(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pixel with the number of its tile, four by four tiles over each raster."""
+    p = view(spark, sf, "fx_pixels").withColumn("raster", (F.col("r") >= 75).cast("int"))
+    return R.tiles(p, 4, ("raster",)).select("raster", "tile_no", "r", "c", "v")

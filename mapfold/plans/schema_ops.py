@@ -109,20 +109,6 @@ def set_except_columns(spark: SparkSession, sf: str) -> DataFrame:
     return grid.join(names, ["grp", "name"], "left_anti")
 
 
-@query(
-    "proj_fill_missing",
-    f"""
-select g.grp, w.name, exists (select 1 from {_NAMES_SQL} t where t.grp = g.grp and t.name = w.name) present
-from {_GRPS_SQL} g, {_WANTED_SQL} w
-""",
-)
-def proj_fill_missing(spark: SparkSession, sf: str) -> DataFrame:
-    """Every wanted column per schema; absent ones are added (as NULL columns)."""
-    names = names_table(spark, sf).select("grp", "name", F.lit(True).alias("present"))
-    grid = names.select("grp").distinct().select("grp", F.explode(F.array(*map(F.lit, WANTED))).alias("name"))
-    return grid.join(names, ["grp", "name"], "left").select("grp", "name", F.coalesce("present", F.lit(False)).alias("present"))
-
-
 @query("proj_drop", f"select grp, name from {_NAMES_SQL} t where name not like 'attribute_error%'")
 def proj_drop(spark: SparkSession, sf: str) -> DataFrame:
     return names_table(spark, sf).where(~F.col("name").startswith("attribute_error")).select("grp", "name")

@@ -25,14 +25,6 @@ def join_within_area(spark: SparkSession, sf: str) -> DataFrame:
     return sj.points_in_areas(pts, segs, "pid", "area_id", "within")
 
 
-@query("join_within_first", _WITHIN_SQL)
-def join_within_first(spark: SparkSession, sf: str) -> DataFrame:
-    pts = view(spark, sf, "fx_points")
-    one = F.lit(0).alias("feature_seq")  # every area of the fixture is a single feature
-    segs = sj.within_first(view(spark, sf, "fx_segments").select("*", one))
-    return sj.points_in_areas(pts, segs, "pid", "area_id", "within")
-
-
 def _layer_points(spark: SparkSession, sf: str) -> DataFrame:
     """Point layer rows for every area: (iso, pid, country, x, y)."""
     pts = view(spark, sf, "fx_points")

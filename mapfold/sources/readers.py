@@ -64,9 +64,10 @@ def read_text_set(spark: SparkSession, path: str) -> DataFrame:
     return t.where(F.col("value") != "").distinct()
 
 
-def read_json_dict(spark: SparkSession, path: str, value_schema: str) -> DataFrame:
-    """scan_json_dict: JSON objects keyed by code -> (key, value struct) rows."""
-    raw = spark.read.text(path)
+def read_json_dict(spark: SparkSession, path: str, value_schema: str, whole: bool = False) -> DataFrame:
+    """scan_json_dict: JSON objects keyed by code -> (key, value struct) rows; an object per
+    line, or one object per file over any number of lines (``whole``)."""
+    raw = spark.read.text(path, wholetext=whole)
     m = F.from_json("value", f"map<string,{value_schema}>")
     return raw.select(F.explode(m).alias("key", "v"))
 
