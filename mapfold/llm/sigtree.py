@@ -36,8 +36,15 @@ order is right, a good one makes blocks small.  The steps are
    component found join again in further levels);
 5. what that cannot have seen: every marked token whose records are not yet one
    component is a block once more, first light and then with the sets of the records
-   that keep a partner of another component.  Blocks over ``chunk_rows`` are split
-   into chunk pairs.  This step makes the result exact whatever step 4 found.
+   that keep a partner of another component.  This step makes the result exact
+   whatever step 4 found.
+
+Blocks over ``chunk_rows`` are split into chunks.  In step 3 a record that finds a
+possible partner in its own chunk is settled, and only the others go to the
+token's other chunks; in step 5 only records outside the token's largest component
+do.  So a token with very many near copies costs rows in proportion to them, and
+rows for all pairs of chunks arise only from as many records that are like none of
+their own chunk.
 
 Nothing but light rows of bounded size reaches the driver: the most frequent
 tokens (at most 2^18, used for the order only) and fixed-size membership bitmaps
@@ -395,8 +402,16 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, chunk_bytes: int
     rows = stored(light.select("rep", "n", "tokens", "cls", "guest").mapInArrow(passing, "token long, rep long, n long, rest long"), "join-shared")
     sigs = light.select("rep", "sig")
     keys = ["token", "i", "j"]
-    marked = hopeful(_blocks(rows.withColumn("comp", F.col("rep")), chunk_rows).join(sigs, "rep"), keys)
-    marked = stored(marked.select("token", "rep", "rest").distinct(), "join-marked")
+    chunks = stored(_blocks(rows.withColumn("comp", F.col("rep")), chunk_rows), "join-chunks")
+    near = stored(hopeful(chunks.join(sigs, "rep"), keys).select("token", "rep", "rest"), "join-near")
+    # only records without a partner in their own chunk ask the other chunks of the token
+    large = chunks.where("k > 1")
+    probes = stored(large.join(near.select("token", "rep"), ["token", "rep"], "left_anti"), "join-probes")
+    asked = _asked(large, probes, chunk_rows)
+    # chunk and probes are two components here: pairs within either are settled
+    asked = asked.withColumn("comp", F.col("probe").cast("long")).drop("probe")
+    far = hopeful(asked.join(sigs, "rep"), keys).select("token", "rep", "rest")
+    marked = stored(near.union(far).distinct(), "join-marked")
     home = stored(marked.groupBy("rep").agg(F.max_by("token", "rest").alias("home")), "join-home")
     is_near = sc.broadcast(Membership.build(home, "rep"))
 
@@ -467,8 +482,9 @@ def _home_links(held: DataFrame, chunk_bytes: int, levels: int = 6) -> DataFrame
 
 
 def _blocks(rows: DataFrame, chunk_rows: int) -> DataFrame:
-    """(token, i, j, rep, n, comp, rest) of the blocks of (token, rep, n, comp, rest) rows that may
-    hold a link between components; of blocks with the same records one is kept."""
+    """(token, i, j, k, rep, n, comp, rest) of the blocks of (token, rep, n, comp, rest) rows that may
+    hold a link between components, dealt into k chunks i each (j is 0); of blocks with the same
+    records one is kept.  Every row is in one chunk of its block."""
     open_tokens = (
         rows.groupBy("token")
         .agg(
@@ -487,18 +503,34 @@ def _blocks(rows: DataFrame, chunk_rows: int) -> DataFrame:
         .agg(F.max_by("token", "early").alias("token"))  # the earliest of the order, for every record of the block
         .select("token", F.ceil(F.col("c") / chunk_rows).alias("k"))
     )
-    left = rows.join(open_tokens, "token")
-    part = F.pmod(F.xxhash64("rep"), F.col("k"))
-    partner = F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))
-    left = left.withColumn("p", part).withColumn("q", partner)
-    return left.select("token", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "rep", "n", "comp", "rest")
+    left = rows.join(open_tokens, "token").withColumn("i", F.pmod(F.xxhash64("rep"), F.col("k")))
+    return left.select("token", "i", F.lit(0).cast("long").alias("j"), "k", "rep", "n", "comp", "rest")
+
+
+def _asked(chunks: DataFrame, probes: DataFrame, chunk_rows: int) -> DataFrame:
+    """(token, i, j, probe, rep, n, comp, rest): every chunk i of a token together with the token's
+    ``probes`` (some rows of its chunks), which are dealt into chunks j from 1 on; a probe does
+    not come to its own chunk again."""
+    per = probes.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias("u"))  # a token without probes has no rows
+    part = F.explode(F.sequence(F.lit(1).cast("long"), F.col("u")))
+    cols = ["token", "i", "j", "probe", "rep", "n", "comp", "rest"]
+    still = chunks.drop("j").join(per, "token").withColumn("j", part).withColumn("probe", F.lit(False)).select(*cols)
+    moved = probes.drop("j").join(per, "token").withColumn("j", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("u")) + 1)
+    other = F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda i: i != F.col("i")))
+    moved = moved.withColumn("to", other).drop("i").withColumnRenamed("to", "i").withColumn("probe", F.lit(True)).select(*cols)
+    return still.union(moved)
 
 
 def _rest_links(marked: DataFrame, held: DataFrame, comps: DataFrame, chunk_rows: int) -> DataFrame:
     """Step 5: (rep, root) links between records that are not yet connected."""
     keys = ["token", "i", "j"]
     known = held.select("rep", "n").join(comps, F.col("rep") == comps["node"], "left").select("rep", "n", F.coalesce("comp", "rep").alias("comp"))
-    left = stored(_blocks(marked.join(known, "rep"), chunk_rows), "join-open")
+    chunks = stored(_blocks(marked.join(known, "rep"), chunk_rows), "join-open")
+    # a link between components has an end outside the token's largest one: those ask the other chunks
+    large = chunks.where("k > 1")
+    main = large.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c")).groupBy("token").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
+    probes = stored(large.join(main, "token").where("comp != main").drop("main"), "join-probes")
+    left = chunks.drop("k").unionByName(_asked(large, probes, chunk_rows).drop("probe"))
     near = stored(hopeful(left.join(held.select("rep", "sig"), "rep"), keys), "join-hopeful")
     # what is left of many blocks are the very same records; one of these blocks is enough
     per = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))

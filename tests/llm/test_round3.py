@@ -468,3 +468,35 @@ def test_ftrl_equals_its_definition():
     got = dict(zip(at.tolist(), w.tolist()))
     want = {i: weight(i) for i in z if weight(i) != 0}
     assert set(got) == set(want) and len(want) > 2 and all(got[i] == pytest.approx(want[i], rel=1e-5) for i in want)
+
+
+def test_blocks_of_one_token_grow_in_proportion(spark):
+    def rows(n, comps):
+        df = spark.range(n).select(F.lit(5).cast("long").alias("token"), F.col("id").alias("rep"), F.lit(40).cast("long").alias("n"), (F.col("id") % comps).alias("comp"), F.lit(40).cast("long").alias("rest"))
+        return sigtree._blocks(df, 2048)
+
+    assert [rows(n, n).count() for n in (10_000, 80_000)] == [10_000, 80_000]
+    chunks = rows(20_000, 20_000).where("k > 1")
+    probes = chunks.where("rep < 30")
+    asked = sigtree._asked(chunks, probes, 2048)
+    assert asked.count() == 20_000 + 30 * 9
+    met = {(r.p, r.q) for r in asked.where("probe").select(F.col("rep").alias("p"), "token", "i", "j").join(asked.where("not probe").select("token", "i", "j", F.col("rep").alias("q")), ["token", "i", "j"]).where("q < 2000").collect()}
+    own = {r.rep: r.i for r in chunks.where("rep < 2000").collect()}
+    assert met == {(p, q) for p in range(30) for q in range(2000) if own[p] != own[q]}
+
+
+def test_large_groups_of_near_copies_over_many_chunks(spark):
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(600)]
+    base, other = rng.choice(words, 60).tolist(), rng.choice(words, 60).tolist()
+    texts = []
+    for k in range(160):
+        t = list(base if k < 120 else other)
+        for at in rng.choice(60, 1):
+            t[at] = f"x{k}"
+        texts.append(" ".join(t))
+    texts += [" ".join(rng.choice(words, 60)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = {r.doc_id: r.component_id for r in sigtree.similarity_components(docs).collect()}
+    split = {r.doc_id: r.component_id for r in sigtree.similarity_components(docs, chunk_bytes=4096, chunk_rows=4).collect()}
+    assert whole == split and len({whole[i] for i in range(120)}) < 60
