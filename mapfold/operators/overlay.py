@@ -109,15 +109,34 @@ def linework(features: DataFrame, edges: DataFrame, file: str = "file_id", featu
     return made.unionByName(other, allowMissingColumns=True)
 
 
+def _rounded(num, den):
+    """num / den to the nearest integer (halves up), exact for decimals; den > 0."""
+    n, d = 2 * num + den, 2 * den
+    down = F.call_function("div", n, d)
+    return down - F.when((n % d) < 0, 1).otherwise(0)
+
+
 def centroids(edges: DataFrame, *keys: str, areal: str = "areal") -> DataFrame:
-    """(keys.., cx, cy) in degrees of features of any kind: by area where ``areal``, else by length,
-    and the mean of the end points where a feature has no length (points are edges of length zero)."""
+    """(keys.., cx, cy) in degrees of features of any kind: by area where ``areal`` (exact, to the nearest
+    micro-degree), else by length, and the mean of the end points where a feature has no length
+    (points are edges of length zero)."""
+    wide = {c: F.col(c).cast("decimal(12,0)") for c in ("x1", "y1", "x2", "y2")}
+    cross = (wide["x1"] * wide["y2"] - wide["x2"] * wide["y1"]).cast("decimal(19,0)")
     x1, y1, x2, y2 = (F.col(c).cast("double") / 1e6 for c in ("x1", "y1", "x2", "y2"))
-    cross, length = x1 * y2 - x2 * y1, F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
-    parts = {"a": (cross, (x1 + x2) * cross / 3, (y1 + y2) * cross / 3), "l": (length, (x1 + x2) / 2 * length, (y1 + y2) / 2 * length), "p": (F.lit(1.0), (x1 + x2) / 2, (y1 + y2) / 2)}
-    g = edges.groupBy(*keys).agg(F.max(areal).alias("_areal"), *[F.sum(c).alias(f"{k}{i}") for k, cols in parts.items() for i, c in enumerate(cols)])
-    pick = lambda i: F.when(F.col("_areal") & (F.abs("a0") > 1e-12), F.col(f"a{i}") / F.col("a0")).when(F.col("l0") > 0, F.col(f"l{i}") / F.col("l0")).otherwise(F.col(f"p{i}") / F.col("p0"))
-    return g.select(*keys, F.round(pick(1), 6).alias("cx"), F.round(pick(2), 6).alias("cy"))
+    length = F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
+    moment = lambda a, b: F.sum(((wide[a] + wide[b]).cast("decimal(12,0)") * cross).cast("decimal(28,0)")).cast("decimal(36,0)")
+    g = edges.groupBy(*keys).agg(
+        F.max(areal).alias("_areal"), F.sum(cross).cast("decimal(26,0)").alias("a0"), moment("x1", "x2").alias("a1"), moment("y1", "y2").alias("a2"),
+        F.sum(length).alias("l0"), F.sum((x1 + x2) / 2 * length).alias("l1"), F.sum((y1 + y2) / 2 * length).alias("l2"),
+        F.avg((x1 + x2) / 2).alias("p1"), F.avg((y1 + y2) / 2).alias("p2"),
+    )
+    turn = F.signum(F.col("a0").cast("double")).cast("int")
+
+    def pick(i: int):
+        exact = _rounded(F.col(f"a{i}") * turn, 3 * F.abs("a0")).cast("double") / 1e6
+        return F.when(F.col("_areal") & (F.col("a0") != 0), exact).when(F.col("l0") > 0, F.round(F.col(f"l{i}") / F.col("l0"), 6)).otherwise(F.round(f"p{i}", 6))
+
+    return g.select(*keys, pick(1).alias("cx"), pick(2).alias("cy"))
 
 
 def centroid(segs: DataFrame, key: str = "area_id") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mapfold.fixtures import view
 from mapfold.operators import overlay as OV
 from mapfold.plans import query
+from mapfold.plans.sqlsnip import exact_ratio
 
 _RINGS = """{name} as (select {key}, part, ring, cast(count(*) + 1 as int) n_vertices,
   concat(string_agg(concat(x1, ' ', y1), ', ' order by eid), ', ', arg_min(concat(x1, ' ', y1), eid)) line from {table} group by {key}, part, ring)"""
@@ -109,8 +110,8 @@ def admin_polygons(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "geom_centroid",
-    """select 'polygon' kind, poly_id id, round(sum((x1+x2)*(x1*y2-x2*y1)) / (3*sum(x1*y2-x2*y1)), 6) cx, round(sum((y1+y2)*(x1*y2-x2*y1)) / (3*sum(x1*y2-x2*y1)), 6) cy
-from (select poly_id, x1/1e6 x1, y1/1e6 y1, x2/1e6 x2, y2/1e6 y2 from fx_polys) s group by poly_id
+    f"""select 'polygon' kind, poly_id id, {exact_ratio('sx * sign(a)', '3 * abs(a)')} / 1e6 cx, {exact_ratio('sy * sign(a)', '3 * abs(a)')} / 1e6 cy
+from (select poly_id, sum(k) a, sum((x1+x2)*k) sx, sum((y1+y2)*k) sy from (select *, x1*y2-x2*y1 k from (select poly_id, x1::hugeint x1, y1::hugeint y1, x2::hugeint x2, y2::hugeint y2 from fx_polys) h) c group by poly_id) s
 union all select 'line', line_id, round((x1+x2)/2e6, 6), round((y1+y2)/2e6, 6) from fx_lines
 union all select 'point', pid, round(x/1e6, 6), round(y/1e6, 6) from fx_points""",
 )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mapfold.fixtures import view
 from mapfold.operators import osm as O
 from mapfold.plans import query
-from mapfold.plans.sqlsnip import intersects_having, seg_intersect, within_having
+from mapfold.plans.sqlsnip import exact_ratio, intersects_having, seg_intersect, within_having
 
 FX_TAG_KEYS = ["amenity", "atm", "waterway", "name", "highway", "railway", "place", "capital", "water", "route", "landuse", "harbour", "border"]
 
@@ -35,10 +35,11 @@ def layer_sql(tail: str, where: str, fclass: str, columns: str, shaped: bool = F
   union all select el_type, osm_id, concat(x, ' ', y) from el where kind = 'Point')"""
         shown = "p.geometry"
     else:
-        place = """pl as (select el_type, osm_id,
-    round(case when kind like '%Polygon' then sum((x1+x2)*(x1*y2-x2*y1)) / (3*sum(x1*y2-x2*y1)) else sum((x1+x2)/2*l) / sum(l) end, 6) lon,
-    round(case when kind like '%Polygon' then sum((y1+y2)*(x1*y2-x2*y1)) / (3*sum(x1*y2-x2*y1)) else sum((y1+y2)/2*l) / sum(l) end, 6) lat
-  from (select *, sqrt((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1)) l from (select el_type, osm_id, kind, x1/1e6 x1, y1/1e6 y1, x2/1e6 x2, y2/1e6 y2 from ed) e) e group by el_type, osm_id, kind
+        place = f"""pl as (select el_type, osm_id, case when kind like '%Polygon' then {exact_ratio('sx * sign(a)', '3 * abs(a)')} / 1e6 else round(lx / l, 6) end lon,
+    case when kind like '%Polygon' then {exact_ratio('sy * sign(a)', '3 * abs(a)')} / 1e6 else round(ly / l, 6) end lat
+  from (select el_type, osm_id, kind, sum(k) a, sum((x1+x2)*k) sx, sum((y1+y2)*k) sy, sum(l) l, sum((x1/1e6+x2/1e6)/2*l) lx, sum((y1/1e6+y2/1e6)/2*l) ly from (
+    select *, x1*y2-x2*y1 k, sqrt((x2/1e6-x1/1e6)*(x2/1e6-x1/1e6)+(y2/1e6-y1/1e6)*(y2/1e6-y1/1e6)) l from (
+      select el_type, osm_id, kind, x1::hugeint x1, y1::hugeint y1, x2::hugeint x2, y2::hugeint y2 from ed) e) e group by el_type, osm_id, kind) s
   union all select el_type, osm_id, round(x/1e6, 6), round(y/1e6, 6) from el where kind = 'Point')"""
         shown = "p.lon, p.lat"
     return f"""with el as (select * from fx_osm o where {where}), ed as (select g.* from fx_osm_geom g join el on el.el_type = g.el_type and el.osm_id = g.osm_id),

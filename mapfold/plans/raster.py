@@ -159,12 +159,12 @@ def agg_group_tiles(spark: SparkSession, sf: str) -> DataFrame:
     ).agg(F.count("*").alias("n_tiles"))
 
 
-# two rasters (rows under and over 75); tiles of 25 columns, and a later, coarser tile over the last five of each
+# two rasters (rows under and over 75); tiles of 25 columns, and after each a coarser one over its last five
 _PYRAMID_SQL = """
-select cast(r >= 75 as int) raster, cast(floor(c / 25) as bigint) tile_order, 1 res, r, c, v from fx_pixels
+select cast(r >= 75 as int) raster, cast(floor(c / 25) as bigint) * 2 tile_order, 1 res, r, c, v from fx_pixels
 union all
-select cast(r >= 75 as int), cast(floor(c / 25) as bigint) + 1, 2, cast(floor(r / 2) as bigint), cast(floor(c / 2) as bigint), v + 1 from fx_pixels where c % 25 >= 20 and r % 2 = 0 and c % 2 = 0 and raster_ok(r)
-""".replace(" and raster_ok(r)", "")
+select cast(r >= 75 as int), cast(floor(c / 25) as bigint) * 2 + 1, 2, cast(floor(r / 2) as bigint), cast(floor(c / 2) as bigint), v + 1 from fx_pixels where c % 25 >= 20 and r % 2 = 0 and c % 2 = 0
+"""
 
 
 @query(
@@ -176,7 +176,7 @@ select raster, r, c, arg_max(v, tile_order) v from fine group by raster, r, c"""
 def ras_mosaic(spark: SparkSession, sf: str) -> DataFrame:
     """Overlapping tiles of several rasters merged at the finest resolution; the later tile lies on top."""
     p = view(spark, sf, "fx_pixels").withColumn("raster", (F.col("r") >= 75).cast("int"))
-    order = F.floor(F.col("c") / 25).cast("long")
+    order = F.floor(F.col("c") / 25).cast("long") * 2
     fine = p.select("raster", order.alias("tile_order"), F.lit(1).alias("res"), "r", "c", "v")
     coarse = p.where((F.col("c") % 25 >= 20) & (F.col("r") % 2 == 0) & (F.col("c") % 2 == 0))
     half = lambda c: F.floor(F.col(c) / 2).cast("long").alias(c)

@@ -57,3 +57,10 @@ def seg_intersect(a: str, b: str) -> str:
         f"or (({o1})=0 and {on(B[0], B[1], A)}) or (({o2})=0 and {on(B[2], B[3], A)}) "
         f"or (({o3})=0 and {on(A[0], A[1], B)}) or (({o4})=0 and {on(A[2], A[3], B)})"
     )
+
+
+def exact_ratio(num: str, den: str) -> str:
+    """Integers num / den (den > 0) to the nearest integer, halves up, as double."""
+    n, d = f"(2 * ({num}) + ({den}))::hugeint", f"(2 * ({den}))::hugeint"
+    rest = f"(({n}) % ({d}))"
+    return f"(((({n}) - {rest}) // ({d})) - case when {rest} < 0 then 1 else 0 end)::double"
