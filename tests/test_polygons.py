@@ -32,7 +32,7 @@ def areas(edges, *keys):
 
 
 def pair_area(left, right, region, grid=2 * M):
-    return areas(P.overlay(left, right, region, "id", "id", grid), "lid", "rid")
+    return areas(P.overlay(left, right, region, "id", "id", grid, overlapping=False), "lid", "rid")
 
 
 @pytest.mark.parametrize("grid", [M // 2, 2 * M, 100 * M])
@@ -58,7 +58,7 @@ def test_shared_edge_and_vertex_touch(spark):
     a = layer(spark, (1, [box(0, 0, 2, 2)]))
     b = layer(spark, (1, [box(2, 0, 4, 2)]), (2, [box(2, 2, 3, 3)]), (3, [box(0, 0, 2, 1)]))
     assert pair_area(a, b, "intersection") == {(1, 3): 2.0}
-    joined = P.overlay(a, b, "union", "id", "id")
+    joined = P.overlay(a, b, "union", "id", "id", overlapping=False)
     assert areas(joined, "lid", "rid") == {(1, 1): 8.0, (1, 2): 5.0, (1, 3): 4.0}
     # the shared edge of the neighbours is gone; both keep their outline where they touch in a vertex
     assert joined.where("rid = 1 and x1 = 2000000 and x2 = 2000000").count() == 0
@@ -88,6 +88,12 @@ def test_skew_crossings_area_identities_and_closed_rings(spark):
         assert all((p.x2, p.y2) == (q.x1, q.y1) for p, q in zip(ring, ring[1:] + ring[:1]))
 
 
+def test_pairs_that_only_touch_are_no_overlap(spark):
+    a, b = layer(spark, (1, [box(0, 0, 2, 2)])), layer(spark, (1, [box(2, 0, 4, 2)]), (2, [box(2, 2, 3, 3)]), (3, [box(1, 1, 3, 3)]))
+    got = areas(P.overlay(a, b, "symdiff", "id", "id"), "lid", "rid")
+    assert got == {(1, 3): 6.0}
+
+
 def test_dissolve_leaves_no_inner_edge(spark):
     edges = layer(spark, (1, [box(0, 0, 2, 2)]), (2, [box(2, 0, 4, 2)]), (3, [box(1, 1, 3, 5)]), (4, [box(10, 10, 11, 11)]))
     made = P.dissolve(edges.selectExpr("0 as g", "id", "eid", "x1", "y1", "x2", "y2"), "g", "id")
