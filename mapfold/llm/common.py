@@ -268,11 +268,14 @@ def split_by_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFram
 
 
 def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
-    """``docs`` without the rows whose id is among the (long, distinct) ids of ``gone``."""
-    asked, sure = split_by_ids(docs, gone, id_col)
+    """``docs`` without the rows whose id is among the (long, distinct) ids of ``gone``.
+
+    The ids are written first, so the planner knows their size: it broadcasts a
+    small table and shuffles both sides for a large one.
+    """
     name = fresh(docs.columns, "_gone")
-    kept = asked.join(gone.select(F.col(gone.columns[0]).alias(name)), asked[id_col].cast("long") == F.col(name), "left_anti")
-    return sure.unionByName(kept)
+    gone = stored(gone.select(F.col(gone.columns[0]).alias(name)), "gone-ids")
+    return docs.join(gone, docs[id_col].cast("long") == gone[name], "left_anti")
 
 
 def xxhash64_long(x: np.ndarray) -> np.ndarray:
