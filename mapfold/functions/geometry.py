@@ -116,3 +116,21 @@ def seg_len_deg(x1, y1, x2, y2) -> Column:
     """Planar length in degrees."""
     x1, y1, x2, y2 = map(_c, (x1, y1, x2, y2))
     return F.sqrt(F.pow((x2 - x1).cast("double"), 2) + F.pow((y2 - y1).cast("double"), 2)) / MICRO
+
+
+#: half the width of the web Mercator plane, in metres
+MERCATOR = 20037508.342789244
+
+
+def aligned(crs, x, y, target: str) -> tuple[Column, Column]:
+    """Coordinates in the ``target`` system (EPSG:4326 or EPSG:3857): those that are in it
+    already stay, those of the other one are projected, of any other are null."""
+    pi = F.lit(3.141592653589793)
+    crs, x, y = _c(crs), _c(x), _c(y)
+    if target == "EPSG:4326":
+        other, px, py = "EPSG:3857", x * 180 / MERCATOR, F.atan(F.exp(y * pi / MERCATOR)) * 360 / pi - 90
+    elif target == "EPSG:3857":
+        other, px, py = "EPSG:4326", x * MERCATOR / 180, F.log(F.tan((90 + y) * pi / 360)) / pi * MERCATOR
+    else:
+        raise ValueError(f"unknown reference system {target}")
+    return F.when(crs == target, x).when(crs == other, px), F.when(crs == target, y).when(crs == other, py)

@@ -503,28 +503,6 @@ def fn_tile_key(spark: SparkSession, sf: str) -> DataFrame:
     return a.select("area_id", N.tile_key("la", "lo").alias("tile"))
 
 
-@query(
-    "srtm_tile_plan",
-    """
-select a.area_id, concat(case when la >= 0 then 'N' else 'S' end, lpad(cast(abs(la) as varchar), 2, '0'),
-  case when lo >= 0 then 'E' else 'W' end, lpad(cast(abs(lo) as varchar), 3, '0')) tile
-from (select area_id, unnest(range(cast(y0 / 1000000 as int), cast(y0 / 1000000 as int) + 36)) la, x0 from fx_areas) a,
-  lateral (select unnest(range(cast(a.x0 / 1000000 as int), cast(a.x0 / 1000000 as int) + 72)) lo) b
-""",
-)
-def srtm_tile_plan(spark: SparkSession, sf: str) -> DataFrame:
-    """Bounding box -> every 1x1 degree tile key (signed range, both hemispheres)."""
-    a = view(spark, sf, "fx_segments").groupBy("area_id").agg(
-        F.floor(F.min(F.least("x1", "x2")) / 1000000).cast("int").alias("lo0"),
-        F.ceil(F.max(F.greatest("x1", "x2")) / 1000000).cast("int").alias("lo1"),
-        F.floor(F.min(F.least("y1", "y2")) / 1000000).cast("int").alias("la0"),
-        F.ceil(F.max(F.greatest("y1", "y2")) / 1000000).cast("int").alias("la1"),
-    )
-    t = a.select("area_id", "lo0", "lo1", F.explode(F.sequence("la0", F.col("la1") - 1)).alias("la"))
-    t = t.select("area_id", "la", F.explode(F.sequence("lo0", F.col("lo1") - 1)).alias("lo"))
-    return t.select("area_id", N.tile_key("la", "lo").alias("tile"))
-
-
 @query(
     "fn_url_template",
     """
@@ -539,16 +517,3 @@ def fn_url_template(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("https://data.worldpop.invalid/"), F.upper("iso"), F.lit("/"), F.lower("iso"), F.lit("_ppp_2020_"),
                  F.coalesce("res", F.lit("100m")), F.lit(".tif")).alias("url"),
     )
-
-
-@query(
-    "nat_worldpop_catalog",
-    """
-select iso, res, concat(lower(iso), '_popu_pop_ras_s1_worldpop_pp_', res, '.tif') target
-from (select iso, unnest(['100m', '1km']) res from fx_areas) t
-""",
-)
-def nat_worldpop_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    """Area x resolution -> target file name (resolution list is a fixed pair)."""
-    a = view(spark, sf, "fx_areas").select("iso", F.explode(F.array(F.lit("100m"), F.lit("1km"))).alias("res"))
-    return a.select("iso", "res", F.concat(F.lower("iso"), F.lit("_popu_pop_ras_s1_worldpop_pp_"), "res", F.lit(".tif")).alias("target"))

@@ -174,25 +174,6 @@ def nat_ports(spark: SparkSession, sf: str) -> DataFrame:
     return _valid_xy(spark, sf, "country").join(a, F.lower("country") == F.lower("name_en")).select("iso", "pid", "lon", "lat")
 
 
-@query(
-    "geom_crs_align",
-    """
-select pid, round(x / 1e6 * 20037508.342789244 / 180, 1) mx,
-  case when abs(y) < 85051129 then round(ln(tan((90 + y / 1e6) * pi() / 360)) / (pi() / 180) * 20037508.342789244 / 180, 1) end my
-from fx_points
-""",
-)
-def geom_crs_align(spark: SparkSession, sf: str) -> DataFrame:
-    """EPSG:4326 -> EPSG:3857 (closed form); every row stays, northing is null beyond the projection (85.051129 degrees)."""
-    p = view(spark, sf, "fx_points")
-    lon, lat = F.col("x") / 1e6, F.col("y") / 1e6
-    r = 20037508.342789244
-    return p.select(
-        "pid", F.round(lon * r / 180, 1).alias("mx"),
-        F.when(F.abs("y") < 85051129, F.round(F.log(F.tan((90 + lat) * F.lit(3.141592653589793) / 360)) / (F.lit(3.141592653589793) / 180) * r / 180, 1)).alias("my"),
-    )
-
-
 @query(
     "geom_is_empty",
     "select a.area_id, count(s.seq) = 0 is_empty from fx_areas a left join fx_segments s on s.area_id = a.area_id group by a.area_id",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapfold.fixtures import view
+from mapfold.functions import geometry as G
 from mapfold.functions import names as N
 from mapfold.operators import osm as O
 from mapfold.operators import overlay as OV
@@ -123,3 +124,66 @@ def join_within_first(spark: SparkSession, sf: str) -> DataFrame:
     """Points within the first feature of a zone; the parts of a zone are its features."""
     first = sj.within_first(view(spark, sf, "fx_zones").withColumnRenamed("part", "feature_seq"))
     return sj.points_in_areas(view(spark, sf, "fx_points"), first, "pid", "zone_id", "within")
+
+
+_MERC = 20037508.342789244
+_LAYER_SQL = f"""(select pid, case when pid % 3 = 0 then 'EPSG:3857' else 'EPSG:4326' end crs,
+  case when pid % 3 = 0 then round(x / 1e6 * {_MERC} / 180, 1) else x / 1e6 end a,
+  case when pid % 3 = 0 then round(ln(tan((90 + y / 1e6) * pi() / 360)) / pi() * {_MERC}, 1) else y / 1e6 end b from fx_points where abs(y) < 85000000)"""
+
+
+@query(
+    "geom_crs_align",
+    f"""select pid, crs, round(case when crs = 'EPSG:4326' then a else a * 180 / {_MERC} end, 5) lon,
+  round(case when crs = 'EPSG:4326' then b else atan(exp(b * pi() / {_MERC})) * 360 / pi() - 90 end, 5) lat from {_LAYER_SQL} t""",
+)
+def geom_crs_align(spark: SparkSession, sf: str) -> DataFrame:
+    """Points brought to the areas' reference system: only rows in another one are projected."""
+    pi = 3.141592653589793
+    p = view(spark, sf, "fx_points").where(F.abs("y") < 85000000)
+    lon, lat, other = F.col("x") / 1e6, F.col("y") / 1e6, F.col("pid") % 3 == 0
+    layer = p.select(
+        "pid", F.when(other, F.lit("EPSG:3857")).otherwise(F.lit("EPSG:4326")).alias("crs"),
+        F.when(other, F.round(lon * _MERC / 180, 1)).otherwise(lon).alias("a"),
+        F.when(other, F.round(F.log(F.tan((90 + lat) * F.lit(pi) / 360)) / F.lit(pi) * _MERC, 1)).otherwise(lat).alias("b"),
+    )
+    x, y = G.aligned("crs", "a", "b", "EPSG:4326")
+    return layer.select("pid", "crs", F.round(x, 5).alias("lon"), F.round(y, 5).alias("lat"))
+
+
+@query(
+    "nat_worldpop_catalog",
+    """
+select iso, res, concat('https://data.worldpop.invalid/2020/', upper(iso), '/', lower(iso), case res when '100m' then '_ppp_2020_UNadj.tif' else '_pd_2020_1km_UNadj.tif' end) url,
+  concat(lower(iso), '_popu_pop_ras_s1_worldpop_pp_', res, '.tif') target
+from (select iso, unnest(['100m', '1km']) res from fx_areas) t
+""",
+)
+def nat_worldpop_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Area x resolution -> url and target file name (the resolutions are a fixed pair)."""
+    a = view(spark, sf, "fx_areas").select("iso", F.explode(F.array(F.lit("100m"), F.lit("1km"))).alias("res"))
+    tail = F.when(F.col("res") == "100m", F.lit("_ppp_2020_UNadj.tif")).otherwise(F.lit("_pd_2020_1km_UNadj.tif"))
+    url = F.concat(F.lit("https://data.worldpop.invalid/2020/"), F.upper("iso"), F.lit("/"), F.lower("iso"), tail)
+    return a.select("iso", "res", url.alias("url"), F.concat(F.lower("iso"), F.lit("_popu_pop_ras_s1_worldpop_pp_"), "res", F.lit(".tif")).alias("target"))
+
+
+@query(
+    "srtm_tile_plan",
+    """
+select area_id, tile, concat('https://elevation.invalid/skadi/', left(tile, 3), '/', tile, '.hgt.gz') url from (
+  select a.area_id, concat(case when la >= 0 then 'N' else 'S' end, lpad(cast(abs(la) as varchar), 2, '0'),
+    case when lo >= 0 then 'E' else 'W' end, lpad(cast(abs(lo) as varchar), 3, '0')) tile
+  from (select area_id, unnest(range(cast(y0 / 1000000 as int), cast(y0 / 1000000 as int) + 36)) la, x0 from fx_areas) a,
+    lateral (select unnest(range(cast(a.x0 / 1000000 as int), cast(a.x0 / 1000000 as int) + 72)) lo) b) t
+""",
+)
+def srtm_tile_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """Bounding box -> every 1x1 degree tile key (signed range, both hemispheres) and its address."""
+    degree = lambda f, pick, a, b: f(pick(F.least(a, b) if pick is F.min else F.greatest(a, b)) / 1000000).cast("int")
+    box = view(spark, sf, "fx_segments").groupBy("area_id").agg(
+        degree(F.floor, F.min, "x1", "x2").alias("lo0"), degree(F.ceil, F.max, "x1", "x2").alias("lo1"),
+        degree(F.floor, F.min, "y1", "y2").alias("la0"), degree(F.ceil, F.max, "y1", "y2").alias("la1"),
+    )
+    t = box.select("area_id", "lo0", "lo1", F.explode(F.sequence("la0", F.col("la1") - 1)).alias("la"))
+    t = t.select("area_id", "la", F.explode(F.sequence("lo0", F.col("lo1") - 1)).alias("lo")).select("area_id", N.tile_key("la", "lo").alias("tile"))
+    return t.select("area_id", "tile", F.concat(F.lit("https://elevation.invalid/skadi/"), F.substring("tile", 1, 3), F.lit("/"), "tile", F.lit(".hgt.gz")).alias("url"))
