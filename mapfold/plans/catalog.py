@@ -12,32 +12,6 @@ from mapfold.plans import query
 
 # -- dataset catalogue -------------------------------------------------------------------
 
-_TAG_SQL = """
-select tag, arg_max(title, dataset_rank) title, arg_max(organization, dataset_rank) organization,
-  arg_max(case when regexp_matches(metadata_modified, '^[0-9]+$')
-    then strftime(make_timestamp(cast(metadata_modified as bigint)*1000000), '%d %B %Y') else metadata_modified end,
-    dataset_rank) last_modified,
-  array_to_string(list_sort(list_distinct(list(format))), ', ') formats, count(*) n_datasets
-from fx_datasets group by tag
-"""
-
-
-@query("tag_catalog", _TAG_SQL)
-def tag_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per tag: last dataset (search order) wins; distinct formats joined.
-
-    ``collect_set(format)`` is bounded by the format domain, not by group size.
-    """
-    d = view(spark, sf, "fx_datasets")
-    rec = F.max_by(F.struct("title", "organization", N.epoch_date("metadata_modified").alias("m")), "dataset_rank")
-    g = d.groupBy("tag").agg(
-        rec.alias("r"),
-        F.array_join(F.array_sort(F.collect_set("format")), ", ").alias("formats"),
-        F.count("*").alias("n_datasets"),
-    )
-    return g.select("tag", "r.title", "r.organization", F.col("r.m").alias("last_modified"), "formats", "n_datasets")
-
-
 @query("agg_distinct_sorted", "select distinct tag from fx_datasets order by tag")
 def agg_distinct_sorted(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "fx_datasets").select("tag").distinct().orderBy("tag")

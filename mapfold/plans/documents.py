@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapfold.fixtures import view
+from mapfold.functions import names as N
 from mapfold.operators import geojson as GJ
 from mapfold.plans import query
 from mapfold.plans.discovery import _DEG
@@ -98,3 +99,64 @@ def sink_skip_empty(spark: SparkSession, sf: str) -> DataFrame:
     made = spark.read.schema("pid long, area_id long").parquet(path).groupBy("area_id").agg(F.count("*").alias("n"))
     n = F.coalesce("n", F.lit(0).cast("long"))
     return a.join(made, "area_id", "left").select("area_id", n.alias("n"), F.when(n > 0, F.lit("written")).otherwise(F.lit("skipped")).alias("status"))
+
+
+@query(
+    "nat_population_catalog",
+    """with f as (select split_part(path, '/', 4) iso, path, right(path, 3) ext from fx_files where right(path, 4) in ('.csv', '.zip'))
+select f.iso, f.path url, concat('223_popu/', f.iso, '_popu_pop_tab_', regexp_extract(f.path, '([^/]+)[.][a-z]+$', 1), '.csv') target
+from (select distinct * from f) f join (select iso, min(ext) ext from f group by iso) e on e.iso = f.iso and e.ext = f.ext""",
+)
+def nat_population_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries of a list of countries with their files, landed as documents: the first entry of a
+    country counts, one row per file with its url and target name."""
+    f = view(spark, sf, "fx_files").where(F.col("path").endswith(".csv") | F.col("path").endswith(".zip"))
+    iso, stem = F.split_part("path", F.lit("/"), F.lit(4)), F.regexp_extract("path", "([^/]+)[.][a-z]+$", 1)
+    item = F.struct(F.col("path").alias("download_url"), F.concat(iso, F.lit("_popu_pop_tab_"), stem).alias("ma_file_name"))
+    g = f.groupBy(iso.alias("country_code"), F.when(F.col("path").endswith(".csv"), 0).otherwise(1).alias("place")).agg(F.array_sort(F.collect_set(item)).alias("val"))
+    path = shared_dir(spark, "population")
+    W.write_json(g, path)
+    entries = spark.read.schema("country_code string, place int, val array<struct<download_url:string,ma_file_name:string>>").json(path)
+    first = entries.groupBy("country_code").agg(F.min_by("val", "place").alias("val"))
+    return first.select(F.col("country_code").alias("iso"), F.inline("val")).select("iso", F.col("download_url").alias("url"), F.concat(F.lit("223_popu/"), "ma_file_name", F.lit(".csv")).alias("target"))
+
+
+_DATASETS = """(select p_partkey k, [p_type, p_brand] tags, case when p_partkey % 11 <> 0 then p_brand end organization, concat('m', p_size) maintainer,
+  case when p_partkey % 3 <> 0 then concat('[', 1990 + p_size, ']') end dataset_date, case when p_partkey % 7 = 0 then '2020-01-05' else cast(p_partkey * 86400 + 1600000000 as varchar) end modified,
+  cast(p_partkey * 86400 + 1500000000 as varchar) created, case when p_size % 2 = 0 then 'Every year' end frequency, case when p_size % 5 <> 0 then 'cc-by' end license,
+  case when p_size % 2 = 0 then ['SHP', 'CSV', 'SHP'] else ['GeoJSON'] end formats from part)"""
+_DAY = "case when regexp_matches({c}, '^[0-9]+$') then strftime(make_timestamp(cast({c} as bigint) * 1000000), '%d %B %Y') else {c} end"
+
+
+@query(
+    "tag_catalog",
+    f"""with d as {_DATASETS}, x as (select unnest(tags) tag, * from d)
+select tag, regexp_replace(tag, '[ -]', '_', 'g') folder, arg_max(coalesce(organization, 'N/A'), k) as source, arg_max(coalesce(maintainer, 'N/A'), k) contributor, arg_max(coalesce(dataset_date, 'N/A'), k) time_period,
+  arg_max({_DAY.format(c='modified')}, k) modified, arg_max({_DAY.format(c='created')}, k) added, arg_max(coalesce(frequency, 'N/A'), k) frequency, 'all' as location, 'N/A' visibility,
+  arg_max(coalesce(license, 'N/A'), k) license, 'N/A' methodology, 'N/A' caveats, arg_max(array_to_string(tags, ', '), k) tags, arg_max(array_to_string(list_sort(list_distinct(formats)), ', '), k) file_format from x group by tag""",
+)
+def tag_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per tag with the thirteen metadata fields of its last dataset; absent fields are N/A."""
+    p = view(spark, sf, "part")
+    k, size = F.col("p_partkey"), F.col("p_size")
+    d = p.select(
+        k.alias("k"), F.array("p_type", "p_brand").alias("tags"), F.when(k % 11 != 0, F.col("p_brand")).alias("organization"), F.concat(F.lit("m"), size.cast("string")).alias("maintainer"),
+        F.when(k % 3 != 0, F.concat(F.lit("["), (1990 + size).cast("string"), F.lit("]"))).alias("dataset_date"),
+        F.when(k % 7 == 0, F.lit("2020-01-05")).otherwise((k * 86400 + 1600000000).cast("string")).alias("metadata_modified"), (k * 86400 + 1500000000).cast("string").alias("metadata_created"),
+        F.when(size % 2 == 0, F.lit("Every year")).alias("data_update_frequency"), F.when(size % 5 != 0, F.lit("cc-by")).alias("license_id"),
+        F.when(size % 2 == 0, F.array(F.lit("SHP"), F.lit("CSV"), F.lit("SHP"))).otherwise(F.array(F.lit("GeoJSON"))).alias("formats"),
+    )
+    return catalogue(d, "k", "all")
+
+
+def catalogue(datasets: DataFrame, order: str, location: str) -> DataFrame:
+    """Datasets with lists of tags and formats -> one metadata row per tag, of the dataset found last."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("N/A")) if c in datasets.columns else F.lit("N/A")
+    fields = {
+        "source": known("organization"), "contributor": known("maintainer"), "time_period": known("dataset_date"), "modified": N.epoch_date("metadata_modified"), "added": N.epoch_date("metadata_created"),
+        "frequency": known("data_update_frequency"), "location": F.lit(location), "visibility": known("visibility"), "license": known("license_id"), "methodology": known("methodology"), "caveats": known("caveats"),
+        "tags": F.array_join("tags", ", "), "file_format": F.array_join(F.array_sort(F.array_distinct("formats")), ", "),
+    }
+    rows = datasets.select(F.col(order).alias("_order"), F.explode("tags").alias("tag"), *[c.alias(n) for n, c in fields.items()])
+    last = rows.groupBy("tag").agg(F.max_by(F.struct(*fields), "_order").alias("r"))
+    return last.select("tag", F.regexp_replace("tag", "[ -]", "_").alias("folder"), "r.*")

@@ -284,19 +284,6 @@ def join_first_match(spark: SparkSession, sf: str) -> DataFrame:
     return f.groupBy(F.split_part("path", F.lit("/"), F.lit(4)).alias("iso")).agg(F.min("file_id").alias("file_id"))
 
 
-@query(
-    "nat_population_catalog",
-    "select split_part(f.path, '/', 4) iso, f.path url, concat(split_part(f.path, '/', 4), '_popu_pop_tab_', cast(f.file_id as varchar), '.csv') target "
-    "from fx_files f where ends_with(f.path, '.csv') and contains(f.path, '_adm')",
-)
-def nat_population_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    """Area -> list of (url, target name) rows."""
-    f = view(spark, sf, "fx_files").where(F.col("path").endswith(".csv") & F.col("path").contains("_adm"))
-    iso = F.split_part("path", F.lit("/"), F.lit(4))
-    return f.select(iso.alias("iso"), F.col("path").alias("url"),
-                    F.concat(iso, F.lit("_popu_pop_tab_"), F.col("file_id").cast("string"), F.lit(".csv")).alias("target"))
-
-
 @query(
     "join_regex_match",
     "select f.file_id, a.area_id from fx_files f join fx_areas a on regexp_matches(f.path, concat('(?i)/C', cast(a.area_id as varchar), '_'))",
