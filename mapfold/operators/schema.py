@@ -6,24 +6,12 @@ functions; a single schema's column list uses the same rule directly.
 
 from __future__ import annotations
 
-from itertools import chain, count
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 LIMIT = 10  # longest column name a shapefile keeps
 
 
-def short_names_keep_first(cols: list[str], limit: int = LIMIT) -> list[str]:
-    """The ``keep_first`` rule for one schema: every column takes the first free one
-    of its cut name and its shorter cut followed by 1, 2, 3, ..."""
-    taken: dict[str, str] = {}
-    for c in cols:
-        numbered = (f"{c[: limit - 1]}{k}" for k in count(1))
-        taken[next(name for name in chain([c[:limit]], numbered) if name not in taken)] = c
-    return list(taken)
-
-
 def short_names_number_all(cols: list[str], limit: int = LIMIT) -> list[str]:
     """The ``number_all`` rule of ``short_names_table`` for one schema's column list."""
     cut = [c[:limit] for c in cols]
@@ -35,20 +23,32 @@ def short_names_table(names: DataFrame, rule: str, limit: int = LIMIT) -> DataFr
     """Same rules over a names table (grp, pos, name) -> (grp, pos, name, short).
 
     ``grp`` separates independent schemas; ``pos`` is the column position.
-    keep_first: the k-th holder (k >= 2) of a cut name gets name[:limit-1] + (k-1).
-    number_all: every holder of a shared cut name gets its running number.
+    keep_first: a cut name that is free is kept, else the first free one of its
+    shorter cut with 1, 2, 3, ..; number_all: every holder of a shared cut name gets
+    its running number.
     """
+    if rule == "keep_first":
+        return _first_free(names, limit)
     cut = F.substring("name", 1, limit)
     w = Window.partitionBy("grp", "cut").orderBy("pos")
     wc = Window.partitionBy("grp", "cut")
     df = names.withColumn("cut", cut).withColumn("k", F.row_number().over(w)).withColumn("n", F.count("*").over(wc))
-    if rule == "keep_first":
-        short = F.when(F.col("k") == 1, F.col("cut")).otherwise(
-            F.concat(F.substring("name", 1, limit - 1), (F.col("k") - 1).cast("string"))
-        )
-    else:
-        s = F.col("k").cast("string")
-        short = F.when(F.col("n") == 1, F.col("cut")).otherwise(
-            F.concat(F.expr(f"substring(cut, 1, {limit} - length(cast(k as string)))"), s)
-        )
+    s = F.col("k").cast("string")
+    short = F.when(F.col("n") == 1, F.col("cut")).otherwise(F.concat(F.expr(f"substring(cut, 1, {limit} - length(cast(k as string)))"), s))
     return df.select("grp", "pos", "name", short.alias("short"))
+
+
+def _first_free(names: DataFrame, limit: int) -> DataFrame:
+    """A schema's names are one row and are folded in the order of their columns, since a
+    generated name may take the place of a later column's own."""
+    listed = names.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("cols"))
+
+    def named(taken, col):
+        own = F.substring(col["name"], 1, limit)
+        numbered = F.transform(F.sequence(F.lit(1), F.size(taken) + 1), lambda k: F.concat(F.substring(col["name"], 1, limit - 1), k.cast("string")))
+        # as many numbered names as there are taken ones, and one more: one of them is free
+        return F.get(F.filter(F.concat(F.array(own), numbered), lambda n: ~F.array_contains(taken, n)), F.lit(0))
+
+    shorts = F.aggregate("cols", F.array().cast("array<string>"), lambda taken, col: F.concat(taken, F.array(named(taken, col))))
+    rows = listed.select("grp", F.inline(F.arrays_zip(F.col("cols").alias("col"), shorts.alias("short"))))
+    return rows.select("grp", "col.pos", "col.name", "short")

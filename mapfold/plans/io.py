@@ -289,11 +289,10 @@ def join_first_match(spark: SparkSession, sf: str) -> DataFrame:
     "select f.file_id, a.area_id from fx_files f join fx_areas a on regexp_matches(f.path, concat('(?i)/C', cast(a.area_id as varchar), '_'))",
 )
 def join_regex_match(spark: SparkSession, sf: str) -> DataFrame:
-    """Case-insensitive regex match of area codes in paths (theta join on a small area table)."""
-    f = view(spark, sf, "fx_files")
-    a = view(spark, sf, "fx_areas").select("area_id")
-    # the area table is one row per area (bounded by the number of areas)
-    return f.join(F.broadcast(a), F.expr("path rlike concat('(?i)/C', cast(area_id as string), '_')")).select("file_id", "area_id")
+    """Case-insensitive match of area codes in paths: the codes are taken out of the path and joined by value."""
+    codes = F.array_distinct(F.regexp_extract_all("path", F.lit("(?i)/C(0|[1-9][0-9]*)_"), F.lit(1)))
+    f = view(spark, sf, "fx_files").select("file_id", F.explode(F.transform(codes, lambda c: c.try_cast("int"))).alias("area_id"))
+    return f.join(view(spark, sf, "fx_areas").select("area_id"), "area_id").select("file_id", "area_id")
 
 
 @query(

@@ -1,12 +1,22 @@
 from pyspark.sql import functions as F
 
 from mapfold.functions import names as N
-from mapfold.operators.schema import short_names_keep_first, short_names_number_all, short_names_table
+from mapfold.operators.schema import short_names_number_all, short_names_table
 
 
-def test_keep_first_clashes_after_ten_chars():
+def keep_first(spark, cols):
+    df = spark.createDataFrame([(0, i, c) for i, c in enumerate(cols)], "grp int, pos int, name string")
+    return [r.short for r in short_names_table(df, "keep_first").orderBy("pos").collect()]
+
+
+def test_keep_first_clashes_after_ten_chars(spark):
     cols = ["operator_type", "operator_typ", "operator_ty", "name"]
-    assert short_names_keep_first(cols) == ["operator_t", "operator_1", "operator_2", "name"]
+    assert keep_first(spark, cols) == ["operator_t", "operator_1", "operator_2", "name"]
+
+
+def test_keep_first_passes_over_taken_names(spark):
+    cols = ["operator_1", "operator_type", "operator_typ", "operator_2", "operator_2x"]
+    assert keep_first(spark, cols) == ["operator_1", "operator_t", "operator_2", "operator_3", "operator_4"]
 
 
 def test_number_all_suffixes_every_holder():
@@ -14,10 +24,9 @@ def test_number_all_suffixes_every_holder():
     assert short_names_number_all(cols) == ["school:ge1", "school:ge2", "school_gen", "name"]
 
 
-def test_names_unique_and_short():
+def test_names_unique_and_short(spark):
     cols = [f"abcdefghijk{i}" for i in range(9)]  # keep-first grows past 10 chars from the 11th clash on
-    for fn in (short_names_keep_first, short_names_number_all):
-        out = fn(cols)
+    for out in (keep_first(spark, cols), short_names_number_all(cols)):
         assert len(set(out)) == len(out)
         assert all(len(c) <= 10 for c in out)
 
