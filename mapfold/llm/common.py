@@ -247,26 +247,6 @@ class Membership:
         return out
 
 
-def split_by_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``docs`` whose id may be among the (long) ``ids`` or is null, and
-    the rows whose id surely is not, told apart by a membership filter: only the
-    first need a shuffle for an exact answer."""
-    ship(docs.sparkSession)
-    held = docs.sparkSession.sparkContext.broadcast(Membership.build(ids.dropna(), ids.columns[0]))
-    place = docs.columns.index(id_col)
-
-    def chosen(asked: bool):
-        def run(batches):
-            for b in batches:
-                own = pc.cast(b.column(place), pa.int64())
-                maybe = held.value.test(own.fill_null(0).to_numpy(zero_copy_only=False)) | own.is_null().to_numpy(zero_copy_only=False)
-                yield b.filter(pa.array(maybe == asked))
-
-        return docs.mapInArrow(run, docs.schema)
-
-    return chosen(True), chosen(False)
-
-
 def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
     """``docs`` without the rows whose id is among the (long, distinct) ids of ``gone``.
 

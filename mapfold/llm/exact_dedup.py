@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapfold.llm.common import BLANK_WORDS, Membership, byte_view, fresh, ship, slices, split_by_ids, stored, table
+from mapfold.llm.common import BLANK_WORDS, Membership, byte_view, fresh, ship, slices, stored, table
 
 PRIME = (1 << 61) - 31
 CHUNK = 1 << 16
@@ -143,11 +143,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` that stay, with all their columns."""
     gone_id, gone_sha = fresh(docs.columns, "_gone"), fresh(docs.columns, "_sha")
     gone = exact_groups(docs, id_col=id_col, text_col=text_col).where("not kept").select(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha)).distinct()
-    gone = stored(gone, "dedup-gone")
-    asked, sure = split_by_ids(docs, gone.select(gone_id), id_col)
+    gone = stored(gone, "dedup-gone")  # written, so the planner broadcasts it while it is small
     # an id may stand on rows of several texts, or be null: the text decides with it
-    sha = F.sha2(F.regexp_replace(F.coalesce(asked[text_col], F.lit("")), r"[\x20\x09-\x0D]+", " ").cast("binary"), 256)
-    return sure.unionByName(asked.join(gone, asked[id_col].cast("long").eqNullSafe(F.col(gone_id)) & (sha == F.col(gone_sha)), "left_anti"))
+    sha = F.sha2(F.regexp_replace(F.coalesce(docs[text_col], F.lit("")), r"[\x20\x09-\x0D]+", " ").cast("binary"), 256)
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone[gone_id]) & (sha == gone[gone_sha]), "left_anti")
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:
