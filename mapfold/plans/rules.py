@@ -13,15 +13,26 @@ from mapfold.operators import overlay as OV
 from mapfold.operators import spatial_join as sj
 from mapfold.plans import query
 from mapfold.plans.admin import _SELECTED_SQL, _UNITS_SQL, selected_areas, units
+from mapfold.plans.catalog import _HREFS_SQL, hrefs
 from mapfold.plans.geometry import _NEIGH_SQL
 from mapfold.plans.sqlsnip import within_having
 
 
-@query("filt_resource_suffix", "select file_id, path from fx_files where right(path, 4) in ('.zip', '.csv') or strpos(path, '.zip') > 0")
+def _suffix_sql(c: str) -> str:
+    return f"(ends_with({c}, '.zip') or ends_with({c}, '.csv') or contains({c}, '.zip'))"
+
+
+@query(
+    "filt_resource_suffix",
+    f"""select 'page' kind, page_id id, href from ({_HREFS_SQL}) h where {_suffix_sql("href")}
+union all select 'file', file_id, path from fx_files where {_suffix_sql("path")}""",
+)
 def filt_resource_suffix(spark: SparkSession, sf: str) -> DataFrame:
-    """Resources by suffix: .zip or .csv at the end, or .zip anywhere."""
-    p = F.col("path")
-    return view(spark, sf, "fx_files").where(p.endswith(".zip") | p.endswith(".csv") | p.contains(".zip")).select("file_id", "path")
+    """Resources by suffix: .zip or .csv at the end, or .zip anywhere; all links of pages and all paths of files."""
+    links = hrefs(spark, sf).select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), "href")
+    files = view(spark, sf, "fx_files").select(F.lit("file").alias("kind"), F.col("file_id").alias("id"), F.col("path").alias("href"))
+    h = F.col("href")
+    return links.unionByName(files).where(h.endswith(".zip") | h.endswith(".csv") | h.contains(".zip"))
 
 
 @query(
