@@ -118,3 +118,8 @@ def country_from_path(path, root: str) -> Column:
     ``root``, else the one two levels above it."""
     parts = F.split(_c(path), "/")
     return F.when(F.try_element_at(parts, F.lit(-3)) == root, F.try_element_at(parts, F.lit(-2))).otherwise(F.try_element_at(parts, F.lit(-4)))
+
+
+def time_text(t) -> Column:
+    """A time as ledger text."""
+    return F.date_format(_c(t), "yyyy-MM-dd HH:mm:ss")

@@ -47,12 +47,14 @@ def filt_country_name(spark: SparkSession, sf: str) -> DataFrame:
     return p.join(view(spark, sf, "fx_areas").select("iso", N.capitalize("name_en").alias("country")), "country").select("pid", "iso")
 
 
-@query("fn_now", "select event_id, true formed, true recent from fx_ledger")
+@query("fn_now", "select event_id, strftime(processed_at, '%Y-%m-%d %H:%M:%S') date_processed, true formed, true recent from fx_ledger")
 def fn_now(spark: SparkSession, sf: str) -> DataFrame:
-    """The processing time as ledger text, stamped on every row; the row says whether it is well formed and of this run."""
-    stamped = view(spark, sf, "fx_ledger").withColumn("date_processed", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"))
-    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("date_processed", "yyyy-MM-dd HH:mm:ss")
-    return stamped.select("event_id", F.col("date_processed").rlike("^[0-9]{4}(-[0-9]{2}){2} [0-9]{2}(:[0-9]{2}){2}$").alias("formed"), age.between(0, 1).alias("recent"))
+    """Processing time as ledger text: the time every row was processed at, and the time of this run,
+    stamped on every row; of the latter, which no SQL can know, the row says whether it is well formed and recent."""
+    stamped = view(spark, sf, "fx_ledger").withColumn("stamp", N.time_text(F.current_timestamp()))
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("stamp", "yyyy-MM-dd HH:mm:ss")
+    formed = F.col("stamp").rlike("^[0-9]{4}(-[0-9]{2}){2} [0-9]{2}(:[0-9]{2}){2}$")
+    return stamped.select("event_id", N.time_text(F.col("processed_at")).alias("date_processed"), formed.alias("formed"), age.between(0, 1).alias("recent"))
 
 
 _NESTED_SQL = "(select file_id, case when file_id % 3 = 0 then regexp_replace(path, '/([^/]+)$', '/shp/adm/\\1') else path end path from fx_files)"

@@ -38,3 +38,9 @@ def test_suffix_filter_reads_links_of_pages_and_paths_of_files(spark, tables):
     assert cols == ["kind", "id", "href"] and sorted(got) == sorted(want)
     assert {r for r in got if r[0] == "page"} == {("page", 1, "/d/one.zip"), ("page", 2, "https://b.org/two.csv")}
     assert {r[1] for r in got if r[0] == "file"} == {0, 2, 4}
+
+
+def test_now_tells_the_time_of_every_row_and_of_the_run(spark, tables):
+    got, want, cols = both(spark, tables, "fn_now")
+    assert sorted(got) == sorted(want) and len(got) == 5
+    assert dict(zip(cols, sorted(got)[0])) == {"event_id": 0, "date_processed": "2024-01-02 03:04:05", "formed": True, "recent": True}
