@@ -15,6 +15,7 @@ from mapfold.plans import query
 from mapfold.plans.admin import _SELECTED_SQL, _UNITS_SQL, selected_areas, units
 from mapfold.plans.catalog import _HREFS_SQL, hrefs
 from mapfold.plans.geometry import _NEIGH_SQL
+from mapfold.plans.schema_ops import _GRPS_SQL, _NAMES_SQL, _WANTED_SQL, WANTED, names_table
 from mapfold.plans.sqlsnip import within_having
 
 
@@ -125,11 +126,21 @@ def admin_poly_to_line(spark: SparkSession, sf: str) -> DataFrame:
     return rows.join(a, "area_id").select(name.alias("layer_name"), "x1", "y1", "x2", "y2", "neighbour")
 
 
-@query("proj_fill_missing", "select osm_id, el_type, name, highway, cast(null as varchar) surface, cast(null as varchar) oneway from fx_osm")
+@query(
+    "proj_fill_missing",
+    f"""select g.grp, w.name as wanted, exists (select 1 from {_NAMES_SQL} t where t.grp = g.grp and t.name = w.name) present,
+  cast(null as bigint) osm_id, cast(null as varchar) el_type, cast(null as varchar) as name, cast(null as varchar) highway, cast(null as varchar) surface, cast(null as varchar) oneway
+from {_GRPS_SQL} g, {_WANTED_SQL} w
+union all select null, null, null, osm_id, el_type, name, highway, null, null from fx_osm""",
+)
 def proj_fill_missing(spark: SparkSession, sf: str) -> DataFrame:
-    """Wanted columns that a layer lacks are added as null."""
+    """Wanted columns that a layer lacks are added as null: every wanted column of every schema with
+    whether it is there or added, and the rows of a layer with its absent columns filled."""
+    names = names_table(spark, sf).select("grp", F.col("name").alias("wanted"), F.lit(True).alias("present"))
+    grid = names.select("grp").distinct().select("grp", F.explode(F.array(*map(F.lit, WANTED))).alias("wanted"))
+    schemas = grid.join(names, ["grp", "wanted"], "left").select("grp", "wanted", F.coalesce("present", F.lit(False)).alias("present"))
     layer = view(spark, sf, "fx_osm").select("osm_id", "el_type", "name", "highway")
-    return O.filled(layer, ["name", "highway", "surface", "oneway"])
+    return schemas.unionByName(O.filled(layer, ["name", "highway", "surface", "oneway"]), allowMissingColumns=True)
 
 
 @query("join_within_first", f"select p.pid, s.zone_id from fx_points p, (select zone_id, x1, y1, x2, y2 from fx_zones where part = 0) s group by p.pid, s.zone_id having {within_having('p', 's')}")

@@ -44,3 +44,14 @@ def test_now_tells_the_time_of_every_row_and_of_the_run(spark, tables):
     got, want, cols = both(spark, tables, "fn_now")
     assert sorted(got) == sorted(want) and len(got) == 5
     assert dict(zip(cols, sorted(got)[0])) == {"event_id": 0, "date_processed": "2024-01-02 03:04:05", "formed": True, "recent": True}
+
+
+def test_missing_columns_of_every_schema_and_of_the_layer(spark, tables):
+    got, want, cols = both(spark, tables, "proj_fill_missing")
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
+    rows = [dict(zip(cols, r)) for r in got]
+    present = {(r["grp"], r["wanted"]): r["present"] for r in rows if r["wanted"]}
+    assert len(present) == 8 and {k for k, v in present.items() if v} == {(0, "attribute_view_0"), (1, "attribute_click_1")}
+    layer = [r for r in rows if not r["wanted"]]
+    assert len(layer) == 5 and all(r["surface"] is None and r["oneway"] is None for r in layer)
