@@ -52,7 +52,8 @@ def mosaic_finest(tiles: DataFrame, key: tuple[str, ...] = ()) -> DataFrame:
     """Tiles (key.., tile_order, res, r, c, v) of several resolutions merged on the finest grid of each
     raster: a pixel of a coarser tile covers a square of fine ones (``res`` is its side)."""
     finest = tiles.groupBy(*key).agg(F.min("res").alias("_finest"))  # one row per raster
-    rows = tiles.join(finest, list(key)) if key else tiles.crossJoin(F.broadcast(finest))
+    # broadcast: joined by shuffle, all pixels of a raster would meet in one task
+    rows = tiles.join(F.broadcast(finest), list(key)) if key else tiles.crossJoin(F.broadcast(finest))
     side = F.sequence(F.lit(0), (F.col("res") / F.col("_finest")).cast("int") - 1)
     step = (F.col("res") / F.col("_finest")).cast("long")
     rows = rows.select("*", F.explode(side).alias("_i")).select("*", F.explode(side).alias("_j"))
@@ -63,7 +64,7 @@ def mosaic_finest(tiles: DataFrame, key: tuple[str, ...] = ()) -> DataFrame:
 def tiles(pixels: DataFrame, n: int, key: tuple[str, ...] = ()) -> DataFrame:
     """Pixels (key.., r, c, ..) with ``tile_no`` of n x n tiles over each raster's extent; columns of tiles first."""
     box = pixels.groupBy(*key).agg(F.min("r").alias("_r0"), F.max("r").alias("_r1"), F.min("c").alias("_c0"), F.max("c").alias("_c1"))
-    rows = pixels.join(box, list(key)) if key else pixels.crossJoin(F.broadcast(box))
+    rows = pixels.join(F.broadcast(box), list(key)) if key else pixels.crossJoin(F.broadcast(box))
     part = lambda v: F.call_function("div", (F.col(v) - F.col(f"_{v}0")) * n, F.col(f"_{v}1") - F.col(f"_{v}0") + 1)
     return rows.withColumn("tile_no", part("c") * n + part("r") + 1).drop("_r0", "_r1", "_c0", "_c1")
 
