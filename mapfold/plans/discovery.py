@@ -176,11 +176,14 @@ def sink_unit_geojson(spark: SparkSession, sf: str) -> DataFrame:
 @query("scan_geojson", "select concat('z', cast(zone_id as varchar)) name, part, ring, eid, x1, y1, x2, y2, case when max(part) over (partition by zone_id) > 0 then 'MultiPolygon' else 'Polygon' end kind from fx_zones")
 def scan_geojson(spark: SparkSession, sf: str) -> DataFrame:
     """FeatureCollections with polygons of several rings and parts, written over several lines
-    each, parsed into edges."""
+    each, parsed into edges.  A collection holds the zones of a thousand ids: a file is parsed by
+    one task, but a file per zone is too many of them."""
     shapes = GJ.polygon_texts(view(spark, sf, "fx_zones"), "zone_id")
-    doc = F.concat(F.lit('{\n "type": "FeatureCollection",\n "features": [\n  {"type": "Feature", "properties": {"id": "z'), F.col("zone_id").cast("string"), F.lit('"},\n   "geometry": {"type": "'), "kind", F.lit('", "coordinates":\n    '), "coordinates", F.lit("}}\n ]\n}"))
+    feature = F.concat(F.lit('  {"type": "Feature", "properties": {"id": "z'), F.col("zone_id").cast("string"), F.lit('"},\n   "geometry": {"type": "'), "kind", F.lit('", "coordinates":\n    '), "coordinates", F.lit("}}"))
+    files = shapes.groupBy(F.floor(F.col("zone_id") / 1000).cast("long").alias("file")).agg(F.collect_list(feature).alias("features"))
+    doc = F.concat(F.lit('{\n "type": "FeatureCollection",\n "features": [\n'), F.array_join("features", ",\n"), F.lit("\n ]\n}"))
     path = shared_dir(spark, "collections")
-    W.write_text(shapes.select(F.col("zone_id").alias("file"), doc.alias("value")), path, partition_by="file")
+    W.write_text(files.select("file", doc.alias("value")), path, partition_by="file")
     f = R.read_geojson(spark, path, multiline=True)
     named = f.select(F.try_element_at("properties", F.lit("id")).alias("name"), "geom_type", "coordinates")
     return GJ.edges(named, "name")
