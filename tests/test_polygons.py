@@ -118,3 +118,23 @@ def test_within_respects_holes_and_partial_overlap(spark):
     )
     got = {tuple(r) for r in P.within(lakes, areas_.withColumnRenamed("id", "area_id"), "id", "area_id").collect()}
     assert got == {(1, 1), (5, 1), (7, 1), (8, 2)}
+
+
+def edges_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_rows_and_cells_give_the_same_overlay(spark):
+    a = layer(spark, (1, [box(0, 0, 10, 10), hole(4, 4, 6, 6)]), (2, [[(1, 1), (9, 2), (3, 7)]]))
+    b = layer(spark, (7, [box(5, -3, 20, 5)]), (8, [box(0, 0, 12, 12)]), (9, [box(30, 30, 31, 31)]))
+    for region in ("symdiff", "difference"):
+        by_row = edges_of(P.overlay(a, b, region, "id", "id"))
+        assert by_row and by_row == edges_of(P.overlay(a, b, region, "id", "id", small=0)) == edges_of(P.overlay(a, b, region, "id", "id", small=4))
+    held = [edges_of(P.within(a.withColumnRenamed("id", "lid"), b.withColumnRenamed("id", "rid"), small=n)) for n in (0, 4, 64)]
+    assert held == [[(1, 8), (2, 8)]] * 3
+
+
+def test_small_polygons_are_shuffled_only_to_meet(spark):
+    a, b = layer(spark, (1, [box(0, 0, 10, 10)])), layer(spark, (7, [box(5, -3, 20, 4)]))
+    plan = P.overlay(a, b, "symdiff", "id", "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 4, plan
