@@ -127,14 +127,27 @@ def edges_of(df):
 def test_rows_and_cells_give_the_same_overlay(spark):
     a = layer(spark, (1, [box(0, 0, 10, 10), hole(4, 4, 6, 6)]), (2, [[(1, 1), (9, 2), (3, 7)]]))
     b = layer(spark, (7, [box(5, -3, 20, 5)]), (8, [box(0, 0, 12, 12)]), (9, [box(30, 30, 31, 31)]))
-    for region in ("symdiff", "difference"):
-        by_row = edges_of(P.overlay(a, b, region, "id", "id"))
-        assert by_row and by_row == edges_of(P.overlay(a, b, region, "id", "id", small=0)) == edges_of(P.overlay(a, b, region, "id", "id", small=4))
-    held = [edges_of(P.within(a.withColumnRenamed("id", "lid"), b.withColumnRenamed("id", "rid"), small=n)) for n in (0, 4, 64)]
-    assert held == [[(1, 8), (2, 8)]] * 3
+    by_row = edges_of(P.overlay(a, b, "symdiff", "id", "id"))
+    assert by_row and by_row == edges_of(P.overlay(a, b, "symdiff", "id", "id", small=4))
+    held = [edges_of(P.within(a.withColumnRenamed("id", "lid"), b.withColumnRenamed("id", "rid"), small=n)) for n in (4, 64)]
+    assert held == [[(1, 8), (2, 8)]] * 2
 
 
 def test_small_polygons_are_shuffled_only_to_meet(spark):
     a, b = layer(spark, (1, [box(0, 0, 10, 10)])), layer(spark, (7, [box(5, -3, 20, 4)]))
     plan = P.overlay(a, b, "symdiff", "id", "id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 4, plan
+
+
+@pytest.mark.parametrize("grid", [M, 100 * M])
+def test_dissolve_leaves_out_what_lies_under_a_member(spark, grid):
+    under = [(n, [box(3 + n / 100, 3 + n / 50, 6 - n / 70, 6)]) for n in range(2, 12)]
+    rows = layer(spark, (1, [box(0, 0, 10, 10)]), *under, (20, [box(8, 8, 14, 12)]))
+    out = P.dissolve(rows.selectExpr("0L gid", "id oid", "eid", "x1", "y1", "x2", "y2"), "gid", "oid", grid)
+    assert areas(out, "gid") == {(0,): 120.0} and out.count() == 8
+
+
+def test_dissolve_cuts_no_edges_in_covered_cells(spark):
+    rows = layer(spark, *[(n, [box(0 - n, 0 - n, 20 + n, 20 + n)]) for n in (1, 2)]).selectExpr("0L gid", "id oid", "eid", "x1", "y1", "x2", "y2")
+    plan = P.dissolve(rows, "gid", "oid")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftAnti") >= 3
