@@ -55,3 +55,10 @@ def test_missing_columns_of_every_schema_and_of_the_layer(spark, tables):
     assert len(present) == 8 and {k for k, v in present.items() if v} == {(0, "attribute_view_0"), (1, "attribute_click_1")}
     layer = [r for r in rows if not r["wanted"]]
     assert len(layer) == 5 and all(r["surface"] is None and r["oneway"] is None for r in layer)
+
+
+def test_collections_hold_many_zones_each(spark, tmp_path):
+    spark.createDataFrame([(k, f"s{k}", k % 25) for k in range(40)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(1, "p")], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    files = E.queries()["scan_geojson"](spark, str(tmp_path)).inputFiles()
+    assert len(files) == 1
