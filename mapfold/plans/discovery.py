@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -219,12 +221,12 @@ select area_id, u, tip v, n n_segments, array_to_string(list_sort(list_distinct(
   array_to_string(list_sort(list_distinct(ow)), ', ') oneway, array_to_string(nodes, ' ') nodes from done"""
 
 
-def road_network(spark: SparkSession, sf: str) -> DataFrame:
+def road_network(spark: SparkSession, sf: str, node_columns: Sequence[str] = ()) -> DataFrame:
     """Edges of the drivable network inside each area."""
-    inside = points_in_areas(view(spark, sf, "fx_nodes"), view(spark, sf, "fx_segments"), "node_id", "area_id", "intersects")
+    inside = points_in_areas(view(spark, sf, "fx_nodes"), view(spark, sf, "fx_segments"), "node_id", "area_id", "intersects", payload=node_columns)
     ways = view(spark, sf, "fx_ways").where("highway <> 'footway'").withColumn("oneway_tag", F.col("oneway").cast("string"))
     steps = view(spark, sf, "fx_way_nodes").join(ways, "way_id").join(inside, "node_id")
-    return roads.road_edges(steps, ["area_id"], ROAD_ATTRS)
+    return roads.road_edges(steps, ["area_id"], ROAD_ATTRS, node_columns)
 
 
 @query("scan_road_edges", _ROADS)

@@ -53,6 +53,54 @@ def test_missing_nodes_break_a_way_and_a_hub_is_a_junction(spark):
     assert set(hub) == {(0, 100 + k) for k in range(1, 60)} | {(100 + k, 0) for k in range(1, 60)}
 
 
+def test_stretches_of_ways_are_not_ordered_step_by_step(spark, monkeypatch):
+    ranked, seen = roads.ranked, []
+    monkeypatch.setattr(roads, "ranked", lambda links: seen.append(links.count()) or ranked(links))
+    got = network(spark, (list(range(300)), False, "primary", "a"), ([0, 500, 501], False, "primary", "a"), ([0, 600], True, "road", "b"), ([299, 700], False, "road", "c"))
+    assert got[(700, 0)] == (300, [0, 3], ["primary", "road"], ["a", "c"], [700, *range(299, -1, -1)])
+    # of 303 two-way steps only two stretches go on into another way, in both directions
+    assert seen == [4]
+
+
+def edges_by_walking(ways):
+    """The edges of whole ways (nodes, oneway), segment by segment: (ways, nodes) of each."""
+    segs = []
+    for w, (nodes, one) in enumerate(ways):
+        there = [(u, v, w, k) for k, (u, v) in enumerate(zip(nodes, nodes[1:])) if None not in (u, v) and u != v]
+        segs += there + [(v, u, w, k) for u, v, w, k in there if not one]
+    met, into, out = {}, {}, {}
+    for u, v, *_ in segs:
+        met.setdefault(u, {}).setdefault(v, [0, 0])[0] += 1
+        met.setdefault(v, {}).setdefault(u, [0, 0])[1] += 1
+    through = {n for n, o in met.items() if len(o) == 2 and max(map(max, o.values())) == 1 and sum(a - b for a, b in o.values()) == 0}
+    nxt = {s: t for s in segs for t in segs if s[1] == t[0] and s[1] in through and s[0] != t[1]}
+    heads, seen, made = set(segs) - set(nxt.values()), set(), []
+    for s in [*sorted(heads), *sorted(segs)]:
+        line = []
+        while s is not None and s not in seen:
+            seen.add(s)
+            line.append(s)
+            s = nxt.get(s)
+        if line:
+            made.append((sorted({x[2] for x in line}), [line[0][0], *(x[1] for x in line)]))
+    return sorted(made)
+
+
+def test_networks_of_chance_have_the_edges_found_by_walking(spark):
+    rng, rows, want = random.Random(11), [], []
+    fixed = [
+        [([2, 3, 4, 2], False)], [([7, 5, 6, 7], True)], [([1, 2, 3], False), ([3, 4], True), ([4, 5, 1], False)],
+        [([8, 9, 5], True), ([5, 1, 8], True)], [([1, 2, 1], True), ([2, 9], False)], [([1, 2], False), ([2, 3], True), ([3, 2], True)], [([4, 4, 5, None, 6, 7, 8], False), ([8, 6], True)],
+    ]
+    drawn = [[([rng.randrange(n) for _ in range(rng.randint(2, 6))], rng.random() < 0.4) for _ in range(rng.randint(1, 5))] for n in (4, 6, 9, 14, 25) for _ in range(30)]
+    for area, ways in enumerate(fixed + drawn):
+        rows += [(area, w, k, n, one, "road", None, -n) for w, (nodes, one) in enumerate(ways) for k, n in enumerate(nodes) if n is not None]
+        want += [(area, w, nodes) for w, nodes in edges_by_walking(ways)]
+    out = roads.road_edges(spark.createDataFrame(rows, STEPS + ", x long"), ["area"], ["highway", "name"], ["x"]).collect()
+    assert sorted((r.area, list(r.way_ids), list(r.nodes)) for r in out) == sorted(want)
+    assert all([-n for n in r.nodes] == list(r.x) and (r.u, r.v, r.n_segments, list(r.name)) == (r.nodes[0], r.nodes[-1], len(r.nodes) - 1, []) for r in out)
+
+
 def columns(spark, *files):
     rows = [(f, level, pos, c) for f, (level, names) in enumerate(files) for pos, c in enumerate(names)]
     return spark.createDataFrame(rows, "file_id long, adm_level int, pos int, col string")
