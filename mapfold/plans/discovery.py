@@ -252,13 +252,11 @@ join (select id, string_agg(concat(n.x, ' ', n.y), ', ' order by k) geometry fro
 def osm_roads(spark: SparkSession, sf: str) -> DataFrame:
     """Road layer: the edges of the network inside each area, once per road class they carry, with
     list values joined and the geometry as a line."""
-    e = road_network(spark, sf)
-    edge = ["area_id", "nodes"]
-    at = e.select(*edge, F.posexplode("nodes").alias("k", "node_id")).join(view(spark, sf, "fx_nodes"), "node_id")
-    lines = at.groupBy(*edge).agg(F.array_sort(F.collect_list(F.struct("k", F.concat_ws(" ", "x", "y").alias("v")))).alias("vs"))
-    lines = lines.select(*edge, F.array_join("vs.v", ", ").alias("geometry"))
+    e = road_network(spark, sf, ["x", "y"])
+    line = F.array_join(F.zip_with("x", "y", lambda x, y: F.concat_ws(" ", x, y)), ", ").alias("geometry")
     text = lambda c: F.when(F.size(c) > 0, F.array_join(F.transform(c, lambda x: x.cast("string")), ", "))
-    rows = e.withColumn("fclass", F.explode(F.array_intersect("highway", F.array(*map(F.lit, O.ROAD_CLASSES))))).join(lines, edge)
+    fclass = F.explode(F.array_intersect("highway", F.array(*map(F.lit, O.ROAD_CLASSES)))).alias("fclass")
+    rows = e.select("area_id", "way_ids", "name", "oneway_tag", "maxspeed", line, fclass)
     rows = rows.join(view(spark, sf, "fx_areas").select("area_id", "iso"), "area_id")
     absent = [F.lit(None).cast("string").alias(c) for c in ("bridge", "tunnel", "surface")]
     return rows.select("iso", F.concat("iso", F.lit("_tran_rds_ln_s0_osm_pp_roads")).alias("layer_name"), "fclass", text("way_ids").alias("osmid"), text("name").alias("name"), text("oneway_tag").alias("oneway"), text("maxspeed").alias("maxspeed"), *absent, "geometry")

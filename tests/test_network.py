@@ -101,6 +101,15 @@ def test_networks_of_chance_have_the_edges_found_by_walking(spark):
     assert all([-n for n in r.nodes] == list(r.x) and (r.u, r.v, r.n_segments, list(r.name)) == (r.nodes[0], r.nodes[-1], len(r.nodes) - 1, []) for r in out)
 
 
+def test_edges_carry_the_columns_of_their_nodes_without_a_second_join(spark):
+    rows = [(1, w, k, n, False, "road", None, 10 * n, -n) for w, nodes in enumerate(([1, 2, 3], [1, 2, 3], [3, 4, 5])) for k, n in enumerate(nodes)]
+    out = roads.road_edges(spark.createDataFrame(rows, STEPS + ", x long, y long"), ["area"], ["highway"], ["x", "y"])
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 0
+    got = sorted((list(r.way_ids), list(zip(r.x, r.y))) for r in out.collect())
+    # two ways between the same nodes keep a line each
+    assert got == sorted(([w], p[::d]) for w, p in [(w, [(a, -a // 10), (a + 10, -a // 10 - 1)]) for w in (0, 1) for a in (10, 20)] + [(2, [(30, -3), (40, -4), (50, -5)])] for d in (1, -1))
+
+
 def columns(spark, *files):
     rows = [(f, level, pos, c) for f, (level, names) in enumerate(files) for pos, c in enumerate(names)]
     return spark.createDataFrame(rows, "file_id long, adm_level int, pos int, col string")
