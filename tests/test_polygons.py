@@ -151,3 +151,19 @@ def test_dissolve_cuts_no_edges_in_covered_cells(spark):
     rows = layer(spark, *[(n, [box(0 - n, 0 - n, 20 + n, 20 + n)]) for n in (1, 2)]).selectExpr("0L gid", "id oid", "eid", "x1", "y1", "x2", "y2")
     plan = P.dissolve(rows, "gid", "oid")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftAnti") >= 3
+
+
+def test_dissolve_takes_crowded_cells_apart(spark):
+    # many polygons stand on one corner, so the cell there and those along the axes are never covered as a whole
+    fans = [(n, [box(0, 0, 3 + n / 10, 2 + n / 7)] if n % 2 else [[(0, 0), (4 + n / 9, n / 8), (n / 5, 5)]]) for n in range(1, 25)]
+    rows = layer(spark, *fans, (30, [box(-1, -1, 0, 0)]), (31, [box(-0.5, 0.25, 0.125, 0.75)])).selectExpr("0L gid", "id oid", "eid", "x1", "y1", "x2", "y2")
+    whole = edges_of(P.dissolve(rows, "gid", "oid", levels=0))
+    assert whole and whole == edges_of(P.dissolve(rows, "gid", "oid", crowd=8, levels=2))
+    cells = P._dissolve_cells(rows.select("gid", "oid", "eid", *P.EDGE), M, 8, 4, 2)[0]
+    assert cells.select("size").distinct().count() == 3
+
+
+def test_dissolve_judges_pieces_row_by_row(spark):
+    rows = layer(spark, (1, [box(0, 0, 2, 2)]), (2, [box(1, 1, 3, 3)])).selectExpr("0L gid", "id oid", "eid", "x1", "y1", "x2", "y2")
+    plan = P.dissolve(rows, "gid", "oid")._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(edges" not in plan and "array_distinct" not in plan
