@@ -167,3 +167,43 @@ def test_dissolve_judges_pieces_row_by_row(spark):
     rows = layer(spark, (1, [box(0, 0, 2, 2)]), (2, [box(1, 1, 3, 3)])).selectExpr("0L gid", "id oid", "eid", "x1", "y1", "x2", "y2")
     plan = P.dissolve(rows, "gid", "oid")._jdf.queryExecution().optimizedPlan().toString()
     assert "aggregate(edges" not in plan and "array_distinct" not in plan
+
+
+def test_pairs_are_overlaid_many_at_once_in_bounded_steps(spark, monkeypatch):
+    import pyarrow as pa
+
+    from mapfold.operators import pairs
+
+    a = layer(spark, *[(n, [box(n, 0, n + 9, 9), hole(n + 2, 2, n + 4, 4)]) for n in range(6)], (7, [box(0, 0, 2, 2)]))
+    b = layer(spark, *[(n, [[(n, -1), (n + 8, 3.5), (n + 1, 7)]]) for n in range(5)], (8, [box(2, 0, 4, 2)]))
+    met = P._met(*(P._layer(e, "id", k) for e, k in ((a, "lid"), (b, "rid"))), 4 * M).select("lid", "rid", "le", "re").toArrow().combine_chunks()
+    batch = met.to_batches()[0]
+    want = edges_of(P.overlay(a, b, "symdiff", "id", "id", small=1))
+    for step in (1, 400, 1 << 18):
+        monkeypatch.setattr(pairs, "STEP", step)
+        got, most = [], 0
+        for part, l, r in pairs._steps(batch):
+            pair, ends, overlap = pairs.outlines(l, r, "symdiff")
+            most = max(most, len(part))
+            got += [(part["lid"][k].as_py(), part["rid"][k].as_py(), *map(int, e)) for k, *e in zip(pair.tolist(), *ends) if overlap[k]]
+        assert sorted(got) == want and (most == 1) == (step == 1)
+    assert isinstance(batch["le"], pa.ListArray)
+    plan = P.overlay(a, b, "symdiff", "id", "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan
+
+
+def test_repeated_edges_count_once_as_edges_and_each_time_inside(spark):
+    a, b = layer(spark, (1, [box(0, 0, 10, 10)])), layer(spark, (7, [box(5, -3, 20, 4)]))
+    twice = b.unionByName(b)
+    for region in ("intersection", "symdiff"):
+        by_row = edges_of(P.overlay(a, twice, region, "id", "id", overlapping=False))
+        # a point in the repeated polygon has an even number of edges to its west
+        assert by_row == edges_of(P.overlay(a, twice, region, "id", "id", overlapping=False, small=5)) != edges_of(P.overlay(a, b, region, "id", "id", overlapping=False))
+
+
+def test_contained_polygons_are_looked_for_in_one_cell(spark):
+    wide = layer(spark, (1, [box(0, 0, 90, 90)]), (2, [box(-4, -4, 30, 30)]))
+    shapes = P._shapes(P._layer(wide, "id", "lid"), "l", 4 * M, corner=True)
+    assert sorted(tuple(r) for r in shapes.select("lid", "cx", "cy").collect()) == [(1, 0, 0), (2, -1, -1)]
+    within = P.within(wide.withColumnRenamed("id", "lid"), wide.withColumnRenamed("id", "rid"))
+    assert edges_of(within) == [(1, 1), (2, 2)]
