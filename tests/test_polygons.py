@@ -207,3 +207,13 @@ def test_contained_polygons_are_looked_for_in_one_cell(spark):
     assert sorted(tuple(r) for r in shapes.select("lid", "cx", "cy").collect()) == [(1, 0, 0), (2, -1, -1)]
     within = P.within(wide.withColumnRenamed("id", "lid"), wide.withColumnRenamed("id", "rid"))
     assert edges_of(within) == [(1, 1), (2, 2)]
+
+
+def test_containment_is_judged_many_pairs_at_once(spark):
+    lakes = layer(spark, *[(n, [box(n, 1, n + 2, 3)]) for n in range(8)])
+    land = layer(spark, (1, [box(0, 0, 5, 5)]), (2, [[(3, 0), (9.5, 0), (9.5, 5), (8, 2.5), (3, 5)]]))
+    found = P.within(lakes.withColumnRenamed("id", "lid"), land.withColumnRenamed("id", "rid"))
+    assert edges_of(found) == [(0, 1), (1, 1), (2, 1), (3, 1), (3, 2), (4, 2), (5, 2)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # no lambda works through the edges of a pair; the left polygons are not repeated per cell
+    assert "MapInArrow" in plan and plan.count("Generate explode") == 2
